@@ -1,0 +1 @@
+"""No streaming operators: every source relation is a batch table."""
