@@ -209,5 +209,16 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Small constant table."""
-    return spark.createDataFrame(rows, schema)
+    """Small constant table as a local relation (no Python worker)."""
+    def text(v) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{v!r}D" if isinstance(v, float) else str(v)
+
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    body = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
+    casts = ", ".join(f"CAST(c{i} AS {t}) AS {n}" for i, (n, t) in enumerate(fields))
+    names = ", ".join(f"c{i}" for i in range(len(fields)))
+    return spark.sql(f"SELECT {casts} FROM VALUES {body} AS v({names})")

@@ -1,3 +1,5 @@
 """Imports every query module so that its queries are registered."""
 
 from . import cohort_queries  # noqa: F401
+from . import label_queries  # noqa: F401
+from . import feature_queries  # noqa: F401

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.adapter import RELATIONS, Tables, oracle_text
+from ..sources.adapter import RELATIONS, Tables, oracle_text, tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,4 +64,4 @@ def oracle(name: str) -> str:
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return QUERIES[name](Tables(spark, folder))
+    return QUERIES[name](tables(spark, folder))

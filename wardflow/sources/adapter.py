@@ -178,7 +178,8 @@ SELECT order_id * 10 + ln AS observation_id, person_id, order_id AS visit_occurr
 FROM {lines} WHERE ln IN (2, 4, 5, 7)""",
     "measurement": """
 SELECT person_id, visit_occurrence_id, measurement_concept_id, CAST(measurement_datetime AS DATE) AS measurement_date,
-  measurement_datetime, value_as_number, unit_concept_id, range_low, range_high, value_source_value
+  measurement_datetime, CAST(value_as_number AS DOUBLE) AS value_as_number, unit_concept_id,
+  CAST(range_low AS DOUBLE) AS range_low, CAST(range_high AS DOUBLE) AS range_high, value_source_value
 FROM (
 SELECT person_id, order_id AS visit_occurrence_id,
   CASE pk % 20 WHEN 0 THEN 3023103 WHEN 1 THEN 3004501 WHEN 2 THEN 3016723 WHEN 3 THEN 3019550 WHEN 4 THEN 3000963
@@ -225,7 +226,7 @@ UNION ALL SELECT CAST(dg.anc AS BIGINT), 50000000 + p.p_partkey FROM {{table:par
 UNION ALL SELECT 50000000 + CAST(floor(p_partkey / 10) * 10 AS BIGINT), 50000000 + p_partkey FROM {{table:part}}""",
     "note": """
 SELECT doc_id AS note_id, doc_id % 150 AS person_id, doc_id * 13 % 15000 AS visit_occurrence_id,
-  CASE WHEN lang = 'en' THEN 44814637 ELSE 44814639 END AS note_class_concept_id,
+  CASE WHEN lang = 'en' THEN 44814637 ELSE 44814639 END AS note_type_concept_id,
   DATE '1996-01-01' + CAST((doc_id * 31) % 2000 AS INT) AS note_date,
   CAST(DATE '1996-01-01' + CAST((doc_id * 31) % 2000 AS INT) AS {TS}) + (doc_id % 30) * INTERVAL '1' HOUR AS note_datetime
 FROM {table:documents}""",
@@ -285,7 +286,22 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         if name in RELATIONS:
-            return self.spark.sql(spark_text(name, self.folder))
-        if name in RAW:
-            return self.raw(name)
-        raise AttributeError(name)
+            found = self.spark.sql(spark_text(name, self.folder))
+        elif name in RAW:
+            found = self.raw(name)
+        else:
+            raise AttributeError(name)
+        self.__dict__[name] = found
+        return found
+
+
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """One ``Tables`` per session and folder, so a relation is analysed once."""
+    folder = str(folder).rstrip("/")
+    known = _TABLES.get(folder)
+    if known is None or known.spark is not spark:
+        known = _TABLES[folder] = Tables(spark, folder)
+    return known
+
+
+_TABLES: dict[str, Tables] = {}
