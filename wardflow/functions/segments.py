@@ -204,6 +204,11 @@ def hash_rank(df: DataFrame, keys: list[str], hashed: Column, out: str = "rank")
     return ranked.withColumn(out, (F.col("_cum") - 1).cast("bigint")).drop("_h", "_hb", "_one", "_cum")
 
 
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row aggregate to every row (equi-join on a constant)."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.segments import dense_index, union_all
+from ..functions.segments import dense_index, durable, union_all
 from ..functions.timeunits import diff_years, epoch_day
 
 FINE_DAYS, COARSE_DAYS = 32, 1024
@@ -168,8 +168,10 @@ def value_bin_features(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     hits = in_bins(cohort, events, bins, hourly)
+    # The quantile aggregate has no weights: repeat each counted value inside the map side.
+    repeated = hits.select("measurement_concept_id", "time_bin", F.explode(F.array_repeat("value", F.col("n").cast("int"))).alias("value"))
     steps = [i / num_bins for i in range(num_bins + 1)]
-    edges = hits.groupBy("measurement_concept_id", "time_bin").agg(
+    edges = repeated.groupBy("measurement_concept_id", "time_bin").agg(
         F.percentile_approx("value", steps, 10000).alias("_q")
     )
     edges = edges.select("measurement_concept_id", "time_bin", F.posexplode("_q").alias("_i", "lo"), "_q").where(
@@ -262,7 +264,9 @@ def vocabulary(features: DataFrame, key: str = "feature_id", out: str = "col_id"
 
 def sparse_matrix(features: DataFrame, existing_vocabulary: DataFrame | None = None):
     """(triples, row map, vocabulary).  An existing vocabulary is honoured: its
-    column numbers are used and unknown features are left out."""
+    column numbers are used and unknown features are left out.  The long table
+    is written once, since three results are read from it."""
+    features = durable(features)
     vocab = existing_vocabulary if existing_vocabulary is not None else vocabulary(features)
     rows = dense_index(features.select("row_id").distinct(), ["row_id"], "features_row_id")
     triples = (

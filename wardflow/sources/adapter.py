@@ -243,6 +243,13 @@ SELECT l.doc_id AS row_id, l.doc_id % 97 AS person_id, l.quality AS labels,
 FROM {table:labels} l JOIN {table:documents} d ON l.doc_id = d.doc_id""",
 }
 
+RELATIONS["code_edges"] = """
+SELECT p_brand || '/' || CAST(p_partkey AS VARCHAR(20)) AS code, 'GRP/' || CAST(CAST(floor(p_partkey / 10) AS BIGINT) AS VARCHAR(20)) AS parent FROM {table:part}
+UNION ALL SELECT p_brand || '/' || CAST(p_partkey AS VARCHAR(20)), 'SIZE/' || CAST(p_size % 7 AS VARCHAR(20)) FROM {table:part}
+UNION ALL SELECT DISTINCT 'SIZE/' || CAST(p_size % 7 AS VARCHAR(20)), 'ROOT/0' FROM {table:part}
+UNION ALL SELECT DISTINCT 'GRP/' || CAST(CAST(floor(p_partkey / 10) AS BIGINT) AS VARCHAR(20)), 'TOP/' || CAST(CAST(floor(p_partkey / 100) AS BIGINT) AS VARCHAR(20)) FROM {table:part}
+UNION ALL SELECT DISTINCT 'TOP/' || CAST(CAST(floor(p_partkey / 100) AS BIGINT) AS VARCHAR(20)), 'ROOT/0' FROM {table:part}"""
+
 _NAME = re.compile(r"\{(table:)?(\w+)\}")
 
 
