@@ -39,9 +39,9 @@ def birth_dates(person: DataFrame) -> DataFrame:
 
 def demographic_codes(person: DataFrame) -> DataFrame:
     """Gender, ethnicity and race concepts on the birth day."""
-    concepts = F.array("gender_concept_id", "ethnicity_concept_id", "race_concept_id")
+    concepts = F.array(*[F.col(f"{c}_concept_id").cast("bigint") for c in ("gender", "ethnicity", "race")])
     return (
-        person.select("person_id", F.explode(concepts).cast("bigint").alias("concept_id"))
+        person.select("person_id", F.explode(concepts).alias("concept_id"))
         .join(birth_dates(person), "person_id")
         .withColumnRenamed("birth_date", "day")
     )

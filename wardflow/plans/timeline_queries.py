@@ -218,12 +218,12 @@ def _(t):
     return G.zip_hierarchy(t.customer.select(F.lpad(((F.col("c_custkey") * 7919) % 100000).cast("string"), 5, "0").alias("zip")))
 
 
-@query("ont_06_atom_parents", """WITH at AS (SELECT 'A' || CAST(p_partkey AS VARCHAR) AS atom FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#4', 'Brand#5') AND p_size % 2 = 0),
+@query("ont_06_atom_parents", """WITH atk AS (SELECT 'A' || CAST(p_partkey AS VARCHAR) AS atom FROM part WHERE p_brand IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#4', 'Brand#5') AND p_size % 2 = 0),
   syn AS (SELECT 'A' || CAST(p_partkey AS VARCHAR) AS atom, 'A' || CAST(p_partkey - p_partkey % 5 AS VARCHAR) AS pref FROM part WHERE p_partkey % 5 = 1),
   rel AS (SELECT 'A' || CAST(p_partkey AS VARCHAR) AS atom, 'A' || CAST(CAST(floor(p_partkey / 2) AS BIGINT) AS VARCHAR) AS parent FROM part),
   al AS (SELECT coalesce(s1.pref, rel.atom) AS atom, coalesce(s2.pref, parent) AS parent_atom FROM rel LEFT JOIN syn s1 ON s1.atom = rel.atom LEFT JOIN syn s2 ON s2.atom = parent
-   UNION ALL SELECT atom, 'A0' FROM at)
-  SELECT DISTINCT atom, parent_atom FROM al WHERE atom IN (SELECT atom FROM at) AND parent_atom IN (SELECT atom FROM at UNION SELECT 'A0') AND atom IN (SELECT atom FROM at UNION SELECT 'A0') AND atom <> parent_atom""")
+   UNION ALL SELECT atom, 'A0' FROM atk)
+  SELECT DISTINCT atom, parent_atom FROM al WHERE atom IN (SELECT atom FROM atk) AND parent_atom IN (SELECT atom FROM atk UNION SELECT 'A0') AND atom IN (SELECT atom FROM atk UNION SELECT 'A0') AND atom <> parent_atom""")
 def _(t):
     key = F.col("p_partkey")
     name = lambda c: F.concat(F.lit("A"), c.cast("bigint").cast("string"))
