@@ -25,16 +25,18 @@ def hash_unit(*cols, seed=None) -> Column:
     return hash_int(*cols, seed=seed, digits=12) / F.lit(float(16**12))
 
 
-def sha256_mod(data: Column, modulus: Column | int) -> Column:
-    """SHA-256 digest read as one little-endian integer, modulo a small number.
+def sha256_mod(data: Column, modulus: Column | int, little: bool = True) -> Column:
+    """SHA-256 digest read as one integer, modulo a small number.
 
     The digest is folded two hex digits at a time from its most significant
-    (last) byte, so no number wider than a long is ever needed.
+    byte (the last one in little-endian order), so no number wider than a long
+    is ever needed.
     """
     m = F.lit(modulus) if isinstance(modulus, int) else modulus
     hexed = F.sha2(data, 256)
+    order = (31, 0, -1) if little else (0, 31, 1)
     parts = F.transform(
-        F.sequence(F.lit(31), F.lit(0), F.lit(-1)),
+        F.sequence(*[F.lit(i) for i in order]),
         lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("bigint"),
     )
     return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, b: (acc * 256 + b) % m.cast("bigint"))

@@ -240,7 +240,9 @@ def normalise_codes(
     dropped = DROPPED_VOCABULARIES if dropped is None else dropped
     needs = vocabulary.isin(*mapped_vocabularies)
     passes = (~needs & vocabulary.isin(*kept) & ~vocabulary.isin(*dropped)) | (needs & vocabulary.isin(*fallback))
-    joined = events.join(mapping.select("code", "target"), "code", "left")
+    # Only codes that need a map take part in the one-to-many join.
+    lookup = mapping.select(F.col("code").alias("_key"), "target")
+    joined = events.withColumn("_key", F.when(needs, F.col("code"))).join(lookup, "_key", "left")
     target = F.when(needs & F.col("target").isNotNull(), F.col("target")).when(passes, F.col("code"))
     rest = [c for c in events.columns if c != "code"]
     return joined.select(*rest, target.alias("code")).where(F.col("code").isNotNull())

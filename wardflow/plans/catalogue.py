@@ -5,3 +5,4 @@ from . import label_queries  # noqa: F401
 from . import feature_queries  # noqa: F401
 from . import timeline_queries  # noqa: F401
 from . import labeler_queries  # noqa: F401
+from . import timeline_feature_queries  # noqa: F401
