@@ -33,13 +33,11 @@ def sha256_mod(data: Column, modulus: Column | int, little: bool = True) -> Colu
     is ever needed.
     """
     m = F.lit(modulus) if isinstance(modulus, int) else modulus
-    hexed = F.sha2(data, 256)
-    order = (31, 0, -1) if little else (0, 31, 1)
-    parts = F.transform(
-        F.sequence(*[F.lit(i) for i in order]),
-        lambda i: F.conv(F.substring(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("bigint"),
-    )
-    return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, b: (acc * 256 + b) % m.cast("bigint"))
+    order = [F.lit(i) for i in ((31, 0, -1) if little else (0, 31, 1))]
+    step = lambda h, acc, i: (acc * 256 + F.conv(F.substring(h, i * 2 + 1, F.lit(2)), 16, 10).cast("bigint")) % m.cast("bigint")
+    fold = lambda h: F.aggregate(F.sequence(*order), F.lit(0).cast("bigint"), lambda acc, i: step(h, acc, i))
+    # Binding the digest to a lambda variable computes it once per row.
+    return F.transform(F.array(F.sha2(data, 256)), fold)[0]
 
 
 def little_endian(value: Column, width: int) -> Column:

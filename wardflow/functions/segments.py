@@ -9,6 +9,8 @@ fixed size bound whatever the number of rows.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -129,21 +131,34 @@ def overlap_join(
     return a.join(b, [*on, "_bucket"]).where(same & (ls <= re) & (rs <= le)).drop("_bucket")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for written intermediate tables: the one named in ``spark.checkpoint.dir``.
+
+    A temporary folder is chosen only in local mode with nothing set (tests).
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    if "local" not in _FOLDERS:
+        _FOLDERS["local"] = tempfile.mkdtemp(prefix="wardflow-")
+    return _FOLDERS["local"]
+
+
+_FOLDERS: dict[str, str] = {}
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage.
+    """Cut lineage: write the rows as a Parquet table in the shared folder and read it back.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``; only when
-    none is set (tests) is a temporary one chosen.
+    Unlike a cached or local copy the table survives lost executors, and unlike
+    an RDD checkpoint it keeps column pruning and size statistics.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dense_index(df: DataFrame, order: list, out: str, start: int = 0) -> DataFrame:

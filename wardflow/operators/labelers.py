@@ -60,12 +60,11 @@ def infinite_horizon(days: DataFrame, event_days: DataFrame) -> DataFrame:
 
 def one_random_label(labels: DataFrame, seed: int) -> DataFrame:
     """One label per patient, chosen by SHA-256 of the seed and the patient id."""
-    person = Window.partitionBy("person_id")
     data = F.concat(little_endian(F.lit(seed), 8), little_endian(F.col("person_id"), 8))
+    picks = labels.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n")).select("person_id", sha256_mod(data, F.col("_n")).alias("_pick"))
     return (
-        labels.withColumn("_k", F.row_number().over(person.orderBy("day_index", "label")) - 1)
-        .withColumn("_n", F.count(F.lit(1)).over(person))
-        .where(F.col("_k") == sha256_mod(data, F.col("_n")))
+        labels.withColumn("_k", F.row_number().over(Window.partitionBy("person_id").orderBy("day_index", "label")) - 1)
+        .join(picks, "person_id").where(F.col("_k") == F.col("_pick"))
         .select("person_id", "day_index", "label")
     )
 

@@ -6,3 +6,4 @@ from . import feature_queries  # noqa: F401
 from . import timeline_queries  # noqa: F401
 from . import labeler_queries  # noqa: F401
 from . import timeline_feature_queries  # noqa: F401
+from . import sepsis_queries  # noqa: F401

@@ -16,8 +16,9 @@ def code_set(t, name):
 
 
 def ed(t):
-    events = T.build(t)
-    return events, T.day_table(events)
+    """Timeline events and day table; both are stored tables, as a timeline is built once and read often."""
+    events = t.stored("timeline", T.build)
+    return events, t.stored("timeline_days", lambda t: T.day_table(t.stored("timeline", T.build)))
 
 
 def fixed_sql(event_days: str, horizon: int, extra: str = "") -> str:
@@ -110,7 +111,7 @@ cte("tadm_d", "SELECT a.*, d.day_index FROM tadm a JOIN tld d ON d.person_id = a
 
 @query("tlb_10_admissions", "SELECT * FROM tadm")
 def _(t):
-    return B.admissions(T.build(t))
+    return B.admissions(ed(t)[0])
 
 
 @query("tlb_11_value_above", "SELECT tl.person_id, day_index - 1 AS day_index, CAST(numeric_value > 20 AS INT) AS label FROM tl JOIN tld USING (person_id, age) WHERE code = 'LOINC/2823-3' AND numeric_value IS NOT NULL AND day_index > 0")
@@ -216,5 +217,5 @@ def _(t):
 
 @query("tlb_23_possible_patients", """SELECT DISTINCT person_id FROM tl WHERE code IN (SELECT code FROM set_a) AND person_id IN (SELECT person_id FROM tl WHERE code IN (SELECT code FROM set_b UNION SELECT code FROM set_c))""")
 def _(t):
-    index = T.code_index(T.build(t))
+    index = T.code_index(ed(t)[0])
     return B.possible_patients(index, [code_set(t, "set_a")], [code_set(t, "set_b"), code_set(t, "set_c")])

@@ -15,6 +15,10 @@ cte("cnt", "SELECT person_id, code, day, age FROM tl WHERE numeric_value IS NULL
 cte("cvoc", "SELECT code, row_number() OVER (ORDER BY code) - 1 AS code_column FROM (SELECT DISTINCT code FROM cnt) q")
 
 
+def closure_of(t):
+    return t.stored("closure", lambda t: G.closure(t.code_edges))
+
+
 def setup(t):
     events, days = ed(t)
     labels = B.long_admission(days, events)
@@ -54,7 +58,7 @@ def _(t):
   SELECT p.person_id, p.day_index, v.c AS "column", CAST(sum(n) AS DOUBLE) AS value FROM pts p JOIN r ON r.person_id = p.person_id AND r.day <= p.day JOIN v USING (code) GROUP BY 1, 2, 3""")
 def _(t):
     events, _, _, points, recorded = setup(t)
-    counted = S.counted_codes(events, recorded, G.closure(t.code_edges))
+    counted = S.counted_codes(events, recorded, closure_of(t))
     return S.count_features(points, counted, S.count_vocabulary(counted))
 
 
@@ -139,9 +143,9 @@ cte("dcode", "SELECT DISTINCT person_id, age, ancestor AS code FROM tl JOIN clos
 def sequence(t):
     events, days = ed(t)
     recorded = G.recorded_date_codes(events.select("code"), RECORDED)
-    lengths = S.window_lengths(days, TRAIN, VAL)
-    closure = G.closure(t.code_edges)
-    counts = S.patients_per_code(events, recorded, closure, lengths.where("train_length is not null"), TRAIN[1])
+    closure = closure_of(t)
+    lengths = S.window_lengths(days, TRAIN, VAL).where("train_length is not null")
+    counts = t.stored("patients_per_code", lambda t: S.patients_per_code(events, recorded, closure, lengths, TRAIN[1]))
     return events, days, recorded, closure, counts
 
 
@@ -180,7 +184,7 @@ def _(t):
     return S.frequency_table(sequence(t)[4])
 
 
-Z = lambda v, s: f"CASE WHEN age = 0 THEN 0.0 ELSE round(({v} - {s}_mean) / {s}_std, 5) END"
+Z = lambda v, s: f"CASE WHEN age = 0 THEN 0.0 ELSE round(({v} - {s}_mean) / {s}_std, 5) + 0.0 END"
 
 
 @query("seq_05_day_rows", f"""SELECT d.person_id, day_index, coalesce(codes, []) AS codes, {Z('age', 'age')} AS age_z, {Z('ln(1 + age)', 'age_log')} AS log_age_z, {Z('gap', 'delta')} AS gap_z, {Z('ln(1 + gap)', 'delta_log')} AS log_gap_z, CAST(age = 0 AS INT) AS is_birth
@@ -189,17 +193,19 @@ def _(t):
     events, days, recorded, closure, counts = sequence(t)
     valid = S.valid_codes(counts, t.code_edges, closure, "ROOT/0", 30)
     rows = S.day_rows(days, S.day_codes(events, recorded, closure), valid, S.age_gap_statistics(days, TRAIN[1]))
-    return rows.select("person_id", "day_index", "codes", *[F.round(c, 5).alias(c) for c in ("age_z", "log_age_z", "gap_z", "log_gap_z")], "is_birth")
+    return rows.select("person_id", "day_index", "codes", *[(F.round(c, 5) + 0.0).alias(c) for c in ("age_z", "log_age_z", "gap_z", "log_gap_z")], "is_birth")
 
 
 @query("seq_06_next_day_targets", """WITH neg AS (SELECT DISTINCT d.person_id, d.age, e.code FROM dcode d JOIN code_edges e ON e.parent = d.code WHERE NOT EXISTS (SELECT 1 FROM dcode x WHERE x.person_id = d.person_id AND x.age = d.age AND x.code = e.code)),
   b AS (SELECT *, 1 AS target FROM dcode UNION ALL SELECT *, 0 FROM neg)
-  SELECT b.person_id, day_index - 1 AS day_index, valid_index, target, CASE WHEN f < b.age THEN 1 ELSE 0 END AS seen FROM b JOIN vcode USING (code) JOIN tld USING (person_id, age)
-  LEFT JOIN (SELECT person_id, code, min(age) AS f FROM dcode GROUP BY 1, 2) s ON s.person_id = b.person_id AND s.code = b.code WHERE day_index > 0""")
+  SELECT b.person_id, day_index - 1 AS day_index, target, count(*) AS n_codes, sum(valid_index) AS index_sum, sum(CASE WHEN f < b.age THEN 1 ELSE 0 END) AS n_seen FROM b JOIN vcode USING (code) JOIN tld USING (person_id, age)
+  LEFT JOIN (SELECT person_id, code, min(age) AS f FROM dcode GROUP BY 1, 2) s ON s.person_id = b.person_id AND s.code = b.code WHERE day_index > 0 GROUP BY 1, 2, 3""")
 def _(t):
     events, days, recorded, closure, counts = sequence(t)
     valid = S.valid_codes(counts, t.code_edges, closure, "ROOT/0", 30)
-    return S.next_day_targets(days, S.day_codes(events, recorded, closure), t.code_edges, valid)
+    targets = S.next_day_targets(days, S.day_codes(events, recorded, closure), t.code_edges, valid)
+    return targets.groupBy("person_id", "day_index", "target").agg(
+        F.count(F.lit(1)).alias("n_codes"), F.sum("valid_index").alias("index_sum"), F.sum("seen").alias("n_seen"))
 
 
 @query("seq_07_leaf_codes", """SELECT code, row_number() OVER (ORDER BY code) - 1 AS leaf_index FROM vcode v WHERE (split_part(code, '/', 1) IN ('GRP', 'TOP') AND NOT EXISTS (SELECT 1 FROM code_edges e JOIN vcode w ON w.code = e.code WHERE e.parent = v.code))
@@ -213,7 +219,7 @@ def _(t):
 @query("seq_07_next_day_codes", "SELECT person_id, day_index - 1 AS day_index, list(code ORDER BY code) AS codes FROM dcode JOIN tld USING (person_id, age) WHERE day_index > 0 GROUP BY 1, 2")
 def _(t):
     events, days = ed(t)
-    codes = S.day_codes(events, G.recorded_date_codes(events.select("code"), RECORDED), G.closure(t.code_edges))
+    codes = S.day_codes(events, G.recorded_date_codes(events.select("code"), RECORDED), closure_of(t))
     return codes.join(days, ["person_id", "age"]).where("day_index > 0").groupBy("person_id", (F.col("day_index") - 1).alias("day_index")).agg(
         F.sort_array(F.collect_set("code")).alias("codes"))
 
@@ -232,12 +238,12 @@ def _(t):
   d AS (SELECT DISTINCT code, v FROM s JOIN p USING (code) WHERE rk = pos), l AS (SELECT code, list(v ORDER BY v) AS v FROM d GROUP BY 1)
   SELECT code, v[2:len(v) - 1] AS ranges FROM l WHERE len(v) > 2""")
 def _(t):
-    return S.numeric_ranges(S.sample_values(T.build(t), "numeric_value"), split_size=100)
+    return S.numeric_ranges(S.sample_values(ed(t)[0], "numeric_value"), split_size=100)
 
 
 @query("seq_09_text_values", """WITH c AS (SELECT code, lower(text_value) AS text, count(*) AS n FROM tl WHERE text_value IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 10) SELECT * FROM c WHERE code IN (SELECT code FROM c GROUP BY 1 HAVING count(*) > 1)""")
 def _(t):
-    return S.text_values(S.sample_values(T.build(t), "text_value"), at_least=10)
+    return S.text_values(S.sample_values(ed(t)[0], "text_value"), at_least=10)
 
 
 @query("seq_10_hash_split", """SELECT person_id, CAST(list_reduce(list_transform(range(0, 32), lambda i: CAST('0x' || substr(dg, CAST(i * 2 + 1 AS BIGINT), 2) AS BIGINT)), lambda a, b: (a * 256 + b) % 10) % 10 <> 9 AS INT) AS is_train

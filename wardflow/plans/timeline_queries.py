@@ -22,6 +22,15 @@ cte("tld", """SELECT person_id, day, age, row_number() OVER (PARTITION BY person
   count(*) OVER (PARTITION BY person_id) AS n_days FROM (SELECT DISTINCT person_id, day, age FROM tl) q""")
 
 
+def timeline(t):
+    """The built timeline as a stored table."""
+    return t.stored("timeline", T.build)
+
+
+def closure(t):
+    return t.stored("closure", lambda t: G.closure(t.code_edges))
+
+
 @query("tml_01_demographic_codes", "SELECT * FROM democ")
 def _(t):
     return T.demographic_codes(t.person)
@@ -50,7 +59,7 @@ def _(t):
 @query("tml_06_day_records", """SELECT person_id, day, age, coalesce(list(DISTINCT code ORDER BY code) FILTER (WHERE numeric_value IS NULL AND text_value IS NULL), []) AS observations,
   count(DISTINCT code || ':' || coalesce(CAST(numeric_value AS VARCHAR), '') || ':' || coalesce(text_value, '')) FILTER (WHERE numeric_value IS NOT NULL OR text_value IS NOT NULL) AS n_valued FROM tl GROUP BY 1, 2, 3""")
 def _(t):
-    return T.day_records(T.build(t)).select("person_id", "day", "age", "observations", F.size("valued_observations").alias("n_valued"))
+    return T.day_records(timeline(t)).select("person_id", "day", "age", "observations", F.size("valued_observations").alias("n_valued"))
 
 
 # Mapping: brand codes of the first ten brands go to one or two targets.
@@ -67,7 +76,7 @@ def _(t):
     code = F.concat_ws("/", "p_brand", F.col("p_partkey").cast("string"))
     one = p.where(F.col("p_size") % 4 != 0).select(code.alias("code"), F.concat(F.lit("ATC/"), (F.col("p_partkey") % 97).cast("string")).alias("target"))
     two = p.where(F.col("p_size") % 4 == 1).select(code.alias("code"), F.concat(F.lit("ATC/X"), (F.col("p_partkey") % 89).cast("string")).alias("target"))
-    return T.normalise_codes(T.build(t), one.unionByName(two), MAPPED, kept=KEPT).select("person_id", "day", "code")
+    return T.normalise_codes(timeline(t), one.unionByName(two), MAPPED, kept=KEPT).select("person_id", "day", "code")
 
 
 cte("gem", """SELECT p_partkey AS line_no, CAST(4000 + p_partkey % 700 AS VARCHAR) AS source, 'E' || CAST(10 + p_partkey % 90 AS VARCHAR) || CASE WHEN p_size % 3 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS target,
@@ -126,17 +135,17 @@ def _(t):
 
 @query("tml_11_code_dictionary", "SELECT code, n, row_number() OVER (ORDER BY n DESC, code) - 1 AS code_id FROM (SELECT code, count(*) AS n FROM tl GROUP BY 1) q")
 def _(t):
-    return T.code_dictionary(T.build(t))
+    return T.code_dictionary(timeline(t))
 
 
 @query("tml_12_dated_read", "SELECT * FROM tl WHERE day >= DATE '1996-01-01' AND day < DATE '1999-07-01' AND person_id IN (SELECT person_id FROM death)")
 def _(t):
-    return T.read_patients(T.build(t), t.death, "1996-01-01", "1999-07-01")
+    return T.read_patients(timeline(t), t.death, "1996-01-01", "1999-07-01")
 
 
 @query("tml_13_patients_with_codes", "SELECT DISTINCT person_id FROM tl WHERE code IN ('LOINC/2823-3', 'LOINC/777-3')")
 def _(t):
-    return T.patients_with(T.code_index(T.build(t)), ["LOINC/2823-3", "LOINC/777-3"])
+    return T.patients_with(T.code_index(timeline(t)), ["LOINC/2823-3", "LOINC/777-3"])
 
 
 @query("tml_14_random_subset", """SELECT person_id FROM (SELECT person_id, row_number() OVER (ORDER BY md5('11|' || CAST(person_id AS VARCHAR))) AS rn, count(*) OVER () AS n FROM person) q WHERE rn <= floor(n * 0.3)""")
@@ -152,19 +161,19 @@ def _(t):
 @query("tml_16_day_index_of_dates", """SELECT v.person_id, v.day AS date, max(d.day_index) AS day_index FROM (SELECT DISTINCT person_id, CAST(note_date AS DATE) AS day FROM note) v
   LEFT JOIN tld d ON d.person_id = v.person_id AND d.day <= v.day GROUP BY 1, 2""")
 def _(t):
-    days = T.day_table(T.build(t))
+    days = T.day_table(timeline(t))
     return T.day_index_of(days, t.note.select("person_id", F.col("note_date").alias("date")))
 
 
 @query("tml_17_inspect_patient", "SELECT tl.*, i.patient_id FROM tl JOIN (SELECT person_id, row_number() OVER (ORDER BY person_id) - 1 AS patient_id FROM (SELECT DISTINCT person_id FROM tl) q) i USING (person_id) WHERE patient_id = 7")
 def _(t):
-    events = T.build(t)
+    events = timeline(t)
     return T.inspect(events, T.dense_ids(events), patient_id=7)
 
 
 @query("tml_18_year_records", "SELECT person_id, year(day) AS year, count(DISTINCT day) AS n_days, min(age) AS first_age, max(age) AS last_age FROM tl GROUP BY 1, 2")
 def _(t):
-    records = T.year_records(T.day_records(T.build(t)))
+    records = T.year_records(T.day_records(timeline(t)))
     return records.select("person_id", "year", F.size("days").alias("n_days"), F.col("days")[0]["age"].alias("first_age"), F.element_at("days", -1)["age"].alias("last_age"))
 
 
@@ -178,12 +187,12 @@ cte("used_codes", "SELECT DISTINCT code FROM tl")
 @query("ont_01_subwords", """SELECT c.code, c.ancestor FROM clos c WHERE c.code IN (SELECT code FROM used_codes) AND c.code IN (SELECT code FROM code_edges)
   UNION ALL SELECT code, 'NO_MAP/' || code FROM used_codes WHERE code NOT IN (SELECT code FROM code_edges)""")
 def _(t):
-    return G.subwords(T.build(t).select("code"), t.code_edges, t.code_edges.select("code").distinct())
+    return G.subwords(timeline(t).select("code"), t.code_edges, t.code_edges.select("code").distinct())
 
 
 @query("ont_02_all_parents", "SELECT code, ancestor FROM clos WHERE code <> ancestor")
 def _(t):
-    return G.all_parents(G.closure(t.code_edges))
+    return G.all_parents(closure(t))
 
 
 @query("ont_02_children", "SELECT DISTINCT parent AS code, code AS child FROM code_edges")
@@ -193,7 +202,7 @@ def _(t):
 
 @query("ont_02_words_under", "SELECT DISTINCT code FROM clos WHERE ancestor IN ('TOP/1', 'SIZE/3')")
 def _(t):
-    return G.words_under(G.closure(t.code_edges), ["TOP/1", "SIZE/3"])
+    return G.words_under(closure(t), ["TOP/1", "SIZE/3"])
 
 
 @query("ont_02_roots", "SELECT DISTINCT parent AS code FROM code_edges WHERE parent NOT IN (SELECT code FROM code_edges)")
@@ -203,13 +212,13 @@ def _(t):
 
 @query("ont_03_recorded_date_codes", "SELECT code FROM used_codes WHERE split_part(code, '/', 1) IN ('ATC', 'CPT4', 'DRG', 'Gender', 'HCPCS', 'ICD10CM', 'ICD10PCS', 'LOINC')")
 def _(t):
-    return G.recorded_date_codes(T.build(t).select("code"))
+    return G.recorded_date_codes(timeline(t).select("code"))
 
 
 @query("ont_04_definitions", "SELECT u.code, n.definition FROM used_codes u LEFT JOIN (SELECT vocabulary_id || '/' || concept_code AS code, min(concept_name) AS definition FROM concept GROUP BY 1) n USING (code)")
 def _(t):
     names = T.concept_codes(t.concept).join(t.concept.select("concept_id", "concept_name"), "concept_id")
-    return G.with_definitions(T.build(t).select("code").distinct(), names.groupBy("code").agg(F.min("concept_name").alias("definition")))
+    return G.with_definitions(timeline(t).select("code").distinct(), names.groupBy("code").agg(F.min("concept_name").alias("definition")))
 
 
 @query("ont_05_zip_hierarchy", """SELECT DISTINCT code, parent FROM (SELECT unnest(['ZIP_5/' || z, 'ZIP_3/' || left(z, 3), 'ZIP_1/' || left(z, 1)]) AS code, unnest(['ZIP_3/' || left(z, 3), 'ZIP_1/' || left(z, 1), 'ZIP_0/root']) AS parent

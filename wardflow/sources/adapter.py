@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.segments import durable
+
 RAW = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -285,10 +287,17 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, str(folder).rstrip("/")
+        self._stored: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stored(self, name: str, build) -> DataFrame:
+        """A derived table that several jobs read, written once per session."""
+        if name not in self._stored:
+            self._stored[name] = durable(build(self))
+        return self._stored[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
