@@ -7,3 +7,5 @@ from . import timeline_queries  # noqa: F401
 from . import labeler_queries  # noqa: F401
 from . import timeline_feature_queries  # noqa: F401
 from . import sepsis_queries  # noqa: F401
+from . import split_queries  # noqa: F401
+from . import evaluation_queries  # noqa: F401

@@ -234,10 +234,17 @@ def _(t):
     return D.coronary_death_days(t.condition_occurrence, concepts, t.death)
 
 
-@query("out_15_outcome_demographics", """SELECT c.person_id, index_date, age_in_years, ascvd_binary, race_eth, gender_concept_name,
+cte("cvd_demo", """SELECT c.person_id, index_date, age_in_years, ascvd_binary, race_eth, gender_concept_name,
   CASE WHEN age_in_years < 30 AND age_in_years >= 18 THEN '[18-30)' WHEN age_in_years >= 30 AND age_in_years < 45 THEN '[30-45)' WHEN age_in_years >= 45 AND age_in_years < 55 THEN '[45-55)'
    WHEN age_in_years >= 55 AND age_in_years < 65 THEN '[55-65)' WHEN age_in_years >= 65 AND age_in_years < 75 THEN '[65-75)' WHEN age_in_years >= 75 AND age_in_years < 91 THEN '[75-91)' ELSE '<18' END AS age_group
   FROM cvd c LEFT JOIN demo USING (person_id) WHERE gender_concept_name <> 'No matching concept'""")
-def _(t):
+
+
+def outcome_demo(t):
     return D.outcome_demographics(cardiovascular(t), t.person, t.concept).select(
         "person_id", "index_date", "age_in_years", "ascvd_binary", "race_eth", "gender_concept_name", "age_group")
+
+
+@query("out_15_outcome_demographics", "SELECT * FROM cvd_demo")
+def _(t):
+    return outcome_demo(t)
