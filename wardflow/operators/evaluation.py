@@ -294,18 +294,18 @@ def cross_auc(df: DataFrame, group: str, weight: str | None = None) -> DataFrame
     scores, so the marginal rows are never copied per group.
     """
     every = score_order(df, [], weight).select(SCORE, F.col("pos").alias("ap"), F.col("neg").alias("an"), F.col("pos_upto").alias("apu"), F.col("neg_upto").alias("anu"))
-    sums = weighted(df, weight).agg(F.sum(F.col("_w") * F.col(LABEL)).alias("AP"), F.sum(F.col("_w") * (1 - F.col(LABEL))).alias("AN"))
+    sums = weighted(df, weight).agg(F.sum(F.col("_w") * F.col(LABEL)).alias("all_pos"), F.sum(F.col("_w") * (1 - F.col(LABEL))).alias("all_neg"))
     own = score_order(df, [group], weight)
-    mine = own.groupBy(group).agg(F.sum("pos").alias("GP"), F.sum("neg").alias("GN"))
+    mine = own.groupBy(group).agg(F.sum("pos").alias("own_pos"), F.sum("neg").alias("own_neg"))
     rows = attach(own.join(every, SCORE).join(mine, group), sums)
     c = F.col
     wins_1 = lambda own_: c("pos") * ((c("anu") - c("an") / 2) - (c("neg_upto") - c("neg") / 2) * own_)
-    wins_0 = lambda own_: c("neg") * ((c("AP") - c("apu") + c("ap") / 2) - (c("GP") - c("pos_upto") + c("pos") / 2) * own_)
+    wins_0 = lambda own_: c("neg") * ((c("all_pos") - c("apu") + c("ap") / 2) - (c("own_pos") - c("pos_upto") + c("pos") / 2) * own_)
     first = lambda n: F.first(n)
     out = rows.groupBy(group).agg(
-        (F.sum(wins_1(0)) / (first("GP") * first("AN"))).alias("xauc_1"), (F.sum(wins_0(0)) / (first("GN") * first("AP"))).alias("xauc_0"),
-        (F.sum(wins_1(1)) / (first("GP") * (first("AN") - first("GN")))).alias("xauc_1_excluding"),
-        (F.sum(wins_0(1)) / (first("GN") * (first("AP") - first("GP")))).alias("xauc_0_excluding"))
+        (F.sum(wins_1(0)) / (first("own_pos") * first("all_neg"))).alias("xauc_1"), (F.sum(wins_0(0)) / (first("own_neg") * first("all_pos"))).alias("xauc_0"),
+        (F.sum(wins_1(1)) / (first("own_pos") * (first("all_neg") - first("own_neg")))).alias("xauc_1_excluding"),
+        (F.sum(wins_0(1)) / (first("own_neg") * (first("all_pos") - first("own_pos")))).alias("xauc_0_excluding"))
     names = ["xauc_1", "xauc_0", "xauc_1_excluding", "xauc_0_excluding"]
     return out.select(group, *[F.coalesce(F.nanvl(c(n), F.lit(None).cast("double")), F.lit(FAILED)).alias(n) for n in names])
 
@@ -326,8 +326,8 @@ def earth_movers(df: DataFrame, group: str, weight: str | None = None, label: in
     # Area of |F - G| by parts: sum over scores of the gap times the distance to the next score.
     cuts = durable(value_order(every, [], SCORE, {"_n": "all_w"}).select(SCORE))
     following = next_value(cuts, SCORE)
-    totals = ordered.groupBy(group).agg(F.sum("w").alias("W"), F.sum("all_w").alias("A"))
-    gap = F.abs(F.col("w_upto") / F.col("W") - F.col("all_upto") / F.col("A"))
+    totals = ordered.groupBy(group).agg(F.sum("w").alias("own_total"), F.sum("all_w").alias("all_total"))
+    gap = F.abs(F.col("w_upto") / F.col("own_total") - F.col("all_upto") / F.col("all_total"))
     return ordered.join(following, SCORE).join(totals, group).groupBy(group).agg(F.sum(gap * F.col("step")).alias("emd"))
 
 

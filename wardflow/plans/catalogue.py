@@ -9,3 +9,4 @@ from . import timeline_feature_queries  # noqa: F401
 from . import sepsis_queries  # noqa: F401
 from . import split_queries  # noqa: F401
 from . import evaluation_queries  # noqa: F401
+from . import source_queries  # noqa: F401

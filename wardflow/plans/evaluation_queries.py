@@ -79,7 +79,9 @@ def _(t):
 def edges_sql(quantile: bool, n: int, unit: bool = False) -> str:
     if quantile:
         return f"SELECT quantile_cont(pred_probs, [{', '.join(str(i / n) for i in range(n + 1))}]) AS e FROM predictions"
-    lo, hi = ("0.0", "1.0") if unit else ("min(pred_probs)", "max(pred_probs)")
+    if unit:
+        return f"SELECT [{', '.join(str(i / n) for i in range(n + 1))}]::DOUBLE[] AS e"
+    lo, hi = "min(pred_probs)", "max(pred_probs)"
     return f"SELECT [{', '.join(f'{lo} + ({hi} - {lo}) * {i / n}' for i in range(n + 1))}]::DOUBLE[] AS e FROM predictions"
 
 
@@ -163,7 +165,6 @@ def _(t):
 
 
 TH = "(VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) v(threshold)"
-_f = lambda a, b: f"sum(weights) FILTER (WHERE {b}) > 0 AND TRUE"
 _ratio = lambda a, b: f"coalesce(sum(weights) FILTER (WHERE {a}), 0) / sum(weights) FILTER (WHERE {b})"
 cte("thr", f"""SELECT grp, threshold, {_ratio('pred_probs >= threshold AND labels = 1', 'labels = 1')} AS recall, {_ratio('pred_probs >= threshold AND labels = 1', 'pred_probs >= threshold')} AS precision,
   {_ratio('pred_probs < threshold AND labels = 0', 'labels = 0')} AS specificity, {_ratio('pred_probs >= threshold AND labels = 0', 'labels = 0')} AS fpr, {_ratio('pred_probs >= threshold', 'TRUE')} AS positive_rate FROM predictions, {TH} GROUP BY 1, 2""")
@@ -198,12 +199,6 @@ def _(t):
     return R(E.cross_auc(t.predictions, "grp", "weights"), "xauc_1", "xauc_0", "xauc_1_excluding", "xauc_0_excluding")
 
 
-def emd_sql(where: str) -> str:
-    return f"""WITH p AS (SELECT * FROM predictions WHERE {where}), s AS (SELECT v, lead(v) OVER (ORDER BY v) - v AS step FROM (SELECT DISTINCT pred_probs AS v FROM p) q)
-     SELECT g.grp, sum(step * abs((SELECT sum(weights) FROM p WHERE p.grp = g.grp AND pred_probs <= v) / (SELECT sum(weights) FROM p WHERE p.grp = g.grp) - (SELECT sum(weights) FROM p WHERE pred_probs <= v) / (SELECT sum(weights) FROM p))) AS emd
-     FROM (SELECT DISTINCT grp FROM p) g, s WHERE step IS NOT NULL GROUP BY 1"""
-
-
 EMD = "SELECT grp, sum(step * abs(coalesce(gw, 0) / gt - aw / at_)) AS emd FROM (SELECT g.grp, s.step, s.v, (SELECT sum(weights) FROM p WHERE grp = g.grp AND pred_probs <= s.v) AS gw, (SELECT sum(weights) FROM p WHERE grp = g.grp) AS gt, (SELECT sum(weights) FROM p WHERE pred_probs <= s.v) AS aw, (SELECT sum(weights) FROM p) AS at_ FROM (SELECT DISTINCT grp FROM p) g, s WHERE step IS NOT NULL) z GROUP BY 1"
 
 

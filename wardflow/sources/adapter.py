@@ -239,8 +239,8 @@ FROM (SELECT doc_id, n_chars, 0 AS k FROM {table:documents} UNION ALL SELECT doc
     "predictions": """
 SELECT l.doc_id AS row_id, l.doc_id % 97 AS person_id, l.quality AS labels,
   l.toxic AS other_label, d.lang AS grp, d.source AS site,
-  CAST(0.02 + 0.25 * l.quality + ((d.n_chars * 79 + l.doc_id * 1047) % 701) / 1000.0 AS DOUBLE) AS pred_probs,
-  CAST(0.02 + ((d.n_chars * 31 + l.doc_id * 457) % 907) / 1000.0 AS DOUBLE) AS base_probs,
+  CAST(20 + 250 * l.quality + (d.n_chars * 79 + l.doc_id * 1047) % 701 AS DOUBLE) / 1000 AS pred_probs,
+  CAST(20 + (d.n_chars * 31 + l.doc_id * 457) % 907 AS DOUBLE) / 1000 AS base_probs,
   CAST(1 + l.doc_id % 3 AS DOUBLE) AS weights
 FROM {table:labels} l JOIN {table:documents} d ON l.doc_id = d.doc_id""",
 }
