@@ -43,24 +43,25 @@ def ranking_metrics(df: DataFrame, strata: list[str], weight: str | None = None,
         F.sum(F.col("_w") * F.col(LABEL)).alias("P"), F.sum(F.col("_w") * (1 - F.col(LABEL))).alias("N"), F.avg(LABEL).alias("pi"))
     tp = F.col("P") - F.col("pos_upto") + F.col("pos")
     fp = F.col("N") - F.col("neg_upto") + F.col("neg")
-    ratio = F.col("pi") * (1 - pi0) / (pi0 * (1 - F.col("pi")))
+    ratio = F.try_divide(F.col("pi") * (1 - pi0), pi0 * (1 - F.col("pi")))
     rows = _join(ordered, totals, strata)
     out = _by(rows, strata).agg(
-        (F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)) / (F.first("P") * F.first("N"))).alias("auc"),
+        F.try_divide(F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)), F.first("P") * F.first("N")).alias("auc"),
         F.sum(F.when(F.col("pos") > 0, F.col("pos") / F.col("P") * tp / (tp + fp))).alias("auprc"),
         F.sum(F.when(F.col("pos") > 0, F.col("pos") / F.col("P") * tp / (tp + ratio * fp))).alias("auprc_calibrated"),
         F.first("P").alias("P"), F.first("N").alias("N"),
     )
     one_class = (F.col("P") == 0) | (F.col("N") == 0)
     fill = lambda c: F.when(one_class, FAILED).otherwise(F.col(c)).alias(c)
-    return out.select(*strata, fill("auc"), fill("auprc"), fill("auprc_calibrated"))
+    # Without positives the precision-recall area is 0, without negatives it is 1.
+    return out.select(*strata, fill("auc"), F.coalesce("auprc", F.lit(0.0)).alias("auprc"), fill("auprc_calibrated"))
 
 
 def mean_metrics(df: DataFrame, strata: list[str], weight: str | None = None) -> DataFrame:
     """brier, log loss, mean prediction (all, by label) and outcome rate per stratum."""
     p, y, w = F.col(SCORE), F.col(LABEL), F.col("_w")
     q = F.least(F.greatest(p, F.lit(EPS)), F.lit(1 - EPS))
-    mean = lambda x, keep=None: F.sum(x * w if keep is None else F.when(keep, x * w)) / F.sum(w if keep is None else F.when(keep, w))
+    mean = lambda x, keep=None: F.try_divide(F.sum(x * w if keep is None else F.when(keep, x * w)), F.sum(w if keep is None else F.when(keep, w)))
     return _by(weighted(df, weight), strata).agg(
         mean((p - y) * (p - y)).alias("brier"), mean(-(y * F.log(q) + (1 - y) * F.log(1 - q))).alias("loss_bce"),
         mean(p).alias("mean_prediction"), mean(p, y == 1).alias("mean_prediction_1"), mean(p, y == 0).alias("mean_prediction_0"),
@@ -303,11 +304,12 @@ def cross_auc(df: DataFrame, group: str, weight: str | None = None) -> DataFrame
     wins_0 = lambda own_: c("neg") * ((c("all_pos") - c("apu") + c("ap") / 2) - (c("own_pos") - c("pos_upto") + c("pos") / 2) * own_)
     first = lambda n: F.first(n)
     out = rows.groupBy(group).agg(
-        (F.sum(wins_1(0)) / (first("own_pos") * first("all_neg"))).alias("xauc_1"), (F.sum(wins_0(0)) / (first("own_neg") * first("all_pos"))).alias("xauc_0"),
-        (F.sum(wins_1(1)) / (first("own_pos") * (first("all_neg") - first("own_neg")))).alias("xauc_1_excluding"),
-        (F.sum(wins_0(1)) / (first("own_neg") * (first("all_pos") - first("own_pos")))).alias("xauc_0_excluding"))
+        F.try_divide(F.sum(wins_1(0)), first("own_pos") * first("all_neg")).alias("xauc_1"),
+        F.try_divide(F.sum(wins_0(0)), first("own_neg") * first("all_pos")).alias("xauc_0"),
+        F.try_divide(F.sum(wins_1(1)), first("own_pos") * (first("all_neg") - first("own_neg"))).alias("xauc_1_excluding"),
+        F.try_divide(F.sum(wins_0(1)), first("own_neg") * (first("all_pos") - first("own_pos"))).alias("xauc_0_excluding"))
     names = ["xauc_1", "xauc_0", "xauc_1_excluding", "xauc_0_excluding"]
-    return out.select(group, *[F.coalesce(F.nanvl(c(n), F.lit(None).cast("double")), F.lit(FAILED)).alias(n) for n in names])
+    return out.select(group, *[F.coalesce(c(n), F.lit(FAILED)).alias(n) for n in names])
 
 
 def earth_movers(df: DataFrame, group: str, weight: str | None = None, label: int | None = None) -> DataFrame:

@@ -102,7 +102,7 @@ def force_prevalence(labels: DataFrame, prevalence: float, seed: int) -> DataFra
     sizes = labels.agg(F.sum("label").alias("_p"), F.sum(1 - F.col("label")).alias("_n"))
     negatives = hash_rank(labels.where("label = 0"), [], key_hash("person_id", "day_index", seed=seed))
     wanted = F.floor(F.col("_n") - F.col("_p") * (1 - prevalence) / prevalence)
-    too_few = F.col("_p") / (F.col("_p") + F.col("_n")) < prevalence
+    too_few = F.col("_p") < prevalence * (F.col("_p") + F.col("_n"))
     kept = attach(negatives, sizes).where(~too_few | (F.col("rank") >= wanted)).select(*labels.columns)
     return labels.where("label = 1").unionByName(kept)
 

@@ -91,9 +91,9 @@ def lab_values(measurement: DataFrame, concepts: DataFrame, units: dict[int, str
 
 def _hit(op: str, level: str, threshold: float, value: Column, base: Column) -> Column:
     if op == "ratio":
-        return value / base >= threshold
+        return F.try_divide(value, base) >= threshold
     if op == "ratio_or_rise":
-        return (value / base >= threshold) | (value - base >= RISES[level])
+        return (F.try_divide(value, base) >= threshold) | (value - base >= RISES[level])
     return {">": value > threshold, "<": value < threshold, "<=": value <= threshold}[op]
 
 
@@ -232,7 +232,7 @@ def admission_labs(cohort, measurement, concept, ancestors, person) -> DataFrame
         measurement, expand(concept, ancestors, KIDNEY_INJURY.concepts), {8749: "* 0.0113122", 8840: "", 8837: "* 0.001"}
     )
     based = creatinine_baseline(base, crea, person)
-    ratio = value / F.col("baseline")
+    ratio = F.try_divide(value, F.col("baseline"))
     aki = _first_hits(based, crea, {"aki1": (ratio >= 1.5) | (value - F.col("baseline") >= 0.3), "aki2": ratio >= 2.0},
                       F.max(value), ["baseline"])
     glucose = lab_values(measurement, expand(concept, ancestors, HYPOGLYCEMIA.concepts), {8840: "", 9028: "", 8753: "* 18"})

@@ -41,7 +41,7 @@ def age_feature(points: DataFrame, fitted: DataFrame | None = None) -> DataFrame
     """Age at the label day, standardised when a fitted state is given."""
     if fitted is None:
         return points.select("person_id", "day_index", F.lit(0).alias("column"), F.col("age").cast("double").alias("value"))
-    value = (F.col("age") - F.col("mean")) / F.col("deviation")
+    value = F.try_divide(F.col("age") - F.col("mean"), F.col("deviation"))
     return attach(points, fitted).select("person_id", "day_index", F.lit(0).alias("column"), value.alias("value"))
 
 
@@ -282,7 +282,7 @@ def day_rows(days: DataFrame, codes: DataFrame, valid: DataFrame, statistics: Da
     gap = F.col("age") - F.coalesce(F.lag("age").over(Window.partitionBy("person_id").orderBy("age")), F.lit(0))
     rows = attach(days.withColumn("gap", gap), statistics).join(indexed, ["person_id", "age"], "left")
     birth = F.col("age") == 0
-    scaled = lambda v, s: F.when(birth, 0.0).otherwise((v - F.col(f"{s}_mean")) / F.col(f"{s}_std"))
+    scaled = lambda v, s: F.when(birth, 0.0).otherwise(F.try_divide(v - F.col(f"{s}_mean"), F.col(f"{s}_std")))
     return rows.select(
         "person_id", "day_index", F.coalesce("codes", F.array().cast("array<bigint>")).alias("codes"),
         scaled(F.col("age"), "age").alias("age_z"), scaled(F.log1p("age"), "age_log").alias("log_age_z"),

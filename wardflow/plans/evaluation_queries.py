@@ -35,9 +35,10 @@ def mean_sql(keys: str, w: str = "weights", source: str = SRC) -> str:
 
 
 def long_sql(keys: str, w: str = "weights", metrics=E.METRICS) -> str:
-    using = f"JOIN ap USING ({keys}) JOIN me USING ({keys})" if keys else ", ap, me"
+    using = f"me LEFT JOIN ap USING ({keys}) LEFT JOIN au USING ({keys})" if keys else "me, ap, au"
     k = f"{keys}, " if keys else ""
-    head = f"WITH au AS ({auc_sql(keys, w=w)}), ap AS ({ap_sql(keys, w)}), me AS ({mean_sql(keys, w)}), wide AS (SELECT * FROM au {using}) "
+    filled = "coalesce(auc, -1.0) AS auc, coalesce(auprc, 0.0) AS auprc, CASE WHEN auc IS NULL THEN -1.0 ELSE auprc_calibrated END AS auprc_calibrated"
+    head = f"WITH au AS ({auc_sql(keys, w=w)}), ap AS ({ap_sql(keys, w)}), me AS ({mean_sql(keys, w)}), wide AS (SELECT * REPLACE ({filled}) FROM {using}) "
     return head + " UNION ALL ".join(f"SELECT {k}'{m}' AS metric, CAST({m} AS DOUBLE) AS performance FROM wide" for m in metrics)
 
 
@@ -61,7 +62,7 @@ def _(t):
     return R(E.ranking_metrics(t.predictions, ["site"]).select("site", "auc"), "auc")
 
 
-@query("evl_04_average_precision", ROUND(f"SELECT grp, auprc FROM ({ap_sql('grp', 'one')}) x", "auprc"))
+@query("evl_04_average_precision", ROUND(f"SELECT grp, coalesce(auprc, 0.0) AS auprc FROM ({ap_sql('grp', 'one')}) x", "auprc"))
 def _(t):
     return R(E.ranking_metrics(t.predictions, ["grp"]).select("grp", "auprc"), "auprc")
 
@@ -193,7 +194,8 @@ def xauc_sql(label: int, excluding: bool) -> str:
       FROM (SELECT DISTINCT grp FROM predictions) g, predictions a, predictions b WHERE a.labels = 1 AND b.labels = 0 AND {cond} GROUP BY 1"""
 
 
-@query("evl_17_cross_auc", ROUND(f"""SELECT grp, x1.v AS xauc_1, x0.v AS xauc_0, e1.v AS xauc_1_excluding, e0.v AS xauc_0_excluding FROM ({xauc_sql(1, False)}) x1 JOIN ({xauc_sql(0, False)}) x0 USING (grp) JOIN ({xauc_sql(1, True)}) e1 USING (grp) JOIN ({xauc_sql(0, True)}) e0 USING (grp)""",
+@query("evl_17_cross_auc", ROUND(f"""SELECT grp, coalesce(x1.v, -1) AS xauc_1, coalesce(x0.v, -1) AS xauc_0, coalesce(e1.v, -1) AS xauc_1_excluding, coalesce(e0.v, -1) AS xauc_0_excluding FROM (SELECT DISTINCT grp FROM predictions) g
+  LEFT JOIN ({xauc_sql(1, False)}) x1 USING (grp) LEFT JOIN ({xauc_sql(0, False)}) x0 USING (grp) LEFT JOIN ({xauc_sql(1, True)}) e1 USING (grp) LEFT JOIN ({xauc_sql(0, True)}) e0 USING (grp)""",
        "xauc_1", "xauc_0", "xauc_1_excluding", "xauc_0_excluding"))
 def _(t):
     return R(E.cross_auc(t.predictions, "grp", "weights"), "xauc_1", "xauc_0", "xauc_1_excluding", "xauc_0_excluding")
