@@ -287,11 +287,13 @@ def differences(scored: DataFrame) -> DataFrame:
     shock = sum((F.col(s) for s in SHOCKS[1:]), F.col(SHOCKS[0]))
     rows = scored.withColumn("sofa_score", total).withColumn("shock_score", shock)
     names = [*ORGANS, *SHOCKS, "sofa_score", "shock_score"]
-    current = rows.where("period = 'current'").select(*STAY, "admit_date", "sepsis_index_date", *names)
-    prior = rows.where("period = 'prior'").select(*STAY, *[F.col(n).alias(f"{n}_prior") for n in names])
+    # Both periods of a stay meet in one aggregation, so the scored rows are read once.
+    of = lambda n, p: F.max(F.when(F.col("period") == p, F.col(n)))
+    out = rows.groupBy(*STAY, "admit_date", "sepsis_index_date").agg(
+        *[of(n, "current").alias(n) for n in names], *[of(n, "prior").alias(f"{n}_prior") for n in names])
     yes = lambda cond: F.when(cond, "Yes").otherwise("No")
     gap = lambda n: F.col(n) - F.col(f"{n}_prior")
-    out = current.join(prior, STAY).withColumn("sofa_score_diff", gap("sofa_score"))
+    out = out.withColumn("sofa_score_diff", gap("sofa_score"))
     out = (
         out.withColumn("sofa_current", yes(F.col("sofa_score") >= 2)).withColumn("sofa_prior", yes(F.col("sofa_score_prior") >= 2))
         .withColumn("sofa_diff", yes(F.col("sofa_score_diff") >= 2)).withColumn("shock", yes(F.col("shock_score") == 2))

@@ -67,7 +67,7 @@ def _(t):
     return R(E.ranking_metrics(t.predictions, ["grp"]).select("grp", "auprc"), "auprc")
 
 
-@query("evl_05_calibrated_average_precision", ROUND(f"SELECT grp, auprc_calibrated FROM ({ap_sql('grp')}) x", "auprc_calibrated"))
+@query("evl_05_calibrated_average_precision", ROUND(f"SELECT g.grp, CASE WHEN y.auc IS NULL THEN -1.0 ELSE x.auprc_calibrated END AS auprc_calibrated FROM (SELECT DISTINCT grp FROM predictions) g LEFT JOIN ({ap_sql('grp')}) x USING (grp) LEFT JOIN ({auc_sql('grp')}) y USING (grp)", "auprc_calibrated"))
 def _(t):
     return R(E.ranking_metrics(t.predictions, ["grp"], "weights").select("grp", "auprc_calibrated"), "auprc_calibrated")
 
