@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.segments import carry_last, overlap_join, window_join
+from ..functions.segments import carry_last, durable, overlap_join, window_join
 from ..functions.timeunits import diff_days, diff_minutes, diff_months
 from .concepts import expand_sets
 
@@ -308,9 +308,13 @@ def differences(scored: DataFrame) -> DataFrame:
 
 
 def components(t, infection: DataFrame, sheets: DataFrame, rules: str = "default") -> DataFrame:
-    """Every component of both periods, one row per stay and period."""
-    values = component_values(t.measurement, t.concept, t.concept_ancestor, rules)
-    inspired = inspired_oxygen(sheets)
+    """Every component of both periods, one row per stay and period.
+
+    The component values and the charted FiO2 are read by several components,
+    so each is written once.
+    """
+    values = durable(component_values(t.measurement, t.concept, t.concept_ancestor, rules))
+    inspired = durable(inspired_oxygen(sheets))
     base = periods(infection).select(*STAY, "period").join(
         infection.select(*STAY, "age_in_months", "admit_date", "sepsis_index_date"), STAY)
     for part in (

@@ -42,10 +42,15 @@ cte("icu", """SELECT * FROM (SELECT d.person_id, d.visit_occurrence_id, d.visit_
   WHERE rn = 1 AND age_in_years BETWEEN 15 AND 89 AND los_icu_hours BETWEEN 12 AND 240 AND left_hours >= 6""")
 
 
-def adm(t):
+def build_admissions(t):
     return C.admission_rollup(C.inpatient_visits(t.visit_occurrence, t.person))
 
 
+def adm(t):
+    """Admissions as a stored table: labels, features and splits all start from it."""
+    return t.stored("admissions", build_admissions)
+
+
 def adm_age(t):
     return O.age_groups(adm(t), t.person).drop("age_group")
 
@@ -68,7 +73,7 @@ def _(t):
 
 @query("coh_02_admission_rollup", "SELECT * FROM adm")
 def _(t):
-    return adm(t)
+    return build_admissions(t)
 
 
 @query("coh_03_one_admission_per_person", f"""SELECT person_id, admit_date, discharge_date, age_in_years, {HASH60.format(k='k')} AS prediction_id
@@ -185,7 +190,7 @@ cte("adm_readm", """SELECT person_id, admit_date, discharge_date, CASE WHEN w BE
 
 @query("out_05_readmission", "SELECT * FROM adm_readm")
 def _(t):
-    return O.readmission(adm(t))
+    return O.readmission(build_admissions(t))
 
 
 @query("out_06_icu_admission", """WITH d AS (SELECT a.person_id, a.admit_date, min(v.visit_detail_start_datetime) AS icu_start_datetime FROM adm a JOIN visit_detail v

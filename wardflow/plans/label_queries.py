@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import concepts as K, diagnoses as D, labs as L
+from ..operators import concepts as K, diagnoses as D, labs as L, outcomes
 from .cohort_queries import adm, outpatients
 from .registry import cte, query
 
@@ -51,6 +51,17 @@ def register_lab(number: int, spec: L.LabSpec):
 for _n, _s in ((1, L.HYPERKALEMIA), (2, L.HYPOGLYCEMIA), (4, L.HYPONATREMIA), (5, L.ANEMIA), (7, L.THROMBOCYTOPENIA)):
     register_lab(_n, _s)
 
+cte("admmid", """SELECT DISTINCT person_id, CAST(CAST(admit_date AS DATE) AS TIMESTAMP) + INTERVAL '1439' MINUTE AS admit_date, CAST(CAST(discharge_date AS DATE) AS TIMESTAMP) + INTERVAL '1439' MINUTE AS discharge_date FROM adm""")
+
+
+@query("labq_00_any_window", "SELECT * RENAME (admit_date AS admit_date_midnight, discharge_date AS discharge_date_midnight) FROM (" + label_sql(
+    L.HYPONATREMIA.label, L.HYPONATREMIA.levels, True, L.HYPONATREMIA.extreme, True, value_sql(L.HYPONATREMIA)).replace("FROM adm a JOIN", "FROM admmid a JOIN").replace(
+    "measurement_datetime BETWEEN admit_date AND discharge_date", "measurement_datetime > admit_date AND measurement_datetime <= discharge_date") + ") w")
+def _(t):
+    return L.lab_label(outcomes.end_of_days(adm(t)), t.measurement, t.concept, t.concept_ancestor, L.HYPONATREMIA, closed="right",
+                       start="admit_date_midnight", end="discharge_date_midnight")
+
+
 AGE = "date_diff('day', CAST(birth_datetime AS DATE), CAST(admit_date AS DATE))"
 NORM = f"""CASE WHEN {AGE} BETWEEN 0 AND 14 THEN 0.92 WHEN {AGE} BETWEEN 15 AND 729 THEN 0.36 WHEN {AGE} BETWEEN 730 AND 1824 THEN 0.43
   WHEN {AGE} BETWEEN 1825 AND 4379 THEN 0.61 WHEN {AGE} BETWEEN 4380 AND 5474 THEN 0.81 WHEN {AGE} BETWEEN 5475 AND 6934 THEN 0.84

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import sepsis as Z
-from .cohort_queries import adm
+from .cohort_queries import adm, build_admissions
 from .label_queries import expanded
 from .registry import cte, query
 
@@ -166,7 +166,7 @@ def _(t):
 def _(t):
     from ..functions.segments import durable
 
-    admissions = durable(adm(t))
+    admissions = durable(build_admissions(t))
     found = durable(Z.suspected_infection(admissions, t.measurement, t.drug_exposure, t.concept_ancestor, t.person))
     charted = durable(Z.flowsheets(t.observation, t.concept))
     scored = durable(Z.scores(Z.components(t, found, charted)))
