@@ -66,6 +66,12 @@ def test_crosswalk_rules(spark):
     assert got == [("0010", "A00.1"), ("0030", "C10.0"), ("0030", "C30.0")]
 
 
+def test_crosswalk_file_order(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("0010   A001 10000\n0010   A009 10000\n0040  D5   10000\n")
+    got = sorted((r.source, r.target) for r in timeline.crosswalk(readers.crosswalk_file(spark, str(tmp_path))).collect())
+    assert got == [("0010", "A00.1"), ("0040", "D5")]
+
+
 def test_score_bands_by_age(spark):
     base = literal_rows(spark, [(240, 1.3), (30, 1.3), (0, 1.3)], "age_in_months int, max_creatinine double")
     for name in ("min_platelet", "max_bilirubin", "max_dopamine_days", "max_dobutamine_days", "max_epinephrine_days", "max_norepinephrine_days",

@@ -47,10 +47,13 @@ def pipe_release(spark: SparkSession, path: str, columns: dict[str, int]) -> Dat
 def crosswalk_file(spark: SparkSession, path: str) -> DataFrame:
     """Whitespace-separated crosswalk rows (source, target, five flag digits) with their file position.
 
-    The file position is the order within the file's partitions, read in file order.
+    The position orders by file, by block inside the file and by row inside the
+    block, because tasks do not follow the order of the blocks.
     """
     parts = F.split(F.trim("value"), r"\s+")
-    rows = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = spark.read.text(path).select("value", place.alias("line_no"))
     return rows.select("line_no", parts[0].alias("source"), parts[1].alias("target"), parts[2].alias("flags")).where(F.col("flags").isNotNull())
 
 
