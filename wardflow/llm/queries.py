@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,21 @@ def op5(spark, folder):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~quality.passes("base")).alias("base_failed"), quality.passes().alias("kept"), "failed",
     )
+
+
+@query("op9_secret_automaton")
+def op9(spark, folder):
+    spans = secrets.scan(table(spark, folder, "documents"))
+    text = lambda kinds: F.array_join(
+        F.transform(
+            F.filter("spans", lambda x: x["kind"].isin(*kinds)),
+            lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")),
+        ),
+        ",",
+    )
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = [r.kind for r in secrets.BASE]
+    return spans.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in base],
+        F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text([r.kind for r in secrets.RULES]).alias("spans"),
+    )
