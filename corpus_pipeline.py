@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.functions.segments import shared_folder
-from wardflow.llm import quality
+from wardflow.llm import quality, secrets
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,8 +20,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts masked."""
+    return secrets.redact(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("secret_scans", secret_scans),
 ]
 
 #: SQL cannot express the signatures, the fitted rates and the sampled segmentations; tests hold the stages against plain versions.
