@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality, secrets
+from . import quality, secrets, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,45 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op2_warc_round_trip", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS last_id FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT d.*, CASE WHEN d.page_id < g.last_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN d.page_id < g.last_id THEN g.last_id END AS refers_to,
+ CASE WHEN d.page_id < g.last_id THEN NULL ELSE TRUE END AS digest_ok FROM d LEFT JOIN g USING (payload_digest)
+""")
+def op2(spark, folder):
+    rows = warc.round_trip(table(spark, folder, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
+#: Sites whose pages form the list of the URL query: words joined by a hyphen in front of the domain.
+LISTED_SITES = r"^([a-z0-9-]+\.)*[a-z0-9]+-[a-z0-9]+\.[a-z0-9-]+\.[a-z]+$"
+
+
+@query("op4_url_filter", r"""
+WITH p AS (SELECT page_id, url,
+ coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+ coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+t AS (SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'),
+ lambda x: NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)') AND x <> '')), '&') AS tail FROM p),
+c AS (SELECT page_id, host, path, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
+ || regexp_replace(path, '(/index\.html?|/)$', '') || CASE WHEN coalesce(tail, '') <> '' THEN '?' || tail ELSE '' END END AS key FROM t),
+l AS (SELECT DISTINCT key FROM c WHERE regexp_matches(host, '^([a-z0-9-]+\.)*[a-z0-9]+-[a-z0-9]+\.[a-z0-9-]+\.[a-z]+$')),
+r(rule, rhost, rpath, verdict) AS (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+ ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+b AS (SELECT c.*, r.rule, r.verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(r.rule) DESC NULLS LAST) AS k
+ FROM c LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN l.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, l.key IS NOT NULL AS listed
+FROM b LEFT JOIN l USING (key) WHERE k = 1
+""")
+def op4(spark, folder):
+    pages = table(spark, folder, "pages")
+    url = F.col("url")
+    listed = pages.where(urlfilter.host(url).rlike(LISTED_SITES)).select(urlfilter.canonical(url).alias("url"))
+    return urlfilter.judge(pages, listed)
+
+
 @query("op5_quality_ledger", r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word, generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) AS i FROM d),
