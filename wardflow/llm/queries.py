@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality, secrets, urlfilter, warc
+from . import language_model, quality, secrets, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,8 @@ def op9(spark, folder):
         "doc_id", *[count(k).alias(f"n_{k}") for k in base],
         F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text([r.kind for r in secrets.RULES]).alias("spans"),
     )
+
+
+@query("op3_backoff_automaton")
+def op3(spark, folder):
+    return language_model.score_all(table(spark, folder, "documents"))
