@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_model, quality, secrets, urlfilter, warc
+from . import language_model, near_dedup, quality, secrets, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +119,8 @@ def op9(spark, folder):
 @query("op3_backoff_automaton")
 def op3(spark, folder):
     return language_model.score_all(table(spark, folder, "documents"))
+
+
+@query("op8_bag_minhash")
+def op8(spark, folder):
+    return near_dedup.classes(table(spark, folder, "documents"))
