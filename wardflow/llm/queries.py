@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_model, near_dedup, quality, secrets, urlfilter, warc
+from . import language_model, near_dedup, quality, secrets, segmentation, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +124,12 @@ def op3(spark, folder):
 @query("op8_bag_minhash")
 def op8(spark, folder):
     return near_dedup.classes(table(spark, folder, "documents"))
+
+
+@query("op1_sampled_segmentations")
+def op1(spark, folder):
+    rows = segmentation.decode(segmentation.encode(table(spark, folder, "documents")), out="decoded")
+    return rows.select(
+        "doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion",
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("lossless"),
+    )
