@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.functions.segments import shared_folder
-from wardflow.llm import near_dedup, quality, secrets
+from wardflow.llm import near_dedup, quality, secrets, segmentation
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +30,16 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redact(docs)
 
 
+def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document as piece ids."""
+    return segmentation.encode(docs).drop("text_hash")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("minhash_near_dedup", minhash_near_dedup),
     ("secret_scans", secret_scans),
+    ("sentencepiece_encoding", sentencepiece_encoding),
 ]
 
 #: SQL cannot express the signatures, the fitted rates and the sampled segmentations; tests hold the stages against plain versions.
