@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_model, near_dedup, quality, secrets, segmentation, urlfilter, warc
+from . import language_id, language_model, near_dedup, quality, secrets, segmentation, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +133,8 @@ def op1(spark, folder):
         "doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion",
         (F.xxhash64("decoded") == F.col("text_hash")).alias("lossless"),
     )
+
+
+@query("op6_byte_network")
+def op6(spark, folder):
+    return language_id.identify(table(spark, folder, "documents"))
