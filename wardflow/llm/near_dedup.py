@@ -14,11 +14,12 @@ empty go on to twice the limit.
 
 Texts with equal multisets form one node.  Nodes meet in buckets of equal bands
 of registers; pairs are verified by the multiset overlap of their texts.  A
-bucket is searched by leaders, not by pairs: first every node against the
-smallest node of its buckets, then, only in buckets that still hold nodes of
-different classes, against the next 4, 16, 64, ... smallest ones, until a bucket
-is one class or all its nodes have led.  So no verified link between classes is
-lost within a bucket, and a group of copies costs one comparison a node.
+bucket is searched by leaders, not by pairs: first every node against the first
+leader of its buckets, in an order of each bucket's own, then, only in buckets
+that still hold several classes, the nodes outside the first leader's against the
+next 4, 16, 64, ... leaders, until a bucket is one class or all its nodes have
+led.  So no link between classes is lost within a bucket, and a group of copies
+costs a few comparisons a node.
 
 Cases: null and empty texts and those of white space only have an empty
 multiset and form one class; rows with equal ids are one document and share a
@@ -220,22 +221,26 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     nodes = signed.join(names.where("n_runs > 0").select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "bands", "marks")
     held = durable(buckets(nodes))
 
-    pairs = held.join(held.groupBy("key").agg(F.min("node").alias("a")), "key").where("a < node").select("a", F.col("node").alias("b")).distinct()
+    turn = F.xxhash64("key", "node")  # every bucket has an order of its own, so a node meets other leaders in other buckets
+    first = held.groupBy("key").agg(F.min(F.struct(turn, F.col("node").alias("a"))).alias("lead")).select("key", F.col("lead.a").alias("a"))
+    pairs = held.join(first, "key").where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
     edges = durable(verified(agreeing(pairs, nodes), docs, threshold))
     led, more = 1, 4
     while True:
         labels = components(edges)
         # Buckets that hold nodes of several classes after all their first ``led`` nodes have led.
         now = held.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("class"))
-        spread = now.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n"))
-        open_keys = spread.where((F.col("lo") < F.col("hi")) & (F.col("n") > led + 1)).select("key")
+        head = F.min(F.struct(turn, "node", "class"))["class"]
+        spread = now.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n"), head.alias("first"))
+        open_keys = spread.where((F.col("lo") < F.col("hi")) & (F.col("n") > led + (led == 1))).select("key", "first")
         left = durable(now.join(open_keys, "key"))
         if left.isEmpty():
             break
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        ranked = left.withColumn("rank", rank)
-        leaders = ranked.where((F.col("rank") > led) & (F.col("rank") <= led + more)).select("key", F.col("node").alias("a"), F.col("class").alias("a_class"))
-        pairs = leaders.join(left, "key").where("a < node and a_class <> class").select("a", F.col("node").alias("b")).distinct()
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(turn, "node"))
+        leaders = left.withColumn("rank", rank).where((F.col("rank") > led) & (F.col("rank") <= led + more)).select("key", F.col("node").alias("lead"), F.col("class").alias("lead_class"))
+        # The first leader's class only grows; a pair of it and another class is met once its node of that class leads.
+        others = left.where("class <> first").select("key", "node", "class")
+        pairs = leaders.join(others, "key").where("lead_class <> class").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
         edges = durable(edges.union(verified(agreeing(pairs, nodes), docs, threshold)))
         led, more = led + more, more * 4
     return member.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"), "n_runs")
