@@ -400,7 +400,7 @@ def encode(docs: DataFrame, k: int = SAMPLES, path: str = MODEL, doc_id: str = "
     names = [c.split()[0] for c in ENCODED.split(", ")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in ts.sliced(batches, "text", 2 * ts.SLICE_BYTES):
+        for b in ts.sliced(batches, "text", ts.SLICE_BYTES // 2):
             key = b.column("doc_id").fill_null(0).to_numpy().view(np.uint64)
             found = sample(b.column("text").to_pylist(), key, model.value, k)
             count = np.array([len(x) for x in found])
