@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SMALL
+from wardflow.plans import registry
 from wardflow.sources.adapter import RAW
 
 SAMPLE = [
@@ -51,10 +52,10 @@ def rows(names, data):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_ORACLE
+    assert set(registry.QUERIES) - set(entry.oracle_sql()) == WITHOUT_ORACLE
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracle_binds(duck, name):
     duck.execute("explain " + entry.oracle_sql()[name])
 
