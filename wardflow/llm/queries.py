@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, language_model, near_dedup, quality, secrets, segmentation, urlfilter, warc
+from . import language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,8 @@ def op1(spark, folder):
 @query("op6_byte_network")
 def op6(spark, folder):
     return language_id.identify(table(spark, folder, "documents"))
+
+
+@query("op7_soft_mixing")
+def op7(spark, folder):
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
