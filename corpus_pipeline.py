@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.functions.segments import shared_folder
-from wardflow.llm import near_dedup, quality, secrets, segmentation
+from wardflow.llm import mixing, near_dedup, quality, secrets, segmentation
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +30,11 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redact(docs)
 
 
+def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by their fitted rates; a rate of 1 or more keeps the document once."""
+    return mixing.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every document as piece ids."""
     return segmentation.encode(docs).drop("text_hash")
@@ -39,6 +44,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("minhash_near_dedup", minhash_near_dedup),
     ("secret_scans", secret_scans),
+    ("mixing_to_targets", mixing_to_targets),
     ("sentencepiece_encoding", sentencepiece_encoding),
 ]
 
