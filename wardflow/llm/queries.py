@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, urlfilter, warc
+from . import language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, spot_signatures, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +143,12 @@ def op6(spark, folder):
 @query("op7_soft_mixing")
 def op7(spark, folder):
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_spot_signatures")
+def op10(spark, folder):
+    rows = spot_signatures.compare(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), spot_signatures.fingerprint(F.col("sigs")).alias("fingerprint"),
+        spot_signatures.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
