@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wardflow.operators import cohorts, comparison, labelers, ontology, outcomes, splits, timeline, timeline_features as features
+from wardflow.operators import cohorts, comparison, concepts, labelers, ontology, outcomes, splits, timeline, timeline_features, timeline_features as features
 from wardflow.functions.segments import literal_rows
 
 
@@ -113,6 +113,17 @@ def test_row_set_equality(spark):
     assert not comparison.same_rows(a, literal_rows(spark, [(1, "x")], "k int, v string"))
 
 
-def test_cycle_in_hierarchy_is_an_error(spark):
-    edges = literal_rows(spark, [("a", "b"), ("b", "c")], "code string, parent string")
-    assert {(r.code, r.ancestor) for r in ontology.closure(edges).collect()} >= {("a", "c"), ("c", "c")}
+def test_hierarchy_of_any_depth_and_cycles(spark):
+    edges = literal_rows(spark, [(f"n{i}", f"n{(i + 1) % 12}") for i in range(12)], "code string, parent string")
+    assert ontology.closure(edges).count() == 144
+    chain = literal_rows(spark, [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(24)] + [("x", "y"), ("y", "x")], "code string, parent string")
+    unmapped = literal_rows(spark, [("c00",), ("c23",), ("x",)], "code string")
+    got = concepts.recover_unmapped(unmapped, chain, literal_rows(spark, [("c24",)], "code string")).collect()
+    assert {(r.code, r.recovered) for r in got} == {("c00", "c24"), ("c23", "c24")}
+
+
+def test_long_texts_are_not_cut(spark):
+    df = literal_rows(spark, [("<" + "0" * 150 + "5",)], "v string")
+    assert df.select(timeline_features.clean_text(F.col("v")).alias("v")).first().v == "<5"
+    row = literal_rows(spark, [(1, "s", "A" * 33, "00000")], "line_no int, source string, target string, flags string")
+    assert timeline.crosswalk(row).first().target == "AAA." + "A" * 30

@@ -75,22 +75,22 @@ def source_rollup(concept: DataFrame, relationships: DataFrame, ancestors: DataF
     return standard.union(below.select("descendant_concept_id")).distinct()
 
 
-def recover_unmapped(
-    unmapped: DataFrame, parents: DataFrame, mapped: DataFrame, max_steps: int = 20
-) -> DataFrame:
+def recover_unmapped(unmapped: DataFrame, parents: DataFrame, mapped: DataFrame) -> DataFrame:
     """Walk parent edges from each unmapped code to its nearest mapped ancestor.
 
     ``unmapped(code)``, ``parents(code, parent)``, ``mapped(code)``.  At each
     level a code with a mapped parent stops (the longest, then smallest, parent
-    code wins); the others go one level up.
+    code wins); the others go one level up.  Places a code has been at are not
+    visited again, so chains of any depth and cycles end.
     """
     frontier = unmapped.select("code", F.col("code").alias("at"))
-    done = None
-    for _ in range(max_steps):
+    seen, done = frontier, None
+    while True:
         step = frontier.join(parents.select(F.col("code").alias("at"), "parent"), "at").select(
             "code", F.col("parent").alias("at")
-        ).distinct()
+        ).distinct().join(seen, ["code", "at"], "left_anti")
         step = durable(step.join(mapped.select(F.col("code").alias("at"), F.lit(True).alias("hit")), "at", "left"))
+        seen = seen.unionByName(step.select("code", "at"))
         if step.isEmpty():
             break
         found = (

@@ -14,24 +14,23 @@ DRUG_RELATIONS = [
 ]
 
 
-def closure(edges: DataFrame, starts: DataFrame | None = None, max_depth: int = 64) -> DataFrame:
+def closure(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """(code, ancestor) pairs over parent edges, each code its own ancestor.
 
     Semi-naive steps: only pairs found in the last step are extended, known
-    pairs are removed, and each step is written to reliable storage, so the
+    pairs are removed, so any depth and cycles end, and each step is written to reliable storage, so the
     plan does not grow and a lost executor repeats one step at most.
     """
     nodes = starts.select("code") if starts is not None else edges.select("code").union(edges.select("parent"))
     frontier = durable(nodes.distinct().select("code", F.col("code").alias("ancestor")))
     known = frontier
     up = edges.select(F.col("code").alias("ancestor"), "parent").distinct()
-    for _ in range(max_depth):
+    while True:
         step = frontier.join(up, "ancestor").select("code", F.col("parent").alias("ancestor")).distinct()
         frontier = durable(step.join(known, ["code", "ancestor"], "left_anti"))
         if frontier.isEmpty():
             return known
         known = known.unionByName(frontier)
-    raise ValueError("the parent edges are deeper than max_depth or hold a cycle")
 
 
 def subwords(used: DataFrame, edges: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -208,7 +208,7 @@ def crosswalk(rows: DataFrame, diagnosis: bool = True) -> DataFrame:
     list wins).  Diagnosis targets get a dot after three characters.
     """
     flag = lambda i: F.substring("flags", i, 1).cast("int")
-    target = F.when(F.length("target") > 3, F.concat(F.substring("target", 1, 3), F.lit("."), F.substring("target", 4, 20))).otherwise(
+    target = F.when(F.length("target") > 3, F.concat(F.substring("target", 1, 3), F.lit("."), F.substr(F.col("target"), F.lit(4)))).otherwise(
         F.col("target")) if diagnosis else F.col("target")
     kept = rows.where(flag(2) != 1).select(
         "line_no", "source", target.alias("target"), (flag(3) == 1).alias("combination"), flag(4).alias("scenario"), flag(5).alias("choice"))

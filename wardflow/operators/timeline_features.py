@@ -334,7 +334,7 @@ def entropy_candidates(counts: DataFrame, edges: DataFrame, closure: DataFrame,
 def clean_text(value: Column) -> Column:
     """Lab text in lower case with common spellings of positive, negative and no result folded."""
     low = F.lower(value)
-    number = F.substring(low, 2, 100).try_cast("float")
+    number = F.substr(low, F.lit(2)).try_cast("float")
     return (
         F.when(low.isin(*NEGATIVE_TEXTS), "negative").when(low.isin(*POSITIVE_TEXTS), "positive")
         .when(low.isin(*NO_RESULT_TEXTS) | low.startswith("tnp/"), "")
