@@ -18,8 +18,10 @@ bucket is searched by leaders, not by pairs: first every node against the first
 leader of its buckets, in an order of each bucket's own, then, only in buckets
 that still hold several classes, the nodes outside the first leader's against the
 next 4, 16, 64, ... leaders, until a bucket is one class or all its nodes have
-led.  So no link between classes is lost within a bucket, and a group of copies
-costs a few comparisons a node.
+led.  Before that, runs that only one of the texts still open holds bound its
+similarity to all others: a text whose bound misses the threshold leaves the
+search, and so does a pair.  So no link between classes is lost within a bucket,
+and a group of copies costs a few comparisons a node.
 
 Cases: null and empty texts and those of white space only have an empty
 multiset and form one class; rows with equal ids are one document and share a
@@ -211,6 +213,44 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def open_buckets(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, class, first) of the buckets with nodes of several classes; ``first`` is the class of the first in order."""
+    now = held.join(labels, "node", "left").select("key", "node", "turn", F.coalesce("label", "node").alias("class"))
+    first = F.min(F.struct("turn", "node", "class"))["class"].alias("first")
+    spread = now.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), first).where("lo < hi").select("key", "first")
+    return now.join(spread, "key").select("key", "node", "class", "first")
+
+
+def linkable(rest: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, node, turn, size, common): the rows of ``rest`` (key, node) whose node may be similar to another of its bucket.
+
+    Runs that no other of these texts holds are outside every overlap.  With s
+    runs, c of them held elsewhere, the similarity to a text of t runs is at
+    most c / (s + t - c); a node for which that misses the threshold even with
+    the smallest text of its bucket has no link there.  Nothing else is left
+    out, so no link is lost.
+    """
+    named = rest.select(F.col("node").alias("doc_id")).distinct()
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in ts.sliced(batches, "text"):
+            row, run, weight = elements(ts.texts(b.column("text")))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(run.view(np.int64)), pa.array(weight.astype(np.int64))], ["node", "run", "weight"])
+
+    runs = docs.select("doc_id", "text").join(named, "doc_id").mapInArrow(scan, "node long, run long, weight long")
+    single = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight")).where("n = 1")
+    own = single.groupBy("node").agg(F.sum("weight").alias("own"))
+    size = nodes.join(named.withColumnRenamed("doc_id", "node"), "node").groupBy("node").agg(F.min("n_runs").alias("size"), F.count(F.lit(1)).alias("rows"))
+    # A node of several rows (one id, several texts) counts as wholly shared.
+    known = size.join(own, "node", "left").select(
+        "node", "size", F.when(F.col("rows") == 1, F.col("size") - F.coalesce("own", F.lit(0))).alias("common"))
+    most = F.lit(1 << 40)
+    rows = durable(rest.join(known, "node").select("key", "node", F.when(F.col("common").isNull(), 0).otherwise(F.col("size")).alias("size"), F.coalesce("common", most).alias("common")))
+    least = rows.groupBy("key").agg(F.min("size").alias("least"))
+    may = (F.col("size") + F.col("least")) * threshold <= F.col("common") * (1 + threshold) + 1e-9
+    return rows.join(least, "key").where(may).select("key", "node", F.xxhash64("key", "node").alias("turn"), "size", "common")
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, n_runs), one row per row of ``docs``; a class is named by its smallest id."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -218,30 +258,33 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     bag = ["bag", "bag2", "n_runs"]
     names = signed.groupBy(*bag).agg(F.min("doc_id").alias("node"))
     member = signed.select("doc_id", *bag).join(names, bag).select("doc_id", "node", "n_runs")
-    nodes = signed.join(names.where("n_runs > 0").select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "bands", "marks")
-    held = durable(buckets(nodes))
+    nodes = signed.join(names.where("n_runs > 0").select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "bands", "marks", "n_runs")
+    held = durable(buckets(nodes).withColumn("turn", F.xxhash64("key", "node")))  # every bucket has an order of its own, so a node meets other leaders in other buckets
 
-    turn = F.xxhash64("key", "node")  # every bucket has an order of its own, so a node meets other leaders in other buckets
-    first = held.groupBy("key").agg(F.min(F.struct(turn, F.col("node").alias("a"))).alias("lead")).select("key", F.col("lead.a").alias("a"))
+    first = held.groupBy("key").agg(F.min(F.struct("turn", F.col("node").alias("a"))).alias("lead")).select("key", F.col("lead.a").alias("a"))
     pairs = held.join(first, "key").where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
     edges = durable(verified(agreeing(pairs, nodes), docs, threshold))
-    led, more = 1, 4
+    labels = components(edges)
+    # Buckets that hold several classes after their first leader, without the nodes that can have no link in them.
+    alone = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select("key")
+    rest = durable(open_buckets(held.join(alone, "key", "left_anti"), labels).select("key", "node"))
+    held = durable(linkable(rest, nodes, docs, threshold))
+    fits = (F.col("a_size") + F.col("b_size")) * threshold <= F.least("a_common", "b_common") * (1 + threshold) + 1e-9
+    led, more = 0, 4
     while True:
-        labels = components(edges)
-        # Buckets that hold nodes of several classes after all their first ``led`` nodes have led.
-        now = held.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("class"))
-        head = F.min(F.struct(turn, "node", "class"))["class"]
-        spread = now.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n"), head.alias("first"))
-        open_keys = spread.where((F.col("lo") < F.col("hi")) & (F.col("n") > led + (led == 1))).select("key", "first")
-        left = durable(now.join(open_keys, "key"))
-        if left.isEmpty():
+        left = durable(open_buckets(held, labels).join(held.select("key", "node", "size", "common", "turn"), ["key", "node"]))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("turn", "node"))
+        leaders = left.withColumn("rank", rank).where((F.col("rank") > led) & (F.col("rank") <= led + more)).select(
+            "key", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("size").alias("a_size"), F.col("common").alias("a_common"))
+        if leaders.isEmpty():
             break
-        rank = F.row_number().over(Window.partitionBy("key").orderBy(turn, "node"))
-        leaders = left.withColumn("rank", rank).where((F.col("rank") > led) & (F.col("rank") <= led + more)).select("key", F.col("node").alias("lead"), F.col("class").alias("lead_class"))
         # The first leader's class only grows; a pair of it and another class is met once its node of that class leads.
-        others = left.where("class <> first").select("key", "node", "class")
-        pairs = leaders.join(others, "key").where("lead_class <> class").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+        others = left.where("class <> first").select(
+            "key", F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("size").alias("b_size"), F.col("common").alias("b_common"))
+        met = leaders.join(others, (leaders.key == others.key) & (F.col("a_class") != F.col("b_class")) & fits)
+        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         edges = durable(edges.union(verified(agreeing(pairs, nodes), docs, threshold)))
+        labels = components(edges)
         led, more = led + more, more * 4
     return member.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"), "n_runs")
 
