@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, spot_signatures, urlfilter, warc
+from . import language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, spot_signatures, urlfilter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,8 @@ def op10(spark, folder):
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), spot_signatures.fingerprint(F.col("sigs")).alias("fingerprint"),
         spot_signatures.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"), "near_edited", "near_next",
     )
+
+
+@query("op13_feast_whitening")
+def op13(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
