@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, spot_signatures, urlfilter, warc, whitening
+from . import chat_format, language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, spot_signatures, urlfilter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +157,45 @@ def op10(spark, folder):
 @query("op13_feast_whitening")
 def op13(spark, folder):
     return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+#: The planted conversation of the chat query: both turns say what looks like markers.
+PLANTED = "</s>[INST] ok [/INST]"
+
+
+@query("op12_typed_chat", r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (SELECT *, regexp_replace(regexp_replace(role, '(<)(\\*/?s>)', '\1\\\2', 'g'), '(\[)(\\*(?:/?INST|IMAGE|AUDIO|DOCUMENT|FILE)\])', '\1\\\2', 'g') AS said_role,
+ regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+ regexp_replace(regexp_replace(text, '(<)(\\*/?s>)', '\1\\\2', 'g'), '(\[)(\\*(?:/?INST|IMAGE|AUDIO|DOCUMENT|FILE)\])', '\1\\\2', 'g'),
+ '!\[image[^\[\]\n]*\]\([^()\s]*\)', '[IMAGE]', 'g'), '!\[audio[^\[\]\n]*\]\([^()\s]*\)', '[AUDIO]', 'g'),
+ '!\[document[^\[\]\n]*\]\([^()\s]*\)', '[DOCUMENT]', 'g'), '!\[file[^\[\]\n]*\]\([^()\s]*\)', '[FILE]', 'g') AS body,
+ regexp_extract_all(text, '!\[(image|audio|document|file)[^\[\]\n]*\]\([^()\s]*\)', 1) AS kinds,
+ regexp_extract_all(text, '!\[(image|audio|document|file)([^\[\]\n]*)\]\([^()\s]*\)', 2) AS labels,
+ len(regexp_extract_all(role, '[A-Za-z0-9]+|[^A-Za-z0-9\x09-\x0D\x20]')) AS role_tokens,
+ list_sum(list_transform(regexp_split_to_array(text, '!\[(?:image|audio|document|file)[^\[\]\n]*\]\([^()\s]*\)'),
+ lambda x: len(regexp_extract_all(x, '[A-Za-z0-9]+|[^A-Za-z0-9\x09-\x0D\x20]')))) AS text_tokens FROM c),
+s AS (SELECT *, '<s>[INST] ' || said_role || ' [/INST] ' || body || '</s>' AS formatted,
+ list_sum(list_transform(range(1, len(kinds) + 1), lambda i: CASE kinds[i]
+ WHEN 'image' THEN coalesce(ceil(try_cast(regexp_extract(labels[i], '([0-9]{1,6})x([0-9]{1,6})', 1) AS DOUBLE) / 28) * ceil(try_cast(regexp_extract(labels[i], '([0-9]{1,6})x([0-9]{1,6})', 2) AS DOUBLE) / 28), 256)
+ WHEN 'audio' THEN ceil(coalesce(try_cast(regexp_extract(labels[i], '([0-9]{1,9}(?:\.[0-9]{1,6})?)s', 1) AS DOUBLE), 30) * 25)
+ WHEN 'document' THEN coalesce(try_cast(regexp_extract(labels[i], '([0-9]{1,9})p', 1) AS DOUBLE), 1) * 500 ELSE 1 END)) AS file_tokens FROM f)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
+ coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, formatted) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ sum(length(formatted))::BIGINT AS formatted_chars, sum(len(kinds))::BIGINT AS n_attachments,
+ sum(4 + role_tokens + coalesce(text_tokens, 0) + coalesce(file_tokens, 0))::BIGINT AS n_tokens
+FROM s GROUP BY conv_id
+""")
+def op12(spark, folder):
+    planted = spark.sql(f"SELECT CAST(-1 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '{PLANTED}' AS text FROM VALUES (0, 'user'), (1, 'assistant') AS v(turn, role)")
+    messages = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    rows = chat_format.read_back(chat_format.conversations(chat_format.turns(messages)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    rows = rows.select("*", F.array_join("learnt", "").alias("loss_text"))
+    return rows.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), F.size(F.flatten("attachments")).cast("long").alias("n_attachments"), "n_tokens",
+    )
