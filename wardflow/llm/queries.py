@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, spot_signatures, urlfilter, warc, whitening
+from . import chat_format, dialogue_repair, language_id, language_model, mixing, near_dedup, quality, secrets, segmentation, spot_signatures, urlfilter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -199,3 +199,64 @@ def op12(spark, folder):
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"), F.size(F.flatten("attachments")).cast("long").alias("n_attachments"), "n_tokens",
     )
+
+
+def damaged(messages: DataFrame) -> DataFrame:
+    """Conversations with planted faults: by a hash of id and turn, rows are dropped, emptied, unpunctuated, repeated or given to the user."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = messages.select("conv_id", "turn", said("role").alias("role"), said("text").alias("text"), (F.crc32(F.concat_ws(":", said("conv_id"), said("turn"))) % 20).alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.where("fault <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@query("op11_dialogue_repair", r"""
+WITH RECURSIVE poly AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+ lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+h AS (SELECT s.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda ch: ord(ch)::BIGINT)),
+ lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS fault FROM src s, poly),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+ CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+ FROM h JOIN (VALUES (0), (1)) v(copy) ON copy = 0 OR fault = 3 WHERE fault <> 0),
+g AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+o AS (SELECT g, turn, role, text, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d JOIN g ON d.conv_id IS NOT DISTINCT FROM g.conv_id),
+f AS (SELECT *, left(role, 1) AS initial, count(*) OVER (PARTITION BY g) AS n, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+ WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+ WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+ lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS earlier FROM o),
+w AS (SELECT *, fault IN ('blank', 'duplicate') AS goes, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS t FROM f),
+step AS (
+ SELECT g, max(n) + 1 AS i, {'c': 0::BIGINT, 'a': ''} AS b0, {'c': 4::BIGINT, 'a': 'II'} AS b1, {'c': 2::BIGINT, 'a': 'I'} AS b2, {'c': 0::BIGINT, 'a': ''} AS b3 FROM w GROUP BY g
+ UNION ALL
+ SELECT g, i, list_min([p0, {'c': 2 + p2.c, 'a': 'I' || p2.a}, {'c': 4 + p3.c, 'a': 'II' || p3.a}]), list_min([p1, {'c': 2 + p2.c, 'a': 'I' || p2.a}, {'c': 4 + p3.c, 'a': 'II' || p3.a}]),
+ list_min([p2, {'c': 2 + p3.c, 'a': 'I' || p3.a}]), list_min([p3, {'c': 2 + p2.c, 'a': 'I' || p2.a}])
+ FROM (SELECT w.g, w.i,
+ list_min(list_filter([{'c': b0.c + 3, 'a': 'D' || b0.a}, CASE WHEN NOT goes AND initial = 's' THEN {'c': b1.c + t, 'a': 'K' || b1.a} END, CASE WHEN NOT goes AND initial = 'u' THEN {'c': b2.c + t, 'a': 'K' || b2.a} END,
+ CASE WHEN NOT goes THEN {'c': b2.c + 2 + t, 'a': 'R' || b2.a} END], lambda x: x IS NOT NULL)) AS p0,
+ list_min(list_filter([{'c': b1.c + 3, 'a': 'D' || b1.a}, CASE WHEN NOT goes AND initial = 'u' THEN {'c': b2.c + t, 'a': 'K' || b2.a} END, CASE WHEN NOT goes THEN {'c': b2.c + 2 + t, 'a': 'R' || b2.a} END], lambda x: x IS NOT NULL)) AS p1,
+ list_min(list_filter([{'c': b2.c + 3, 'a': 'D' || b2.a}, CASE WHEN NOT goes AND initial = 'a' THEN {'c': b3.c + t, 'a': 'K' || b3.a} END, CASE WHEN NOT goes THEN {'c': b3.c + 2 + t, 'a': 'R' || b3.a} END], lambda x: x IS NOT NULL)) AS p2,
+ list_min(list_filter([{'c': b3.c + 3, 'a': 'D' || b3.a}, CASE WHEN NOT goes AND initial = 'u' THEN {'c': b2.c + t, 'a': 'K' || b2.a} END, CASE WHEN NOT goes THEN {'c': b2.c + 2 + t, 'a': 'R' || b2.a} END], lambda x: x IS NOT NULL)) AS p3
+ FROM step JOIN w ON w.g = step.g AND w.i = step.i - 1) x),
+best AS (SELECT g, b0.c AS cost, b0.a AS audit FROM step WHERE i = 1),
+letters AS (SELECT g, unnest(string_split(audit, '')) AS e, generate_subscripts(string_split(audit, ''), 1) AS p FROM best WHERE audit <> ''),
+placed AS (SELECT *, sum(CASE WHEN e = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY g ORDER BY p) AS i, sum(CASE WHEN e = 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY g ORDER BY p) AS j FROM letters),
+read AS (SELECT x.g, p, e, j, w.role, w.text, max(CASE WHEN j = 1 AND e = 'K' AND w.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY x.g) AS s FROM placed x LEFT JOIN w ON w.g = x.g AND w.i = x.i),
+said AS (SELECT g, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (j - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS sha FROM read WHERE e <> 'D' GROUP BY g),
+c AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+ count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM w GROUP BY g)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+ coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM g LEFT JOIN c USING (g) LEFT JOIN best USING (g) LEFT JOIN said USING (g)
+""")
+def op11(spark, folder):
+    messages = table(spark, folder, "conversations")
+    ids = messages.select(F.col("conv_id").cast("long").alias("id")).distinct()
+    found = dialogue_repair.report(damaged(messages))
+    whole = ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    return whole.select(
+        F.col("id").alias("conv_id"), *[zero(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
