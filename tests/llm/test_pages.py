@@ -87,3 +87,13 @@ def test_filter_has_no_false_negative_and_few_false_positives(spark):
     passed = {r.id for r in held.select("id").collect()}
     assert set(range(n)) <= passed and len(passed) - n < 0.01 * 2 * n
     assert {r.id for r in urlfilter.is_listed(every, listed).where("listed").collect()} == set(range(n))
+
+
+def test_rows_that_share_an_id_keep_their_payloads(spark):
+    a, b = "A" * 1200, "B" * 1200
+    pages = spark.createDataFrame([(5, "u", a), (5, "u", b), (9, "u", a), (8, "u", b)], "page_id long, url string, html string")
+    got = warc.round_trip(pages).collect()
+    digest = {hashlib.sha1(x.encode()).hexdigest(): x[0] for x in (a, b)}
+    assert sorted((r.page_id, digest[r.payload_digest], r.record_type, r.refers_to) for r in got) == [
+        (5, "A", "revisit", 9), (5, "B", "revisit", 8), (8, "B", "response", None), (9, "A", "response", None)]
+    assert urlfilter.judge(pages.limit(0), pages.select("url")).count() == 0

@@ -14,7 +14,8 @@ is written by Spark, so a file left by a lost executor is never read.
 
 Cases: a null payload is empty, a null URL has no target field, a null id has no
 id field and is never referred to; rows with the same largest id are all
-responses; repeated rows give repeated records; extra columns are not read; an
+responses; rows that share an id each keep their own payload and referral; repeated
+rows give repeated records; extra columns are not read; an
 empty table gives no archive and no record.
 """
 
@@ -50,14 +51,14 @@ class BadArchive(ValueError):
 
 
 def revisits(pages: DataFrame, page_id: str = "page_id", payload: str = "html") -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload another page holds with a larger id.
+    """(page_id, digest, refers_to) of the pages whose payload another page holds with a larger id.
 
     Only digests and ids are grouped; group maxima are combined before the shuffle.
     """
     data = F.coalesce(F.col(payload).cast("string"), F.lit(""))
     small = pages.where(F.octet_length(data) >= REVISIT_BYTES).select(F.col(page_id).cast("long").alias("page_id"), F.sha1(data.cast("binary")).alias("digest"))
     groups = small.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return small.join(groups, "digest").where("page_id < refers_to").select("page_id", "refers_to").distinct()
+    return small.join(groups, "digest").where("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
@@ -85,7 +86,10 @@ def write(pages: DataFrame, folder: str | None = None, page_id: str = "page_id",
     spark = pages.sparkSession
     folder = folder or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(payload).cast("string").alias("payload"))
-    rows = rows.join(revisits(rows, "page_id", "payload"), "page_id", "left").select("page_id", "url", "refers_to", "payload")
+    # Rows may share an id and differ in their payloads, so the digest is part of the key.
+    data = F.coalesce("payload", F.lit(""))
+    rows = rows.withColumn("digest", F.when(F.octet_length(data) >= REVISIT_BYTES, F.sha1(data.cast("binary"))))
+    rows = rows.join(revisits(rows, "page_id", "payload"), ["page_id", "digest"], "left").select("page_id", "url", "refers_to", "payload")
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
