@@ -51,3 +51,9 @@ def test_edge_rows(spark):
     assert li.identify(df.limit(0)).count() == 0
     nothing = li.identify(spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")).first()
     assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
+
+
+def test_scores_do_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    score = lambda rows: {r.doc_id: (r.lang_pred, r.score) for r in li.identify(rows).collect()}
+    assert score(docs) == score(docs.orderBy("text").repartition(7))

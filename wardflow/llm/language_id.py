@@ -178,12 +178,12 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             yield pa.RecordBatch.from_arrays([b.column("lang").take(pa.array(row[at])), pa.array([x.tobytes() for x in data[at]], pa.binary())], ["lang", "data"])
 
     most = 2 * PER_LANGUAGE * WINDOWS * len(languages)
-    got = rows.where(wanted).mapInArrow(cut, "lang string, data binary").limit(most).toArrow()
+    got = rows.where(wanted).mapInArrow(cut, "lang string, data binary").orderBy(F.xxhash64("lang", "data"), "lang", "data").limit(most).toArrow()
     if not len(got):
         return None
     data = np.frombuffer(b"".join(got.column("data").to_pylist()), np.uint8).reshape(-1, LENGTH)
     label = np.array([languages.index(x) for x in got.column("lang").to_pylist()])
-    order = np.lexsort((*data.T[:16], label))  # the same network whatever the order of rows
+    order = np.lexsort((*data.T[::-1], label))  # the same network whatever the order of rows
     return fit(data[order], label[order], languages)
 
 
