@@ -85,3 +85,9 @@ def test_large_groups_chains_and_edge_rows(spark):
     assert kept.columns == df.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter([*set(want.values()), None, None])
     assert nd.classes(df.limit(0)).count() == 0 and nd.one_of_each(df.limit(0)).count() == 0
+
+
+def test_one_of_each_with_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (2, "a b c d e f", 1, 2, 3), (None, "x", 1, 2, 3)], "doc_id long, text string, _name int, `class name` int, class_id int")
+    got = nd.one_of_each(docs)
+    assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 1]

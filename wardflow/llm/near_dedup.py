@@ -296,7 +296,10 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     found = durable(classes(docs, doc_id, text))
     names = found.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    keyed = lambda rows: docs.join(rows.select(F.col("doc_id").alias("_name")), F.col(doc_id).cast("long") == F.col("_name"), "left_semi")
+    name = "class name"
+    while name in map(str.lower, docs.columns):
+        name += " "
+    keyed = lambda rows: docs.join(rows.select(F.col("doc_id").alias(name)), F.col(doc_id).cast("long") == F.col(name), "left_semi")
     out = docs.where(F.col(doc_id).isNull()).unionByName(keyed(names.where("n = 1")))
     again = names.where("n > 1")
     return out if again.isEmpty() else out.unionByName(keyed(again).dropDuplicates([doc_id]))
