@@ -1,8 +1,9 @@
 """Features at label days and sequence summaries over the timeline.
 
 A label is (person_id, day_index); feature rows are (person_id, day_index,
-column, value).  Counts up to a label day reuse the bucketed bin join of the
-windowed features, with the label day as index day.
+column, value).  Counts up to a label day are running sums over one merged order
+of a person's days with a code and label days, read at the label days; label days
+are never paired with events.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.hashing import key_hash, sha256_mod
 from ..functions.segments import attach, dense_index, durable, hash_rank, union_all, value_order
 from . import timeline as T
-from .features import ALL_HISTORY, in_bins
 
 SAMPLE_PER_CODE, LAB_SPLIT_SIZE, TEXT_MIN = 10000, 500, 100
 # Text results read as negative or positive, and those read as no result.
@@ -67,15 +67,40 @@ def counted_codes(events: DataFrame, recorded: DataFrame, closure: DataFrame | N
     return kept.groupBy("person_id", F.col("code").alias("concept_id"), F.col("day").alias("at")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def bins_before(time_bins: list[int | None] | None, strictly: bool = False) -> list[tuple[int, int]]:
-    """Day offsets of count bins; the last bin must be open."""
+def bins_before(time_bins: list[int | None] | None, strictly: bool = False) -> list[int]:
+    """Last day of each count bin as an offset from the label day; the last bin must be open."""
     last = -1 if strictly else 0
     if time_bins is None:
-        return [(ALL_HISTORY, last)]
+        return [last]
     if time_bins[-1] is not None:
         raise ValueError("the last time bin must be open (None)")
-    edges = [last] + [-b - 1 for b in time_bins[:-1]]
-    return [(-b if b is not None else ALL_HISTORY, edge) for b, edge in zip(time_bins, edges)]
+    return [last] + [-b - 1 for b in time_bins[:-1]]
+
+
+def counts_before(points: DataFrame, counted: DataFrame, ends: list[int]) -> DataFrame:
+    """(person_id, day_index, concept_id, bin, n): counts of each code in the bins that end at falling offsets from the label day.
+
+    ``counted`` holds ``n`` per person, code and day (``at``).  A label day meets
+    only the codes the person has had by then, which are rows of the result.
+    Per person and code these and the days with events are put in one order; a
+    bin is the difference of two running sums over it.  Both kinds of rows are
+    one per day at most, and a life has fewer than 60,000 days.
+    """
+    counted = durable(counted)
+    first = counted.groupBy("person_id", "concept_id").agg(F.min("at").alias("_first"))
+    labelled = points.select("person_id", "day_index", F.col("day").alias("at"))
+    had = F.col("_first") <= F.date_add("at", ends[0])
+    probes = labelled.alias("l").join(first.alias("f"), (F.col("l.person_id") == F.col("f.person_id")) & had).select(
+        "l.person_id", "f.concept_id", "l.at", F.lit(0).cast("bigint").alias("n"), "l.day_index")
+    merged = counted.select("person_id", "concept_id", "at", "n", F.lit(None).cast("bigint").alias("day_index")).unionByName(
+        probes.withColumn("day_index", F.col("day_index").cast("bigint")))
+    order = Window.partitionBy("person_id", "concept_id").orderBy("_d")
+    upto = [F.coalesce(F.sum("n").over(order.rangeBetween(Window.unboundedPreceding, e)), F.lit(0)).alias(f"_r{i}") for i, e in enumerate(ends)]
+    read = merged.withColumn("_d", F.unix_date("at")).select("person_id", "day_index", "concept_id", *upto).where(F.col("day_index").isNotNull())
+    later = [F.col(f"_r{i + 1}") for i in range(len(ends) - 1)] + [F.lit(0)]
+    bins = F.array(*[F.struct(F.lit(i).alias("bin"), (F.col(f"_r{i}") - end).alias("n")) for i, end in enumerate(later)])
+    day = points.schema["day_index"].dataType
+    return read.select("person_id", F.col("day_index").cast(day).alias("day_index"), "concept_id", F.inline(bins)).where("n > 0")
 
 
 def count_vocabulary(counted: DataFrame) -> DataFrame:
@@ -86,15 +111,11 @@ def count_features(
     points: DataFrame, counted: DataFrame, vocabulary: DataFrame, time_bins=None, binary: bool = False, strictly: bool = False
 ) -> DataFrame:
     """Counts of each code up to the label day, in time bins when given."""
-    bins = bins_before(time_bins, strictly)
-    cohort = points.select(F.struct("person_id", "day_index").alias("row_id"), "person_id", F.col("day").alias("index_date"))
-    hits = in_bins(cohort, counted, bins).groupBy("row_id", "concept_id", "time_bin").agg(F.sum("n").alias("n"))
+    hits = counts_before(points, counted, bins_before(time_bins, strictly))
     size = vocabulary.agg(F.count(F.lit(1)).alias("_size"))
-    names = F.array(*[F.lit(f"bin_{a}_{b}") for a, b in bins])
-    place = F.array_position(names, F.col("time_bin")) - 1
     value = F.lit(1.0) if binary else F.col("n").cast("double")
     return attach(hits.join(vocabulary, "concept_id"), size).select(
-        "row_id.person_id", "row_id.day_index", (F.col("code_column") + place * F.col("_size")).alias("column"), value.alias("value"))
+        "person_id", "day_index", (F.col("code_column") + F.col("bin") * F.col("_size")).alias("column"), value.alias("value"))
 
 
 def combine(parts: list[tuple[DataFrame, DataFrame | int]]) -> DataFrame:
@@ -160,9 +181,8 @@ def numeric_bin_features(points: DataFrame, events: DataFrame, bins: DataFrame)
     inside = (F.col("v") >= F.col("low")) & (F.col("high").isNull() | (F.col("v") < F.col("high")))
     binned = values.join(bins, "code").where(inside).groupBy(
         "person_id", F.col("bin_column").alias("concept_id"), F.col("day").alias("at")).agg(F.sum("n").alias("n"))
-    cohort = points.select(F.struct("person_id", "day_index").alias("row_id"), "person_id", F.col("day").alias("index_date"))
-    hits = in_bins(cohort, binned, [(ALL_HISTORY, 0)]).groupBy("row_id", "concept_id").agg(F.sum("n").alias("n"))
-    return hits.select("row_id.person_id", "row_id.day_index", F.col("concept_id").alias("column"), F.col("n").cast("double").alias("value"))
+    hits = counts_before(points, binned, [0])
+    return hits.select("person_id", "day_index", F.col("concept_id").alias("column"), F.col("n").cast("double").alias("value"))
 
 
 def encode(df: DataFrame, dictionary: DataFrame, word: str, index: str) -> DataFrame:
@@ -194,9 +214,8 @@ def inpatient_day_rows(
     counted = counted_codes(events, recorded)
     common = counted.select("concept_id", "person_id").distinct().groupBy("concept_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_patients)
     counted = counted.join(common.select("concept_id"), "concept_id", "left_semi")
-    cohort = points.select(F.struct("person_id", "day_index").alias("row_id"), "person_id", F.col("day").alias("index_date"))
-    hits = in_bins(cohort, counted, [(ALL_HISTORY, -1)]).groupBy("row_id", "concept_id").agg(F.sum("n").alias("value"))
-    return points, hits.select("row_id.person_id", "row_id.day_index", F.col("concept_id").alias("code"), "value")
+    hits = counts_before(points, counted, [-1])
+    return points, hits.select("person_id", "day_index", F.col("concept_id").alias("code"), F.col("n").alias("value"))
 
 
 # ---- sequence summaries ----------------------------------------------------
