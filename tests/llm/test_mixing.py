@@ -40,3 +40,23 @@ def test_edge_rows(spark):
     assert mx.mix(docs, labels).count() == 6 and mx.mix(docs.limit(0), labels).count() == 0
     kept = mx.keep(docs, none)
     assert kept.columns == docs.columns and kept.count() == 6
+
+
+def test_targets_out_of_reach_end_with_a_status(spark):
+    rows = spark.createDataFrame([(10, [1.0, 0.0, 0.0])] * 5 + [(10, [0.5, 0.5, 0.0])] * 5, "n_tokens long, p array<double>")
+    done = mx.fit(rows, {"good": 0.01, "low": 0.98, "toxic": 0.01})
+    n, p = np.full(10, 10.0), np.array([[1.0, 0, 0]] * 5 + [[0.5, 0.5, 0]] * 5)
+    assert done.status == "unreachable" and done.wanted[2] == 0
+    want = (n * plain_rates(n, p[:, :2], np.array(done.wanted[:2]))) @ p[:, :2]
+    assert np.abs(want - done.reached[:2]).max() < 0.01 * sum(done.wanted)
+    assert mx.fit(rows, {"good": 0.5, "low": 0.4, "toxic": 0.1}, most_steps=1).status == "unfinished"
+    assert mx.fit(rows, {"good": 0.75, "low": 0.25, "toxic": 0.0}).status == "met"
+
+
+def test_few_labels_still_tell_the_domains_apart(spark):
+    docs = spark.createDataFrame([(i, "buy now cheap pills" if i % 4 == 0 else f"the quiet river ran past house {i % 7}", "x") for i in range(80)], "doc_id long, text string, fit_status string")
+    labels = spark.createDataFrame([(0, 0, 0), (4, 0, 0), (1, 1, 0), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in mx.mix(docs, labels, {"good": 0.9, "low": 0.09, "toxic": 0.01}).collect()}
+    assert all((r.p_low > 0.5) == (i % 4 == 0) for i, r in got.items())
+    n, p, rate = (np.array([f(r) for r in got.values()]) for f in (lambda r: r.n_tokens, lambda r: r.p_low, lambda r: r.rate))
+    assert (n * p * rate).sum() < 0.5 * (n * p).sum()

@@ -9,11 +9,20 @@ sum over documents of r * tokens * probability, match the targets.  The targets
 are weights; the good domain's tokens in the input set the total, so that good
 documents keep a rate near 1.
 
+Features are the ``FEATURES`` words and marks that tell a domain from the good one
+best; a domain's frequencies are smoothed by ``PRIOR_ROWS`` documents of the good
+domain, so few labels make weak features, not none.  More features would tell apart
+more at the price of more work per document; the bound does not depend on the input.
+
 A step lowers a document's rate by the probability-weighted residuals and cuts it
 at 0 (projection and gradient in the metric that weighs a document by its
-tokens).  A rate is therefore a short fold over the residuals of the steps so
-far: one step is one aggregation over the table of probabilities, and only one
-number per domain comes back to the driver.
+tokens), from a point carried on along the last move; where the residuals rise, the
+carrying starts anew.  A rate is therefore a short fold over the residuals of the
+steps so far: one step is one aggregation over the table of probabilities, and only
+a few numbers come back to the driver; every ``STORE_STEPS`` steps the rates are
+stored.  The fit ends when the residuals are small ("met") or when the rates no
+longer move, which is the least squares' optimum ("unreachable": the targets cannot
+be met with these documents); after ``most_steps`` it says "unfinished".
 
 All steps are SQL expressions.  Broadcast are the sampled ids (``FIT_ROWS`` at most);
 the ``FEATURES`` chosen words are literals.
@@ -39,10 +48,12 @@ DOMAINS = ("good", "low", "toxic")
 TARGETS = {"good": 0.95, "low": 0.04, "toxic": 0.01}
 FIT_ROWS = 8000
 FEATURES = 256
-LEAST_ROWS = 8
-LIFT = 4.0
+PRIOR_ROWS = 4.0
 TOLERANCE = 1e-3
-MOST_STEPS = 100
+#: Token-weighted root mean square move of the rates in one step that counts as none.
+STILL = 1e-5
+STORE_STEPS = 16
+MOST_STEPS = 1000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SYMBOLS = "#*$%&|<>"
@@ -95,14 +106,13 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     if not sum(n):
         return Classifier((), (), tuple(0.0 if i == 0 else -math.inf for i in range(len(DOMAINS))))
     counts = rows.select("domain", F.explode("seen").alias("feature")).groupBy("feature").agg(*[F.count_if(F.col("domain") == d).alias(d) for d in DOMAINS])
-    # A feature speaks for a domain in which it is several times as frequent as among good documents.
-    rate = {d: (F.col(d) + 0.5) / F.lit(c + 1.0) for d, c in zip(DOMAINS, n)}
-    odd = F.greatest(*[F.when(F.col(d) >= LEAST_ROWS, rate[d]).otherwise(0.0) for d in DOMAINS[1:]])
-    top = counts.where(odd >= LIFT * rate["good"]).orderBy((odd - rate["good"]).desc(), "feature").limit(FEATURES).collect()
-    p = np.array([[(r[d] + 0.5) / (c + 1.0) for d, c in zip(DOMAINS, n)] for r in top]).reshape(-1, len(DOMAINS))
+    # Frequencies smoothed towards the good domain's; a feature's worth is its part of the divergence from that domain.
+    good = (F.col("good") + 0.5) / F.lit(n[0] + 1.0)
+    rate = {d: (F.col(d) + PRIOR_ROWS * good) / F.lit(c + PRIOR_ROWS) for d, c in zip(DOMAINS, n)}
+    worth = F.greatest(*[F.when(rate[d] > good, (rate[d] - good) * F.log(rate[d] / good)).otherwise(0.0) for d in DOMAINS[1:]])
+    top = counts.select("*", worth.alias("worth"), *[rate[d].alias(f"p_{d}") for d in DOMAINS]).where("worth > 0").orderBy(F.desc("worth"), "feature").limit(FEATURES).collect()
+    p = np.clip(np.array([[r[f"p_{d}"] for d in DOMAINS] for r in top]).reshape(-1, len(DOMAINS)), 1e-9, 1 - 1e-9)
     prior = np.log([(c + 0.1) / (sum(n) + 0.1 * len(DOMAINS)) for c in n])
-    # A domain without labelled documents has the good domain's frequencies.
-    p = np.where(np.array(n) > 0, p, p[:, :1])
     return Classifier(tuple(r.feature for r in top), tuple(map(tuple, (np.log(p) - np.log1p(-p)).tolist())), tuple((prior + np.log1p(-p).sum(axis=0)).tolist()))
 
 
@@ -128,50 +138,80 @@ def membership(model: Classifier) -> tuple[Column, Column]:
     return count, F.transform(F.transform(F.array(scores), soft), norm)[0]
 
 
-def rate_of(p: Column, steps: list[list[float]]) -> Column:
-    """Rate of a document from its probabilities and the residual steps so far."""
+class Step(NamedTuple):
+    """Weights of the probabilities that a step takes off, and how far the last move was carried on before it."""
+
+    move: list[float]
+    carry: float
+
+
+def rate_of(p: Column, steps: list[Step], rate: Column | None = None, before: Column | None = None) -> Column:
+    """struct(rate, before): a document's rate after the steps and the one before the last, from its probabilities."""
+    rate = F.lit(1.0) if rate is None else rate
+    before = rate if before is None else before
+    start = F.struct(rate.alias("rate"), before.alias("before"))
     if not steps:
-        return F.lit(1.0)
-    moves = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
-    return F.aggregate(moves, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - sum(p[k] * g[k] for k in range(len(DOMAINS)))))
+        return start
+    k = range(len(DOMAINS))
+    moves = F.array(*[F.array(*[F.lit(float(x)) for x in (*s.move, s.carry)]) for s in steps])
+
+    def follow(r: Column, g: Column) -> Column:
+        point = r["rate"] + g[len(DOMAINS)] * (r["rate"] - r["before"])
+        return F.struct(F.greatest(F.lit(0.0), point - sum(p[i] * g[i] for i in k)).alias("rate"), r["rate"].alias("before"))
+
+    return F.aggregate(moves, start, follow)
 
 
 class Fit(NamedTuple):
-    """Steps of the fit with the wanted and the reached tokens of each domain."""
+    """Steps of the fit, the wanted and the reached tokens of each domain, and how it ended: met, unreachable or unfinished."""
 
-    steps: list[list[float]]
+    steps: list[Step]
     wanted: list[float]
     reached: list[float]
+    status: str
 
 
-def fit(rows: DataFrame, targets: dict[str, float] | None = None) -> Fit:
-    """Projected gradient over rows of (n_tokens, p) until the residuals stop to fall."""
+def fit(rows: DataFrame, targets: dict[str, float] | None = None, most_steps: int = MOST_STEPS) -> Fit:
+    """Accelerated projected gradient over rows of (n_tokens, p)."""
     weight = np.array([(targets or TARGETS)[d] for d in DOMAINS])
     k = range(len(DOMAINS))
     cells = [(i, j) for i in k for j in k if i <= j]
     n, p = F.col("n_tokens"), F.col("p")
-    one = rows.agg(*[F.coalesce(F.sum(n * p[i] * p[j]), F.lit(0.0)).alias(f"g{i}{j}") for i, j in cells], *[F.coalesce(F.sum(n * p[i]), F.lit(0.0)).alias(f"t{i}") for i in k]).first()
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0.0)).alias(name)
+    one = rows.agg(*[total(n * p[i] * p[j], f"g{i}{j}") for i, j in cells], *[total(n * p[i], f"t{i}") for i in k]).first()
     gram = np.array([[one[f"g{min(i, j)}{max(i, j)}"] for j in k] for i in k])
     now = np.array([one[f"t{i}"] for i in k])
     # A domain without tokens cannot reach any target; its weight goes to the others.
-    wanted = np.where(now > 0, weight, 0.0) * now[0] / weight[0] if now[0] > 0 else now
+    wanted = np.where(now > 0, weight, 0.0) * now[0] / weight[0] if now[0] > 0 and weight[0] > 0 else now
     scale = np.divide(1.0, np.diag(gram), out=np.zeros(len(now)), where=np.diag(gram) > 0)
     root = np.sqrt(scale)
     length = 1.0 / max(np.linalg.eigvalsh(root[:, None] * gram * root[None, :]).max(), 1e-300)
-    steps: list[list[float]] = []
-    size, last = max(now.sum(), 1.0), math.inf
+    size, error = max(now.sum(), 1.0), lambda t: float(((t - wanted) ** 2 * scale).sum())
+    steps: list[Step] = []
+    held, stored = rows.select(n.alias("n"), p.alias("p"), F.lit(1.0).alias("rate"), F.lit(1.0).alias("before")), 0
+    # Tokens reached at the rates and at those before; the point carried on lies on the line through them, as long as it is not cut at 0.
+    last, pace, carry = now, 1.0, 0.0
     while True:
-        residual = now - wanted
-        error = float((residual**2 * scale).sum())
-        if np.abs(residual).max() <= TOLERANCE * size or error >= last * 0.99:
-            return Fit(steps, wanted.tolist(), now.tolist())
-        if len(steps) == MOST_STEPS:
-            raise RuntimeError(f"the rates have not settled after {MOST_STEPS} steps")
-        last = error
-        steps.append((length * scale * residual).tolist())
-        got = rows.select(n.alias("n"), p.alias("p"), rate_of(p, steps).alias("r")).agg(*[F.sum(F.col("n") * F.col("p")[i] * F.col("r")).alias(f"t{i}") for i in k])
-        one = got.first()
-        now = np.array([one[f"t{i}"] for i in k])
+        if np.abs(now - wanted).max() <= TOLERANCE * size:
+            return Fit(steps, wanted.tolist(), now.tolist(), "met")
+        if len(steps) >= most_steps:
+            return Fit(steps, wanted.tolist(), now.tolist(), "unfinished")
+        ahead = now + carry * (now - last)
+        steps.append(Step((length * scale * (ahead - wanted)).tolist(), carry))
+        both = held.select("n", "p", rate_of(F.col("p"), steps[stored:], F.col("rate"), F.col("before")).alias("r"))
+        move = F.col("r.rate") - F.col("r.before")
+        got = both.agg(*[total(F.col("n") * F.col("p")[i] * F.col("r.rate"), f"t{i}") for i in k], total(F.col("n") * move * move, "moved")).first()
+        reached = np.array([got[f"t{i}"] for i in k])
+        if got.moved <= STILL**2 * size:
+            return Fit(steps, wanted.tolist(), reached.tolist(), "met" if np.abs(reached - wanted).max() <= TOLERANCE * size else "unreachable")
+        if error(reached) > error(now):
+            pace, carry = 1.0, 0.0  # carried too far: start anew from here
+        else:
+            after = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+            carry, pace = (pace - 1) / after, after
+        last, now = now, reached
+        if len(steps) - stored == STORE_STEPS:
+            held, stored = durable(both.select("n", "p", F.col("r.rate").alias("rate"), F.col("r.before").alias("before"))), len(steps)
 
 
 def _share(*key: Column | str) -> Column:
@@ -184,10 +224,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     count, p = membership(model)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = durable(read(rows).select("doc_id", count.alias("n_tokens"), p.alias("p"), _share("doc_id", "text").alias("at")))
-    steps = fit(rows, targets).steps
-    out = rows.withColumn("rate", rate_of(F.col("p"), steps))
+    done = fit(rows, targets)
+    out = rows.withColumn("rate", rate_of(F.col("p"), done.steps)["rate"])
     copies = (F.floor("rate") + F.when(F.col("at") < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("long")
-    return out.select("doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", copies.alias("copies"))
+    return out.select("doc_id", "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", copies.alias("copies"), F.lit(done.status).alias("fit_status"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,4 +238,6 @@ def keep(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     steps = fit(durable(read(rows).select(count.alias("n_tokens"), p.alias("p"))), targets).steps
     whole = F.struct(*[F.col(c) for c in docs.columns])
     drawn = read(docs.select(whole.alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
-    return drawn.where(_share("doc_id", "text") < rate_of(p, steps)).select("row.*")
+    # Bound through a one-element array, the probabilities are computed once per row, not once per step.
+    rate = F.transform(F.array(p), lambda q: rate_of(q, steps)["rate"])[0]
+    return drawn.where(_share("doc_id", "text") < rate).select("row.*")
