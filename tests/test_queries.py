@@ -19,7 +19,7 @@ SAMPLE = [
     "tlb_20_high_value_sequence", "tlb_22_next_year_category", "tft_08_numeric_bins", "seq_02_valid_codes", "spl_05_task_exclusions",
     "evl_01_metrics_by_stratum", "evl_17_cross_auc", "stt_02_superiority", "srv_01_time_bins",
 ]
-WITHOUT_ORACLE = {"evl_20_bootstrap_calibration_curve", "mdl_01_logistic_grid", "mdl_02_boosted_trees", "mdl_03_scored_test_set"}
+WITHOUT_ORACLE = {"mdl_01_logistic_grid", "mdl_02_boosted_trees", "mdl_03_scored_test_set"}
 
 
 @pytest.fixture(scope="module")

@@ -208,26 +208,27 @@ def bucket_prefix(df: DataFrame, keys: list[str], bucket: str, order: list[str],
     return out.drop(*[f"_w_{n}" for n in sums], *[f"_b_{n}" for n in sums])
 
 
-def value_order(df: DataFrame, keys: list[str], value: str, sums: dict[str, str], buckets: int = 64) -> DataFrame:
+#: Distinct values that a value bucket is to hold, and the bounds of their number.
+BUCKET_VALUES, LEAST_BUCKETS, MOST_BUCKETS = 50_000, 16, 4096
+
+
+def value_order(df: DataFrame, keys: list[str], value: str, sums: dict[str, str], buckets: int | None = None) -> DataFrame:
     """Distinct values per key with running sums in ascending value order.
 
-    Rows are first summed per (key, value).  Approximate quantiles of each key
-    then cut its values into ordered buckets of about equal size, so a key with
-    many distinct values is spread over ``buckets`` window groups; the sums
-    themselves are exact.  ``sums`` maps a new running column to a summed one;
-    the per-value sums keep the source names.
+    Rows are first summed per (key, value) and written.  Approximate quantiles of each
+    key then cut its values into ordered buckets, their number taken from the counted
+    values, so a key with many distinct values is spread over many window groups; the
+    sums themselves are exact.  ``sums`` maps a new running column to a summed one; the
+    per-value sums keep the source names.
     """
     sources = list(dict.fromkeys(sums.values()))
-    distinct = df.groupBy(*keys, value).agg(*[F.sum(c).alias(c) for c in sources])
-    points = [i / buckets for i in range(1, buckets)]
-    key_cols = keys or ["_all"]
-    if not keys:
-        distinct = distinct.withColumn("_all", F.lit(0))
-    cuts = distinct.groupBy(*key_cols).agg(F.percentile_approx(value, points, 1000).alias("_cuts"))
-    cut = distinct.join(cuts, key_cols).withColumn(
-        "_vb", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
-    return bucket_prefix(cut, key_cols, "_vb", [value], sums).drop("_vb", "_all")
+    distinct = durable(df.groupBy(*keys, value).agg(*[F.sum(c).alias(c) for c in sources]))
+    buckets = buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, distinct.count() // BUCKET_VALUES))
+    points = F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("_cuts")
+    # Without keys there is one row of cuts.
+    cut = distinct.join(distinct.groupBy(*keys).agg(points), keys) if keys else attach(distinct, distinct.agg(points))
+    cut = cut.withColumn("_vb", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    return bucket_prefix(cut, keys, "_vb", [value], sums).drop("_vb")
 
 
 def hash_rank(df: DataFrame, keys: list[str], hashed: Column, out: str = "rank") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.hashing import hash_int
 from ..functions.segments import attach, dense_index, durable
-from . import evaluation as E
+from . import evaluation as E, replicates
 
 
 def align(treatment: DataFrame, control: DataFrame, labels: DataFrame) -> DataFrame:
@@ -38,9 +38,12 @@ def task_draws(tasks: DataFrame, n_boot: int, seed: int) -> DataFrame:
 
 
 def multi_bootstrap(aligned: DataFrame, n_boot: int, seed: int = 444) -> DataFrame:
-    """(boot_id, diff): mean AUC difference over drawn tasks on drawn rows."""
-    rows = E.resampled(aligned, n_boot, unit="prediction_id", seed=seed)
-    scores = task_scores(rows, ["boot_id"], "boot_weight")
+    """(boot_id, diff): mean AUC difference over drawn tasks on drawn rows; draws are arrays, so rows do not grow with replicates."""
+    rows = replicates.with_draws(aligned, n_boot, unit="prediction_id", seed=seed)
+    arms = F.array(*[F.struct(F.lit(n).alias("arm"), F.col(n).alias("pred_probs")) for n in ("treatment", "control")])
+    auc = replicates.replicate_metrics(rows.select("task", "labels", "draws", F.inline(arms)), ["task", "arm"], n_boot, metrics=("auc",))
+    one = lambda a: F.max(F.when(F.col("arm") == a, F.col("performance"))).alias(a)
+    scores = auc.groupBy("boot_id", "task").agg(one("treatment"), one("control"))
     drawn = scores.join(task_draws(aligned, n_boot, seed), ["boot_id", "task"])
     gap = (F.col("treatment") - F.col("control")) * F.col("times")
     return drawn.groupBy("boot_id").agg((F.sum(gap) / F.sum("times")).alias("diff"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import hash_int, key_hash
 from ..functions.segments import attach, durable, hash_rank, union_all, value_order
+from . import replicates
 
 EPS = 1e-15
 FAILED, FAILED_LOSS = -1.0, 1e18  # fill values of metrics that cannot be computed
@@ -182,33 +183,33 @@ def _usable(df: DataFrame, name: str | None) -> DataFrame:
     return df if name is None else df.where((F.col(SCORE) > EPS) & (F.col(SCORE) < 1 - EPS))
 
 
-def logistic_fit(df: DataFrame, strata: list[str], weight: str | None = None, name: str | None = "logit",
-                 max_steps: int = 25, tolerance: float = 1e-10) -> DataFrame:
-    """(strata, a, b) of the unpenalised logistic recalibration, all strata at once.
+def fit_rows(df: DataFrame, strata: list[str], weight: str | None, names: list[str | None]) -> DataFrame:
+    """(strata, transform, x, w, y) with one block of rows per transform."""
+    kept = weighted(df, weight)
+    ok = lambda n: F.lit(True) if n is None else (F.col(SCORE) > EPS) & (F.col(SCORE) < 1 - EPS)
+    values = F.array(*[F.when(ok(n), F.struct(F.lit(n or "raw").alias("transform"), transform(F.col(SCORE), n).alias("x"))) for n in names])
+    return kept.select(*strata, "_w", F.col(LABEL).alias("_y"), *(["draws"] if "draws" in df.columns else []), F.inline(F.array_compact(values)))
 
-    Newton steps over sums of distinct scores: every step is one grouped
-    aggregation, its small result is written, and only the largest change comes
-    back to the driver.
+
+def logistic_fits(df: DataFrame, strata: list[str], weight: str | None = None, names: tuple = ("logit",)) -> DataFrame:
+    """(strata, transform, a, b, status, converged) of the unpenalised logistic recalibration.
+
+    All strata and transforms share one loop of damped Newton steps over sums of
+    distinct scores; those that have settled leave it.  A stratum whose scores are all
+    equal, or separate the labels, or have one label only, has no unique finite fit: it is
+    reported by its status and not marked as converged.
     """
-    x = transform(F.col(SCORE), name)
-    sums = durable(
-        weighted(_usable(df, name), weight).groupBy(*strata, x.alias("x")).agg(F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col(LABEL)).alias("y")))
-    fit = _by(sums, strata).agg(F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
-    for _ in range(max_steps):
-        p = F.lit(1.0) / (1 + F.exp(-(F.col("a") + F.col("b") * F.col("x"))))
-        rows = _join(sums, fit, strata).withColumn("g", F.col("y") - F.col("w") * p).withColumn("h", F.col("w") * p * (1 - p))
-        s = _by(rows, strata).agg(
-            F.first("a").alias("a"), F.first("b").alias("b"), F.sum("g").alias("ga"), F.sum(F.col("g") * F.col("x")).alias("gb"),
-            F.sum("h").alias("haa"), F.sum(F.col("h") * F.col("x")).alias("hab"), F.sum(F.col("h") * F.col("x") * F.col("x")).alias("hbb"))
-        det = F.col("haa") * F.col("hbb") - F.col("hab") * F.col("hab")
-        safe = F.when(det > 1e-12, det)
-        da = F.coalesce((F.col("hbb") * F.col("ga") - F.col("hab") * F.col("gb")) / safe, F.lit(0.0))
-        db = F.coalesce((F.col("haa") * F.col("gb") - F.col("hab") * F.col("ga")) / safe, F.lit(0.0))
-        fit = durable(s.select(*strata, (F.col("a") + da).alias("a"), (F.col("b") + db).alias("b"), F.greatest(F.abs(da), F.abs(db)).alias("_step")))
-        if fit.agg(F.max("_step")).first()[0] < tolerance:
-            break
-        fit = fit.drop("_step")
-    return fit.select(*strata, "a", "b")
+    keys = [*strata, "transform"]
+    sums = fit_rows(df, strata, weight, list(names)).groupBy(*keys, "x").agg(F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col("_y")).alias("y"))
+    rows = sums.select(*keys, "x", F.col("w").cast("double").alias("w"), F.col("y").cast("double").alias("y"), F.array(F.lit(1)).alias("draws"))
+    fits = replicates.logistic_vectors(rows, keys)
+    return fits.select(*keys, F.col("a")[0].alias("a"), F.col("b")[0].alias("b"), F.col("status")[0].alias("status"),
+                       (F.col("status")[0] == replicates.CONVERGED).alias("converged"))
+
+
+def logistic_fit(df: DataFrame, strata: list[str], weight: str | None = None, name: str | None = "logit") -> DataFrame:
+    """``logistic_fits`` of one transform."""
+    return logistic_fits(df, strata, weight, (name,)).drop("transform")
 
 
 def fitted(score_input: Column, a="a", b="b") -> Column:
@@ -217,13 +218,13 @@ def fitted(score_input: Column, a="a", b="b") -> Column:
 
 def calibration_density(df: DataFrame, strata: list[str], weight: str | None = None, name: str | None = "logit", model: str = "logistic",
                         num_bins: int = 10) -> DataFrame:
-    """Rows with ``density``, the recalibrated probability of each score, and the weight ``_w``."""
+    """Rows with ``density``, the recalibrated probability of each score, whether its fit has ``converged``, and the weight ``_w``."""
     if model == "logistic":
-        fit = logistic_fit(df, strata, weight, name)
+        fit = logistic_fit(df, strata, weight, name).drop("status")
         return weighted(_join(_usable(df, name), fit, strata).withColumn("density", fitted(transform(F.col(SCORE), name))), weight).drop("a", "b")
     rows = weighted(binned(df, strata, num_bins, True, left_closed=True), weight)
     rates = rows.groupBy(*strata, "bin_id").agg((F.sum(F.col(LABEL) * F.col("_w")) / F.sum("_w")).alias("density"))
-    return rows.join(rates, [*strata, "bin_id"])
+    return rows.join(rates, [*strata, "bin_id"]).withColumn("converged", F.lit(True))
 
 
 def absolute_calibration_error(df: DataFrame, strata: list[str] = (), weight: str | None = None, name: str | None = "logit",
@@ -231,7 +232,20 @@ def absolute_calibration_error(df: DataFrame, strata: list[str] = (), weight: st
     strata = list(strata)
     rows = calibration_density(df, strata, weight, name, model)
     err = _variant(F.col("density") - F.col(SCORE), variant)
-    return _by(rows, strata).agg(_finish(F.sum(err * F.col("_w")) / F.sum("_w"), variant).alias("performance"))
+    return _by(rows, strata).agg(_finish(F.sum(err * F.col("_w")) / F.sum("_w"), variant).alias("performance"), F.every("converged").alias("converged"))
+
+
+def absolute_calibration_errors(df: DataFrame, strata: list[str] = (), weight: str | None = None, names: tuple = ("logit",), variant: str = "abs") -> DataFrame:
+    """(strata, transform, performance, status, converged): several transforms from one loop of fits and one pass."""
+    keys = [*strata, "transform"]
+    fits = logistic_fits(df, list(strata), weight, names)
+    rows = weighted(df, weight)
+    ok = lambda n: F.lit(True) if n is None else (F.col(SCORE) > EPS) & (F.col(SCORE) < 1 - EPS)
+    values = F.array(*[F.when(ok(n), F.struct(F.lit(n or "raw").alias("transform"), transform(F.col(SCORE), n).alias("x"))) for n in names])
+    long = rows.select(*strata, SCORE, "_w", F.inline(F.array_compact(values))).join(fits, keys)
+    err = _variant(fitted(F.col("x")) - F.col(SCORE), variant)
+    return long.groupBy(*keys).agg(
+        _finish(F.sum(err * F.col("_w")) / F.sum("_w"), variant).alias("performance"), F.max("status").alias("status"), F.every("converged").alias("converged"))
 
 
 def threshold_calibration_error(df: DataFrame, thresholds: list[float], strata: list[str] = (), weight: str | None = None,
@@ -240,13 +254,13 @@ def threshold_calibration_error(df: DataFrame, thresholds: list[float], strata:
     at = fit.withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
     clean = F.least(F.greatest(F.col("threshold"), F.lit(EPS)), F.lit(1 - EPS)) if name else F.col("threshold")
     diff = fitted(transform(clean, name)) - F.col("threshold")
-    return at.select(*strata, "threshold", _finish(_variant(diff, variant), variant).alias("performance"))
+    return at.select(*strata, "threshold", _finish(_variant(diff, variant), variant).alias("performance"), "converged")
 
 
 def relative_calibration_error(df: DataFrame, group: str, weight: str | None = None, name: str | None = "logit", variant: str = "abs",
                                compute_ace: bool = False) -> DataFrame:
     """Each group's recalibration against the one of all rows, on the group's own scores."""
-    overall = logistic_fit(df, [], weight, name).select(F.col("a").alias("a0"), F.col("b").alias("b0"))
+    overall = logistic_fit(df, [], weight, name).select(F.col("a").alias("a0"), F.col("b").alias("b0"), F.col("converged").alias("c0"))
     own = logistic_fit(df, [group], weight, name)
     x = transform(F.col(SCORE), name)
     rows = attach(weighted(_usable(df, name), weight).join(own, group), overall)
@@ -254,15 +268,18 @@ def relative_calibration_error(df: DataFrame, group: str, weight: str | None = N
     parts = [mean(fitted(x) - fitted(x, "a0", "b0")).alias("rce")]
     if compute_ace:
         parts.append(mean(fitted(x) - F.col(SCORE)).alias("ace"))
-    return rows.groupBy(group).agg(*parts)
+    return rows.groupBy(group).agg(*parts, F.every(F.col("converged") & F.col("c0")).alias("converged"))
 
 
 def calibration_curve(df: DataFrame, strata: list[str] = (), weight: str | None = None, name: str | None = "logit", points: int = 1000) -> DataFrame:
     """Recalibrated probability on an even grid of scores, per stratum."""
-    fit = logistic_fit(df, list(strata), weight, name)
+    return _on_grid(logistic_fit(df, list(strata), weight, name), list(strata), name, points)
+
+
+def _on_grid(fit: DataFrame, keys: list[str], name: str | None, points: int) -> DataFrame:
     step = (1 - 2e-4) / (points - 1)
     grid = fit.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("score", 1e-4 + F.col("k") * step)
-    return grid.select(*strata, "score", fitted(transform(F.col("score"), name)).alias("calibration_density"))
+    return grid.select(*keys, "score", fitted(transform(F.col("score"), name)).alias("calibration_density"), "converged")
 
 
 # ---- thresholds, groups ------------------------------------------------------
@@ -313,24 +330,71 @@ def cross_auc(df: DataFrame, group: str, weight: str | None = None) -> DataFrame
 
 
 def earth_movers(df: DataFrame, group: str, weight: str | None = None, label: int | None = None) -> DataFrame:
-    """Wasserstein distance between a group's scores and all scores.
+    """Wasserstein distance between a group's scores and all scores: the area between their weight curves.
 
-    Both weight curves are laid on the distinct scores; the rows grow with
-    (distinct scores x groups), groups being the few values of one attribute.
+    Between two scores of a group its own curve is level, while the curve of all
+    scores rises.  With the area A under the latter carried along, such a stretch
+    from x to y at level c has the area |c (y - x) - (A(y) - A(x))| unless the curve of
+    all crosses c inside; only then the crossing is looked up, by level, and the stretch
+    is cut there.  So there is one row per own score, not one per group and score.
     """
     rows = df if label is None else df.where(F.col(LABEL) == label)
-    cells = weighted(rows, weight).groupBy(group, SCORE).agg(F.sum("_w").alias("w"))
-    groups = cells.agg(F.collect_set(group).alias("_groups"))
-    every = cells.groupBy(SCORE).agg(F.sum("w").alias("all_w"))
-    grid = attach(every, groups).select(F.explode("_groups").alias(group), SCORE, "all_w").join(cells, [group, SCORE], "left")
-    grid = grid.withColumn("w", F.coalesce("w", F.lit(0.0)))
-    ordered = value_order(grid, [group], SCORE, {"w_upto": "w", "all_upto": "all_w"})
-    # Area of |F - G| by parts: sum over scores of the gap times the distance to the next score.
-    cuts = durable(value_order(every, [], SCORE, {"_n": "all_w"}).select(SCORE))
-    following = next_value(cuts, SCORE)
-    totals = ordered.groupBy(group).agg(F.sum("w").alias("own_total"), F.sum("all_w").alias("all_total"))
-    gap = F.abs(F.col("w_upto") / F.col("own_total") - F.col("all_upto") / F.col("all_total"))
-    return ordered.join(following, SCORE).join(totals, group).groupBy(group).agg(F.sum(gap * F.col("step")).alias("emd"))
+    cells = durable(weighted(rows, weight).groupBy(group, SCORE).agg(F.sum("_w").cast("double").alias("w")).where("w > 0"))
+    every = value_order(cells.groupBy(SCORE).agg(F.sum("w").alias("w")), [], SCORE, {"upto": "w"})
+    total = cells.agg(F.sum("w").alias("total"))
+    # (score, level from here on, level before, area up to here, last score).
+    levels = attach(every, total).select(SCORE, (F.col("upto") / F.col("total")).alias("level"), ((F.col("upto") - F.col("w")) / F.col("total")).alias("below"))
+    levels = durable(levels.join(next_value(durable(levels.select(SCORE)), SCORE), SCORE).withColumn("part", F.col("level") * F.col("step")))
+    curve = value_order(levels, [], SCORE, {"area_upto": "part"}).join(levels.select(SCORE, "level", "below", "step"), SCORE)
+    curve = durable(curve.select(SCORE, "level", "below", "step", (F.col("area_upto") - F.col("part")).alias("area")))
+    own = value_order(cells, [group], SCORE, {"upto": "w"})
+    own = own.join(cells.groupBy(group).agg(F.sum("w").alias("total")), group).select(group, SCORE, (F.col("upto") / F.col("total")).alias("own"))
+    placed = durable(own.join(curve, SCORE))
+    stretches = durable(following(placed, group, SCORE, ["below", "area"]))
+    last = curve.agg(F.max(F.struct(SCORE, "level", "area")).alias("_end"))
+    head = placed.groupBy(group).agg(F.min(F.struct(SCORE, "area")).alias("_head"))
+    # Before a group's first score its curve is 0, from its last on it is 1.
+    tails = attach(stretches, last).select(
+        group, F.col(SCORE).alias("x"), F.coalesce(f"next_{SCORE}", f"_end.{SCORE}").alias("y"), F.col("own").alias("c"), F.col("level").alias("from"),
+        F.when(F.col(f"next_{SCORE}").isNull(), F.lit(1.0)).otherwise(F.col("next_below")).alias("to"), "area", F.coalesce("next_area", "_end.area").alias("end"))
+    crossed = durable(tails.withColumn("cross", (F.col("from") < F.col("c") - 1e-12) & (F.col("to") > F.col("c") + 1e-12)))
+    plain = crossed.where(~F.col("cross")).select(group, F.abs(F.col("c") * (F.col("y") - F.col("x")) - (F.col("end") - F.col("area"))).alias("part"))
+    cut = first_at_level(crossed.where("cross"), curve).select(
+        group, (F.col("c") * (F.col("at") - F.col("x")) - (F.col("at_area") - F.col("area"))
+                + (F.col("end") - F.col("at_area")) - F.col("c") * (F.col("y") - F.col("at"))).alias("part"))
+    before = head.select(group, F.col("_head.area").alias("part"))
+    return plain.unionByName(cut).unionByName(before).groupBy(group).agg(F.sum("part").alias("emd"))
+
+
+def following(rows: DataFrame, key: str, value: str, cols: list[str], buckets: int = 64) -> DataFrame:
+    """Each row with ``value`` and ``cols`` of its key's next larger value, split by value buckets; values are distinct per key."""
+    cuts = rows.groupBy(key).agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
+    cut = rows.join(cuts, key).withColumn("_vb", F.size(F.filter("_cuts", lambda x: x < F.col(value)))).drop("_cuts")
+    found = F.struct(value, *cols)
+    heads = cut.groupBy(key, "_vb").agg(F.min(found).alias("_h")).withColumn("_next", F.lead("_h").over(Window.partitionBy(key).orderBy("_vb"))).drop("_h")
+    inner = Window.partitionBy(key, "_vb").orderBy(value)
+    after = F.coalesce(F.lead(found).over(inner), F.col("_next"))
+    return cut.join(heads, [key, "_vb"]).withColumn("_after", after).select(*rows.columns, *[F.col("_after")[c].alias(f"next_{c}") for c in (value, *cols)])
+
+
+def first_at_level(rows: DataFrame, curve: DataFrame, buckets: int = 1024) -> DataFrame:
+    """``rows`` with ``at`` and ``at_area``: the first score whose level reaches ``c``.
+
+    Levels and probes are put in one falling order of level, split into even buckets
+    of [0, 1]; a bucket without a level above a probe takes the least of the buckets after it.
+    """
+    point = F.struct(F.col("level"), F.col(SCORE).alias("at"), F.col("area").alias("at_area"))
+    bucket = lambda c: F.least(F.floor(c * buckets), F.lit(buckets - 1)).cast("int")
+    points = curve.select(bucket(F.col("level")).alias("_b"), F.col("level").alias("_v"), point.alias("_p"))
+    probes = rows.select(bucket(F.col("c")).alias("_b"), F.col("c").alias("_v"), F.struct(*rows.columns).alias("_row"))
+    both = points.unionByName(probes, allowMissingColumns=True)
+    heads = both.groupBy("_b").agg(F.min("_p").alias("_h"))
+    later = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows
+    heads = heads.withColumn("_later", F.last("_h", ignorenulls=True).over(later)).drop("_h")
+    order = Window.partitionBy("_b").orderBy(F.desc("_v"), F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.withColumn("_in", F.last("_p", ignorenulls=True).over(order)).where(F.col("_row").isNotNull())
+    found = seen.join(F.broadcast(heads), "_b").withColumn("_hit", F.coalesce("_in", "_later"))
+    return found.select("_row.*", F.col("_hit.at").alias("at"), F.col("_hit.at_area").alias("at_area"))
 
 
 def next_value(values: DataFrame, column: str, buckets: int = 64) -> DataFrame:
@@ -398,9 +462,18 @@ def bootstrap_evaluate(
     df: DataFrame, n_boot: int, strata_eval: list[str], strata_boot: list[str] = (), weight: str | None = None,
     replicate: str | None = None, experiment: str | None = None, baseline: str | None = None, metrics=("auc", "brier"), seed: int = 0,
 ) -> DataFrame:
-    """Metric intervals; with an experiment column also against its baseline."""
-    rows = resampled(df, n_boot, list(strata_boot), weight, seed=seed)
-    result = evaluate(rows, [*strata_eval, "boot_id"], "boot_weight", metrics)
+    """Metric intervals; with an experiment column also against its baseline.
+
+    Draws are arrays over the replicates, so no table grows with their number; only
+    metrics that need a second sweep (precision-recall areas) repeat the rows.
+    """
+    swept = [m for m in metrics if m in replicates.METRICS]
+    parts = []
+    if swept:
+        parts.append(replicates.replicate_metrics(replicates.with_draws(df, n_boot, list(strata_boot), seed=seed), list(strata_eval), n_boot, weight, swept))
+    if others := [m for m in metrics if m not in swept]:
+        parts.append(evaluate(resampled(df, n_boot, list(strata_boot), weight, seed=seed), [*strata_eval, "boot_id"], "boot_weight", others))
+    result = union_all(parts)
     keys = [s for s in strata_eval if s != replicate] + ["metric"]
     if replicate is not None:
         result = result.groupBy(*keys, "boot_id").agg(F.avg("performance").alias("performance"))
@@ -416,6 +489,13 @@ def bootstrap_evaluate(
 
 def bootstrap_calibration_curve(df: DataFrame, n_boot: int, strata: list[str] = (), strata_boot: list[str] = (), weight: str | None = None,
                                 name: str | None = "logit", points: int = 100, seed: int = 0) -> DataFrame:
-    rows = resampled(df, n_boot, list(strata_boot), weight, seed=seed)
-    curves = calibration_curve(rows, [*strata, "boot_id"], "boot_weight", name, points)
-    return interval(curves, [*strata, "score"], "calibration_density")
+    """Intervals of the recalibration curve over replicates, fitted together; replicates without a settled fit are left out and counted."""
+    strata = list(strata)
+    drawn = replicates.with_draws(df, n_boot, list(strata_boot), seed=seed)
+    rows = fit_rows(drawn, strata, weight, [name]).select(*strata, "x", F.col("_w").cast("double").alias("w"), (F.col("_w") * F.col("_y")).cast("double").alias("y"), "draws")
+    fits = replicates.logistic_vectors(rows, strata, n_boot).select(*strata, F.inline(F.arrays_zip("a", "b", "status"))).withColumn(
+        "converged", F.col("status") == replicates.CONVERGED)
+    fits = durable(fits)
+    curves = _on_grid(fits.where("converged"), strata, name, points)
+    n = _by(fits, strata).agg(F.count_if("converged").alias("n_converged"))
+    return _join(interval(curves, [*strata, "score"], "calibration_density"), n, strata)

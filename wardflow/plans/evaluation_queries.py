@@ -17,6 +17,12 @@ def auc_sql(keys: str, source: str = SRC, w: str = "weights", score: str = "pred
     return f"""SELECT {sel}sum(a.{w} * b.{w} * CASE WHEN a.{score} > b.{score} THEN 1.0 WHEN a.{score} = b.{score} THEN 0.5 ELSE 0.0 END) / sum(a.{w} * b.{w}) AS auc FROM {source} a JOIN {source} b ON {on} WHERE a.labels = 1 AND b.labels = 0 {grp}"""
 
 
+def rank_auc_sql(keys: str, source: str, w: str, score: str = "pred_probs") -> str:
+    """AUC from running sums over distinct scores, for many strata."""
+    return f"""SELECT {keys}, sum(pos * (upto - neg / 2)) / nullif(sum(pos) * sum(neg), 0) AS auc FROM (SELECT *, sum(neg) OVER (PARTITION BY {keys} ORDER BY s) AS upto FROM (
+      SELECT {keys}, {score} AS s, sum({w} * labels)::DOUBLE AS pos, sum({w} * (1 - labels))::DOUBLE AS neg FROM {source} q GROUP BY {keys}, {score}) c) r GROUP BY {keys}"""
+
+
 def ap_sql(keys: str, w: str = "weights") -> str:
     k = f"{keys}, " if keys else ""
     part = f"PARTITION BY {keys}" if keys else ""
@@ -112,44 +118,44 @@ def _(t):
 TRANSFORMS = {None: "pred_probs", "logit": "ln(pred_probs / (1 - pred_probs))", "log": "ln(pred_probs)", "c_log_log": "ln(-ln(1 - pred_probs))"}
 
 
-def fit_sql(key: str, name, w: str = "weights", steps: int = 12) -> str:
-    """Newton steps written out; returns CTE text ending in ``fit<steps>(key, a, b)``."""
+def fit_sql(key: str, name, w: str = "weights", steps: int = 12, source: str = "predictions") -> str:
+    """Newton steps written out; returns CTE text ending in ``fit<steps>(key, a, b, converged)``."""
     x = TRANSFORMS[name]
-    text = [f"d AS (SELECT {key} AS k, {x} AS x, {w} AS w, labels AS y FROM predictions)", "fit0 AS (SELECT DISTINCT k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM d)"]
+    text = [f"d AS (SELECT {key} AS k, {x} AS x, {w} AS w, labels AS y FROM {source})", "fit0 AS (SELECT DISTINCT k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b FROM d)"]
     for i in range(steps):
         text.append(f"""s{i} AS (SELECT k, any_value(a) AS a, any_value(b) AS b, sum(w * (y - p)) AS ga, sum(w * (y - p) * x) AS gb, sum(w * p * (1 - p)) AS haa, sum(w * p * (1 - p) * x) AS hab, sum(w * p * (1 - p) * x * x) AS hbb
           FROM (SELECT d.*, a, b, 1 / (1 + exp(-(a + b * x))) AS p FROM d JOIN fit{i} USING (k)) q GROUP BY k)""")
-        text.append(f"fit{i + 1} AS (SELECT k, a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a, b + (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM s{i})")
+        text.append(f"""fit{i + 1} AS (SELECT k, a + da AS a, b + db AS b, greatest(abs(da), abs(db)) < 1e-7 AS converged FROM (SELECT *, (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS da,
+          (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS db FROM s{i}) t)""")
     return ", ".join(text)
 
 
 DENS = "1 / (1 + exp(-(a + b * x)))"
 
 
-@query("evl_09_absolute_calibration_error", ROUND(" UNION ALL ".join(f"""SELECT * FROM (WITH {fit_sql('grp', n)} SELECT '{n or 'raw'}' AS transform, k AS grp, sum(w * abs({DENS} - pr)) / sum(w) AS performance
+@query("evl_09_absolute_calibration_error", ROUND(" UNION ALL ".join(f"""SELECT * FROM (WITH {fit_sql('grp', n)} SELECT '{n or 'raw'}' AS transform, k AS grp, sum(w * abs({DENS} - pr)) / sum(w) AS performance, bool_and(converged) AS converged
   FROM (SELECT grp AS k, {x} AS x, weights AS w, pred_probs AS pr FROM predictions) q JOIN fit12 USING (k) GROUP BY k) t{i}""" for i, (n, x) in enumerate(TRANSFORMS.items())), "performance"))
 def _(t):
-    frames = [E.absolute_calibration_error(t.predictions, ["grp"], "weights", n).select(F.lit(n or "raw").alias("transform"), "grp", "performance") for n in TRANSFORMS]
-    return R(E.union_all(frames), "performance")
+    return R(E.absolute_calibration_errors(t.predictions, ["grp"], "weights", tuple(TRANSFORMS)).drop("status"), "performance")
 
 
-@query("evl_09_absolute_calibration_error_bins", ROUND(f"""SELECT sum(weights * abs(rate - pred_probs)) / sum(weights) AS performance FROM (SELECT *, sum(labels * weights) OVER (PARTITION BY bin_id) / sum(weights) OVER (PARTITION BY bin_id) AS rate FROM ({bins_sql(True, 10, op='<=')}) b) z""", "performance"))
+@query("evl_09_absolute_calibration_error_bins", ROUND(f"""SELECT sum(weights * abs(rate - pred_probs)) / sum(weights) AS performance, TRUE AS converged FROM (SELECT *, sum(labels * weights) OVER (PARTITION BY bin_id) / sum(weights) OVER (PARTITION BY bin_id) AS rate FROM ({bins_sql(True, 10, op='<=')}) b) z""", "performance"))
 def _(t):
     return R(E.absolute_calibration_error(t.predictions, [], "weights", model="bin"), "performance")
 
 
-@query("evl_10_threshold_calibration_error", ROUND(f"WITH {fit_sql('grp', 'logit')} SELECT k AS grp, th AS threshold, 1 / (1 + exp(-(a + b * ln(th / (1 - th))))) - th AS performance FROM fit12, (VALUES (0.1::DOUBLE), (0.3::DOUBLE)) v(th)", "performance"))
+@query("evl_10_threshold_calibration_error", ROUND(f"WITH {fit_sql('grp', 'logit')} SELECT k AS grp, th AS threshold, 1 / (1 + exp(-(a + b * ln(th / (1 - th))))) - th AS performance, converged FROM fit12, (VALUES (0.1::DOUBLE), (0.3::DOUBLE)) v(th)", "performance"))
 def _(t):
     return R(E.threshold_calibration_error(t.predictions, [0.1, 0.3], ["grp"], "weights"), "performance")
 
 
-@query("evl_11_relative_calibration_error", ROUND(f"""SELECT g.grp, g.rce, g.ace FROM (WITH {fit_sql('grp', 'logit')}, o AS (SELECT a AS a0, b AS b0 FROM (WITH {fit_sql("'all'", 'logit')} SELECT a, b FROM fit12) oo)
-  SELECT k AS grp, sum(w * abs({DENS} - 1 / (1 + exp(-(a0 + b0 * x))))) / sum(w) AS rce, sum(w * abs({DENS} - pr)) / sum(w) AS ace FROM (SELECT grp AS k, {TRANSFORMS['logit']} AS x, weights AS w, pred_probs AS pr FROM predictions) q JOIN fit12 USING (k), o GROUP BY k) g""", "rce", "ace"))
+@query("evl_11_relative_calibration_error", ROUND(f"""SELECT g.grp, g.rce, g.ace, g.converged FROM (WITH {fit_sql('grp', 'logit')}, o AS (SELECT a AS a0, b AS b0, converged AS c0 FROM (WITH {fit_sql("'all'", 'logit')} SELECT a, b, converged FROM fit12) oo)
+  SELECT k AS grp, sum(w * abs({DENS} - 1 / (1 + exp(-(a0 + b0 * x))))) / sum(w) AS rce, sum(w * abs({DENS} - pr)) / sum(w) AS ace, bool_and(converged AND c0) AS converged FROM (SELECT grp AS k, {TRANSFORMS['logit']} AS x, weights AS w, pred_probs AS pr FROM predictions) q JOIN fit12 USING (k), o GROUP BY k) g""", "rce", "ace"))
 def _(t):
     return R(E.relative_calibration_error(t.predictions, "grp", "weights", compute_ace=True), "rce", "ace")
 
 
-@query("evl_12_calibration_curve", f"""WITH {fit_sql('grp', 'logit')} SELECT k AS grp, round(s, 6) AS score, round(1 / (1 + exp(-(a + b * ln(s / (1 - s))))), 6) AS calibration_density FROM fit12, (SELECT 1e-4 + i * ((1 - 2e-4) / 999) AS s FROM range(0, 1000) r(i)) g""")
+@query("evl_12_calibration_curve", f"""WITH {fit_sql('grp', 'logit')} SELECT k AS grp, round(s, 6) AS score, round(1 / (1 + exp(-(a + b * ln(s / (1 - s))))), 6) AS calibration_density, converged FROM fit12, (SELECT 1e-4 + i * ((1 - 2e-4) / 999) AS s FROM range(0, 1000) r(i)) g""")
 def _(t):
     return R(E.calibration_curve(t.predictions, ["grp"], "weights"), "score", "calibration_density")
 
@@ -213,7 +219,8 @@ def _(t):
 
 # ---- bootstrap -----------------------------------------------------------------
 
-NB = 20
+#: Replicates of the comparisons and of the curves.
+NB, CURVES = 1000, 10
 H15 = lambda k: f"CAST('0x' || substr(md5({k}), 1, 15) AS BIGINT)"
 
 
@@ -237,7 +244,7 @@ def _(t):
 
 cte("stack", "SELECT *, 'model' AS arm FROM predictions UNION ALL SELECT * REPLACE (base_probs AS pred_probs), 'base' AS arm FROM predictions")
 BROWS = "(SELECT s.*, draws * weights AS bw, boot_id FROM stack s JOIN boots USING (person_id, labels))"
-cte("bootres", f"SELECT arm, boot_id, 'auc' AS metric, auc AS performance FROM ({auc_sql('arm, boot_id', BROWS, 'bw')}) a UNION ALL SELECT arm, boot_id, 'brier', sum(bw * (pred_probs - labels) ** 2) / sum(bw) FROM {BROWS} z GROUP BY 1, 2")
+cte("bootres", f"SELECT arm, boot_id, 'auc' AS metric, auc AS performance FROM ({rank_auc_sql('arm, boot_id', BROWS, 'bw')}) a UNION ALL SELECT arm, boot_id, 'brier', sum(bw * (pred_probs - labels) ** 2) / sum(bw) FROM {BROWS} z GROUP BY 1, 2")
 
 
 @query("evl_19_bootstrap_evaluate", ROUND("""SELECT arm, metric, part, quantile_cont(value, 0.025) AS CI_lower, quantile_cont(value, 0.5) AS CI_med, quantile_cont(value, 0.975) AS CI_upper FROM (
@@ -250,9 +257,16 @@ def _(t):
     return R(out, "CI_lower", "CI_med", "CI_upper")
 
 
-@query("evl_20_bootstrap_calibration_curve")
+cte("cboots", draws_sql("person_id", "predictions", "labels", n_boot=CURVES))
+CROWS = "(SELECT p.*, c.draws * p.weights AS bw, c.boot_id FROM predictions p JOIN cboots c USING (person_id, labels))"
+
+
+@query("evl_20_bootstrap_calibration_curve", ROUND(f"""SELECT grp, score, quantile_cont(v, 0.025) AS CI_lower, quantile_cont(v, 0.5) AS CI_med, quantile_cont(v, 0.975) AS CI_upper, count(*) AS n_converged
+  FROM (WITH {fit_sql("grp || '|' || boot_id", 'logit', 'bw', source=CROWS)} SELECT string_split(k, '|')[1] AS grp, s AS score, 1 / (1 + exp(-(a + b * ln(s / (1 - s))))) AS v FROM fit12,
+   (SELECT 1e-4 + i * ((1 - 2e-4) / 999) AS s FROM range(0, 1000) r(i)) g WHERE converged) z GROUP BY 1, 2""", "score", "CI_lower", "CI_med", "CI_upper"))
 def _(t):
-    return E.bootstrap_calibration_curve(t.predictions, 5, ["grp"], ["labels"], "weights", points=20)
+    out = E.bootstrap_calibration_curve(t.predictions, CURVES, ["grp"], ["labels"], "weights", points=1000)
+    return R(out, "score", "CI_lower", "CI_med", "CI_upper")
 
 
 @query("evl_21_group_rates", ROUND("SELECT grp, threshold, recall AS tpr, fpr, positive_rate, precision FROM thr WHERE threshold = 0.5", "tpr", "fpr", "positive_rate", "precision"))
@@ -326,7 +340,7 @@ def aligned(t):
 
 
 cte("bal", f"SELECT a.*, boot_id, draws FROM al a JOIN ({draws_sql('prediction_id', 'al', seed=444)}) d USING (prediction_id)")
-cte("bauc", f"""SELECT boot_id, task, x.auc AS treatment, y.auc AS control FROM ({auc_sql('boot_id, task', 'bal', 'draws', 'treatment')}) x JOIN ({auc_sql('boot_id, task', 'bal', 'draws', 'control')}) y USING (boot_id, task)""")
+cte("bauc", f"""SELECT boot_id, task, x.auc AS treatment, y.auc AS control FROM ({rank_auc_sql('boot_id, task', 'bal', 'draws', 'treatment')}) x JOIN ({rank_auc_sql('boot_id, task', 'bal', 'draws', 'control')}) y USING (boot_id, task)""")
 cte("tdraw", f"""SELECT boot_id, task, times FROM (SELECT b AS boot_id, {H15("'444|task|' || CAST(b AS VARCHAR) || '|' || CAST(i AS VARCHAR)")} % 3 AS i, count(*) AS times FROM range(0, {NB}) x(b), range(0, 3) y(i) GROUP BY ALL) d
   JOIN (SELECT task, row_number() OVER (ORDER BY task) - 1 AS i FROM (SELECT DISTINCT task FROM al) q) m USING (i)""")
 cte("mdiff", "SELECT boot_id, sum((treatment - control) * times) / sum(times) AS diff FROM bauc JOIN tdraw USING (boot_id, task) GROUP BY 1")
