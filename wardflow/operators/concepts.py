@@ -75,30 +75,39 @@ def source_rollup(concept: DataFrame, relationships: DataFrame, ancestors: DataF
     return standard.union(below.select("descendant_concept_id")).distinct()
 
 
+#: Vocabulary whose codes may list several parents; the one with the longest code counts.
+MANY_PARENTS = "ICD10CM"
+
+
+def single_parents(parents: DataFrame) -> DataFrame:
+    """(code, parent): the one parent of each code; a code with several has none, except in ``MANY_PARENTS``.
+
+    ``parents(code, parent, vocabulary)`` has the vocabulary of ``code``, if there are several; of equally long parents the smallest counts.
+    """
+    if "vocabulary" not in parents.columns:
+        parents = parents.withColumn("vocabulary", F.lit(None).cast("string"))
+    known = parents.where("code IS NOT NULL AND parent IS NOT NULL").select("code", "parent", "vocabulary").distinct()
+    best = known.groupBy("code").agg(
+        F.min(F.struct((-F.length("parent")).alias("o"), "parent")).alias("b"), F.count_distinct("parent").alias("n"), F.max("vocabulary").alias("vocabulary"))
+    return best.where((F.col("n") == 1) | (F.col("vocabulary") == MANY_PARENTS)).select("code", F.col("b.parent").alias("parent"))
+
+
 def recover_unmapped(unmapped: DataFrame, parents: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Walk parent edges from each unmapped code to its nearest mapped ancestor.
+    """(code, recovered): the first mapped code up the chain of single parents of each unmapped code.
 
-    ``unmapped(code)``, ``parents(code, parent)``, ``mapped(code)``.  At each
-    level a code with a mapped parent stops (the longest, then smallest, parent
-    code wins); the others go one level up.  Places a code has been at are not
-    visited again, so chains of any depth and cycles end.
+    A code points at its parent until that is mapped; in every step all codes move on
+    to what their target points at, so a chain of n codes takes log n steps.  Codes
+    whose chain ends are left out, and so are those that still move after as many
+    steps as the longest possible chain takes: they lie on a cycle.
     """
-    frontier = unmapped.select("code", F.col("code").alias("at"))
-    seen, done = frontier, None
-    while True:
-        step = frontier.join(parents.select(F.col("code").alias("at"), "parent"), "at").select(
-            "code", F.col("parent").alias("at")
-        ).distinct().join(seen, ["code", "at"], "left_anti")
-        step = durable(step.join(mapped.select(F.col("code").alias("at"), F.lit(True).alias("hit")), "at", "left"))
-        seen = seen.unionByName(step.select("code", "at"))
-        if step.isEmpty():
-            break
-        found = (
-            step.where("hit")
-            .groupBy("code")
-            .agg(F.min(F.struct((-F.length("at")).alias("o"), "at")).alias("b"))
-            .select("code", F.col("b.at").alias("recovered"))
-        )
-        done = found if done is None else done.unionByName(found)
-        frontier = step.join(found, "code", "left_anti").select("code", "at")
-    return done if done is not None else unmapped.select("code", F.col("code").alias("recovered")).limit(0)
+    found = single_parents(parents)
+    hits = mapped.select(F.col("code").alias("to")).distinct().withColumn("hit", F.lit(True))
+    points = durable(found.select("code", F.col("parent").alias("to")).join(hits, "to", "left").select("code", "to", F.coalesce("hit", F.lit(False)).alias("hit")))
+    longest, steps = points.count(), 0
+    while (1 << steps) < longest + 1 and not points.where("NOT hit").isEmpty():
+        far = points.select(F.col("code").alias("to"), F.col("to").alias("far"), F.col("hit").alias("far_hit"))
+        # A target without a parent of its own ends its chain.
+        moved = points.where("NOT hit").join(far, "to").select("code", F.col("far").alias("to"), F.col("far_hit").alias("hit"))
+        points = durable(points.where("hit").unionByName(moved))
+        steps += 1
+    return unmapped.select("code").join(points.where("hit").select("code", F.col("to").alias("recovered")), "code")

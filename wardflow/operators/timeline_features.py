@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.hashing import key_hash, sha256_mod
-from ..functions.segments import attach, dense_index, durable, hash_rank, union_all, value_order
+from ..functions.segments import attach, dense_index, durable, hash_rank, union_all, value_order, values_at_ranks
 from . import timeline as T
 
-SAMPLE_PER_CODE, LAB_SPLIT_SIZE, TEXT_MIN = 10000, 500, 100
+#: Values in a range of a code, the number of values from which it gets no more ranges, and the least frequency of a text result.
+LAB_SPLIT_SIZE, LAB_VALUES, TEXT_MIN = 500, 10000, 100
 # Text results read as negative or positive, and those read as no result.
 NEGATIVE_TEXTS = ["n", "neg", "neg.", "not detected", "none", "none seen", "nosee", "nr", "non reactive", "non-reactive"]
 POSITIVE_TEXTS = ["p", "pos", "pos.", "reactive"]
@@ -350,44 +351,52 @@ def entropy_candidates(counts: DataFrame, edges: DataFrame, closure: DataFrame,
     return links.join(child, "code").join(parent, "parent").select("parent", "code", score.alias("entropy"))
 
 
+def six_digits(number: Column) -> Column:
+    """Shortest text of a number with six significant digits; scientific below 1e-4 and from 1e6 on."""
+    number = number.cast("double")
+    scientific = F.format_string("%.5e", number)
+    power = F.regexp_extract(scientific, r"e([+-][0-9]+)$", 1).cast("int")
+    short = lambda c: F.regexp_replace(F.regexp_replace(c, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    plain = None
+    for p in range(-4, 6):
+        text = short(F.format_string(f"%.{5 - p}f", number))
+        plain = F.when(power == p, text) if plain is None else plain.when(power == p, text)
+    mantissa, exponent = F.split(scientific, "e")[0], F.split(scientific, "e")[1]
+    return F.when(number == 0, "0").otherwise(F.coalesce(plain, F.concat(short(mantissa), F.lit("e"), exponent)))
+
+
 def clean_text(value: Column) -> Column:
-    """Lab text in lower case with common spellings of positive, negative and no result folded."""
+    """Lab text in lower case with common spellings of positive, negative and no result folded; ``<number`` in six digits."""
     low = F.lower(value)
     number = F.substr(low, F.lit(2)).try_cast("float")
     return (
         F.when(low.isin(*NEGATIVE_TEXTS), "negative").when(low.isin(*POSITIVE_TEXTS), "positive")
         .when(low.isin(*NO_RESULT_TEXTS) | low.startswith("tnp/"), "")
-        .when(low.startswith("<") & number.isNotNull(), F.concat(F.lit("<"), F.format_string("%s", F.regexp_replace(number.cast("string"), r"\.0$", ""))))
+        .when(low.startswith("<") & number.isNotNull(), F.concat(F.lit("<"), six_digits(number)))
         .otherwise(low)
     )
 
 
-def sample_values(events: DataFrame, value: str, size: int = SAMPLE_PER_CODE, seed: int = 0) -> DataFrame:
-    """At most ``size`` values per code by hash rank (the sampling of the operator)."""
-    have = events.where(F.col(value).isNotNull()).select("person_id", "age", "code", value)
-    ranked = hash_rank(have, ["code"], key_hash("person_id", "age", F.col(value), seed=seed))
-    return ranked.where(F.col("rank") < size).select("code", value)
-
-
-def numeric_ranges(samples: DataFrame, split_size: int = LAB_SPLIT_SIZE) -> DataFrame:
-    """Inner split points per code at positions n * i / (n / split_size) of the sorted sample.
+def numeric_ranges(events: DataFrame, split_size: int = LAB_SPLIT_SIZE) -> DataFrame:
+    """Inner split points per code at positions n * i / k of all its sorted values.
 
-    Repeats of the point before are skipped, the first and last distinct points go out.
+    k is n / ``split_size``, where values over ``LAB_VALUES`` add no more ranges, only
+    sharper ones.  Repeats of the point before are skipped, the first and last distinct
+    points go out.
     """
-    ordered = value_order(samples.select("code", F.col("numeric_value").alias("value"), F.lit(1).cast("bigint").alias("n")), ["code"], "value", {"upto": "n"})
-    totals = samples.groupBy("code").agg(F.count(F.lit(1)).alias("total"))
-    k = F.floor(F.col("total") / split_size).cast("int")
-    spots = F.transform(F.sequence(F.lit(0), k), lambda i: F.when(i == k, F.col("total") - 1).otherwise(F.floor(F.col("total") * i / k)))
-    hit = F.exists(spots, lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
-    points = ordered.join(totals.where(k > 1), "code").where(hit).select("code", "value")
-    # A code has at most size / split_size + 1 points.
+    values = events.where(F.col("numeric_value").isNotNull()).select("code", F.col("numeric_value").alias("value"))
+    number = lambda total: F.floor(F.least(total, F.lit(LAB_VALUES)) / split_size).cast("int")
+    place = lambda total, i: F.when(i == number(total), total - 1).otherwise(F.floor(total * i / number(total)))
+    spots = lambda total: F.when(number(total) > 1, F.transform(F.sequence(F.lit(0), number(total)), lambda i: place(total, i))).otherwise(F.array().cast("array<bigint>"))
+    points = values_at_ranks(values, "code", "value", spots)
+    # A code has at most LAB_VALUES / split_size + 1 points.
     listed = points.groupBy("code").agg(F.sort_array(F.collect_set("value")).alias("v")).where(F.size("v") > 2)
     return listed.select("code", F.slice("v", F.lit(2), F.size("v") - 2).alias("ranges"))
 
 
-def text_values(samples: DataFrame, at_least: int = TEXT_MIN) -> DataFrame:
-    """Cleaned text results seen more than ``at_least`` times, for codes with two or more of them."""
-    cleaned = samples.select("code", clean_text(F.col("text_value")).alias("text")).where(F.col("text") != "")
+def text_values(events: DataFrame, at_least: int = TEXT_MIN) -> DataFrame:
+    """Cleaned text results seen more than ``at_least`` times, for codes with two or more of them; all results count."""
+    cleaned = events.where(F.col("text_value").isNotNull()).select("code", clean_text(F.col("text_value")).alias("text")).where(F.col("text") != "")
     counts = cleaned.groupBy("code", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > at_least)
     several = counts.groupBy("code").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1")
     return counts.join(several, "code", "left_semi")

@@ -183,23 +183,24 @@ def _(t):
 
 
 # Parent edges over parts: p -> p/3 and p -> p/7; codes divisible by 11 are mapped.
-cte("par_edges", """SELECT 'C/' || CAST(p_partkey AS VARCHAR) AS code, 'C/' || CAST(CAST(floor(p_partkey / k) AS BIGINT) AS VARCHAR) AS parent FROM part, (VALUES (3), (7)) v(k) WHERE p_partkey > 0""")
+cte("par_edges", """SELECT 'C/' || CAST(p_partkey AS VARCHAR) AS code, 'C/' || CAST(CAST(floor(p_partkey / k) AS BIGINT) AS VARCHAR) AS parent, CASE WHEN p_partkey % 2 = 0 THEN 'ICD10CM' ELSE 'SNOMED' END AS vocabulary
+  FROM part, (VALUES (3), (7)) v(k) WHERE p_partkey > 0 AND (k = 3 OR p_partkey % 2 = 0 OR p_partkey % 5 = 0)""")
+cte("one_parent", """SELECT code, parent FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY length(parent) DESC, parent) AS k, count(*) OVER (PARTITION BY code) AS n FROM (SELECT DISTINCT * FROM par_edges) q) z
+  WHERE k = 1 AND (n = 1 OR vocabulary = 'ICD10CM')""")
 
 
 @query("con_03_recover_unmapped", """WITH RECURSIVE walk AS (
-   SELECT code, parent AS node, 1 AS depth FROM par_edges WHERE CAST(substr(code, 3) AS BIGINT) % 11 <> 0
-   UNION SELECT w.code, e.parent, depth + 1 FROM walk w JOIN par_edges e ON e.code = w.node WHERE CAST(substr(w.node, 3) AS BIGINT) % 11 <> 0),
-  hits AS (SELECT code, node, depth FROM walk WHERE CAST(substr(node, 3) AS BIGINT) % 11 = 0)
-  SELECT code, node AS recovered FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY depth, length(node) DESC, node) AS rn FROM hits) q WHERE rn = 1""")
+   SELECT code, parent AS node FROM one_parent WHERE CAST(substr(code, 3) AS BIGINT) % 11 <> 0
+   UNION SELECT w.code, e.parent FROM walk w JOIN one_parent e ON e.code = w.node WHERE CAST(substr(w.node, 3) AS BIGINT) % 11 <> 0)
+  SELECT code, node AS recovered FROM walk WHERE CAST(substr(node, 3) AS BIGINT) % 11 = 0""")
 def _(t):
     number = lambda c: F.substring(c, 3, 20).cast("bigint")
-    part = t.part
+    part, key = t.part, F.col("p_partkey")
     code = lambda n: F.concat(F.lit("C/"), n.cast("string"))
-    edges = part.where(F.col("p_partkey") > 0).select(
-        code(F.col("p_partkey")).alias("code"),
-        F.explode(F.array(*[code(F.floor(F.col("p_partkey") / k)) for k in (3, 7)])).alias("parent"),
-    )
-    codes = part.select(code(F.col("p_partkey")).alias("code"))
+    up = F.array(*[F.struct(F.lit(k).alias("k"), code(F.floor(key / k)).alias("parent")) for k in (3, 7)])
+    edges = part.where(key > 0).select(code(key).alias("code"), key, F.inline(up)).where((F.col("k") == 3) | (key % 2 == 0) | (key % 5 == 0)).select(
+        "code", "parent", F.when(key % 2 == 0, "ICD10CM").otherwise("SNOMED").alias("vocabulary"))
+    codes = part.select(code(key).alias("code"))
     return K.recover_unmapped(codes.where(number("code") % 11 != 0), edges, codes.where(number("code") % 11 == 0))
 
 

@@ -231,19 +231,18 @@ def _(t):
     return S.entropy_candidates(counts, t.code_edges, closure, "TOP/1", 20).withColumn("entropy", F.round("entropy", 5))
 
 
-@query("seq_09_numeric_ranges", """WITH s AS (SELECT code, numeric_value AS v, row_number() OVER (PARTITION BY code ORDER BY numeric_value) - 1 AS rk, count(*) OVER (PARTITION BY code) AS n FROM (
-   SELECT *, row_number() OVER (PARTITION BY code ORDER BY md5('0|' || CAST(person_id AS VARCHAR) || '|' || CAST(age AS VARCHAR) || '|' || CAST(numeric_value AS VARCHAR))) AS h FROM tl WHERE numeric_value IS NOT NULL) q WHERE h <= 10000),
-  k AS (SELECT DISTINCT code, n, CAST(floor(n / 100) AS BIGINT) AS k FROM s WHERE floor(n / 100) > 1),
+@query("seq_09_numeric_ranges", """WITH s AS (SELECT code, numeric_value AS v, row_number() OVER (PARTITION BY code ORDER BY numeric_value) - 1 AS rk, count(*) OVER (PARTITION BY code) AS n FROM tl WHERE numeric_value IS NOT NULL),
+  k AS (SELECT DISTINCT code, n, CAST(floor(least(n, 10000) / 100) AS BIGINT) AS k FROM s WHERE floor(least(n, 10000) / 100) > 1),
   p AS (SELECT DISTINCT code, i, CASE WHEN i = k THEN n - 1 ELSE CAST(floor(n * i / k) AS BIGINT) END AS pos FROM (SELECT *, unnest(range(0, k + 1)) AS i FROM k) z),
   d AS (SELECT DISTINCT code, v FROM s JOIN p USING (code) WHERE rk = pos), l AS (SELECT code, list(v ORDER BY v) AS v FROM d GROUP BY 1)
   SELECT code, v[2:len(v) - 1] AS ranges FROM l WHERE len(v) > 2""")
 def _(t):
-    return S.numeric_ranges(S.sample_values(ed(t)[0], "numeric_value"), split_size=100)
+    return S.numeric_ranges(ed(t)[0], split_size=100)
 
 
 @query("seq_09_text_values", """WITH c AS (SELECT code, lower(text_value) AS text, count(*) AS n FROM tl WHERE text_value IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 10) SELECT * FROM c WHERE code IN (SELECT code FROM c GROUP BY 1 HAVING count(*) > 1)""")
 def _(t):
-    return S.text_values(S.sample_values(ed(t)[0], "text_value"), at_least=10)
+    return S.text_values(ed(t)[0], at_least=10)
 
 
 @query("seq_10_hash_split", """SELECT person_id, CAST(list_reduce(list_transform(range(0, 32), lambda i: CAST('0x' || substr(dg, CAST(i * 2 + 1 AS BIGINT), 2) AS BIGINT)), lambda a, b: (a * 256 + b) % 10) % 10 <> 9 AS INT) AS is_train
