@@ -17,9 +17,10 @@ SAMPLE = [
     "labq_06_neutropenia_lab", "dxq_01_all_diagnosis_labels", "out_13_cardiovascular_outcome", "con_03_recover_unmapped", "sep_11_score_differences",
     "ftq_01_concept_counts", "ftq_09_value_bins", "ftq_15_sparse_matrix", "tml_05_merged_timeline", "ont_01_subwords", "tlb_17_readmission",
     "tlb_20_high_value_sequence", "tlb_22_next_year_category", "tft_08_numeric_bins", "seq_02_valid_codes", "spl_05_task_exclusions",
-    "evl_01_metrics_by_stratum", "evl_17_cross_auc", "stt_02_superiority", "srv_01_time_bins",
+    "evl_01_metrics_by_stratum", "evl_17_cross_auc", "stt_02_superiority", "srv_01_time_bins", "evl_20_bootstrap_calibration_curve", "tft_09_encode_decode",
+    "tml_18_timeline_store", "snk_07_row_maps", "ftq_18_split_matrix", "seq_09_numeric_ranges", "mdl_01_design_matrix",
 ]
-WITHOUT_ORACLE = {"mdl_01_logistic_grid", "mdl_02_boosted_trees", "mdl_03_scored_test_set"}
+WITHOUT_ORACLE: set[str] = set()
 
 
 @pytest.fixture(scope="module")

@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import key_hash
-from ..functions.segments import attach, dense_index, hash_rank, union_all
+from ..functions.segments import attach, dense_index, durable, hash_rank, union_all
+from .evaluation import exact_quantiles
 from .timeline import day_index_of
 
 SPLIT_SEEDS = tuple(range(10))
@@ -170,3 +171,34 @@ def incidence_tables(df: DataFrame, outcome: str, groups: list[str]) -> DataFram
 
 def profile_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def split_rows(cohort: DataFrame, years: dict[str, tuple[int, int]], row: str = "prediction_id", at: str = "admit_date") -> DataFrame:
+    """(split, row_idx, row): rows of each fold inside its admission years, numbered from 0 within their split.
+
+    ``years`` maps test, val and train to first and last admission year; every fold but
+    test and val trains.  Rows are numbered over all splits by range partitions with
+    offsets, and each split starts again at its first number: one row per split.
+    """
+    split = F.when(F.col("fold_id").isin("test", "val"), F.col("fold_id")).otherwise("train")
+    year = F.year(at)
+    inside = reduce(lambda a, b: a | b, [(split == n) & year.between(*span) for n, span in years.items()])
+    kept = cohort.where(inside & F.col("fold_id").isNotNull()).select(split.alias("split"), row)
+    numbered = durable(dense_index(kept, ["split", row], "_at"))
+    starts = numbered.groupBy("split").agg(F.min("_at").alias("_start"))
+    return numbered.join(starts, "split").select("split", (F.col("_at") - F.col("_start")).alias("row_idx"), row)
+
+
+def split_matrix(triples: DataFrame, rows: DataFrame, row_map: DataFrame, row: str = "prediction_id", feature_row: str = "row_id") -> DataFrame:
+    """(split, row_idx, col_id, value): a matrix's triples by the row numbers of ``split_rows``."""
+    numbers = row_map.join(rows.select(F.col(feature_row).alias(row), "features_row_id"), row)
+    return triples.join(numbers.select("split", "row_idx", "features_row_id"), "features_row_id").select("split", "row_idx", "col_id", "value")
+
+
+def group_quartiles(df: DataFrame, groups: list[str], values: list[str]) -> DataFrame:
+    """(groups, variable, n, median, q25, q75), exact, over each group's known values."""
+    long = df.select(*groups, F.inline(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("value")) for v in values]))).where("value IS NOT NULL")
+    keys = [*groups, "variable"]
+    edges = exact_quantiles(long, keys, "value", [0.25, 0.5, 0.75])
+    return edges.join(long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys).select(
+        *keys, "n", F.col("edges")[1].alias("median"), F.col("edges")[0].alias("q25"), F.col("edges")[2].alias("q75"))

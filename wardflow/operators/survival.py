@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.segments import attach
+from ..functions.segments import attach, value_order
 from .evaluation import exact_quantiles
 
 
@@ -20,6 +20,19 @@ def time_bin(df: DataFrame, time: str, edges: DataFrame, out: str = "time_bin")
     return attach(df, edges).withColumn(out, F.size(F.filter("edges", lambda e: e <= F.col(time))) - 1).drop("edges")
 
 
+def time_bin_unique(df: DataFrame, events: DataFrame, time: str, out: str = "time_bin") -> DataFrame:
+    """Left-closed bin index of a time, every distinct event time being an edge and 0 in front.
+
+    Edges and times are put in one order with a running count of edges, so the
+    edges, as many as there are event times, are never held in one array.
+    """
+    first = events.agg(F.min(time).alias("_m")).where("_m <> 0").select(F.lit(0.0).cast(events.schema[time].dataType).alias(time))
+    edges = events.select(time).where(F.col(time).isNotNull()).distinct().unionByName(first).distinct()
+    marks = edges.withColumn("_n", F.lit(1).cast("bigint")).unionByName(df.select(time).distinct().withColumn("_n", F.lit(0).cast("bigint")))
+    ordered = value_order(marks, [], time, {"_upto": "_n"}).select(time, F.col("_upto").alias("_upto"))
+    return df.join(ordered, time).withColumn(out, (F.col("_upto") - 1).cast("int")).drop("_upto")
+
+
 def survival_curve(hazards: DataFrame, row: str = "row_id") -> DataFrame:
     """Survival per (row, bin) from hazard logits; bins per row are few."""
     upto = Window.partitionBy(row).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)

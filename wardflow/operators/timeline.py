@@ -174,8 +174,8 @@ def dense_ids(people: DataFrame) -> DataFrame:
     return dense_index(people.select("person_id").distinct(), ["person_id"], "patient_id")
 
 
-def day_index_of(days: DataFrame, points: DataFrame) -> DataFrame:
-    """Last timeline day on or before each (person_id, date); null when there is none.
+def day_index_of(days: DataFrame, points: DataFrame, required: bool = False) -> DataFrame:
+    """Last timeline day on or before each (person_id, date); null when there is none, an error if it is ``required``.
 
     Both sides meet in one table of person-days and the day index is carried
     forward, so no pairs of days and dates are formed.
@@ -184,11 +184,12 @@ def day_index_of(days: DataFrame, points: DataFrame) -> DataFrame:
     merged = days.select("person_id", "day", "day_index").unionByName(marks, allowMissingColumns=True)
     merged = merged.groupBy("person_id", "day").agg(F.max("day_index").alias("_i"), F.max("_asked").alias("_asked"))
     before = Window.partitionBy("person_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        merged.withColumn("day_index", F.last("_i", ignorenulls=True).over(before))
-        .where("_asked = 1")
-        .select("person_id", F.col("day").alias("date"), "day_index")
-    )
+    found = merged.withColumn("day_index", F.last("_i", ignorenulls=True).over(before)).where("_asked = 1")
+    place = F.col("day_index")
+    if required:
+        told = F.concat(F.lit("no timeline day on or before "), F.col("day").cast("string"), F.lit(" for person "), F.col("person_id").cast("string"))
+        place = F.coalesce(place, F.raise_error(told).cast(found.schema["day_index"].dataType))
+    return found.select("person_id", F.col("day").alias("date"), place.alias("day_index"))
 
 
 def inspect(events: DataFrame, ids: DataFrame, person_id: int | None = None, patient_id: int | None = None) -> DataFrame:

@@ -1,7 +1,10 @@
 """Queries of the evaluation, survival, comparison and result operators."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..functions.segments import shared_folder
 from ..operators import comparison as M, evaluation as E, survival as V
 from .registry import cte, query
 
@@ -313,6 +316,12 @@ def _(t):
     return survival_rows(t)
 
 
+@query("srv_01_unique_edges", """SELECT s.*, len(list_filter(e, lambda x: x <= hours)) - 1 AS time_bin FROM surv s, (SELECT list_distinct(list_concat([0.0], list(DISTINCT hours))) AS e FROM surv WHERE event = 1) q""")
+def _(t):
+    rows = survival_rows(t).drop("time_bin")
+    return V.time_bin_unique(rows, rows.where("event = 1"), "hours")
+
+
 @query("srv_02_survival_at_times", ROUND("SELECT s.row_id, exp(sum(-ln(1 + exp(logit)))) AS survival FROM surv_bin s JOIN haz h ON h.row_id = s.row_id AND h.bin <= s.time_bin GROUP BY 1", "survival"))
 def _(t):
     return R(V.survival_at(V.survival_curve(hazards(t)), survival_rows(t)), "survival")
@@ -394,3 +403,13 @@ def _(t):
 @query("res_03_row_set_difference", """SELECT person_id, 'left' AS side FROM (SELECT person_id FROM person EXCEPT SELECT person_id FROM death) a UNION ALL SELECT person_id, 'right' FROM (SELECT person_id FROM death EXCEPT SELECT person_id FROM person) b""")
 def _(t):
     return M.row_set_difference(t.person.select("person_id"), t.death.select("person_id"))
+
+
+@query("res_01_collated_files", "SELECT 'long' AS run, grp AS model, metric, performance FROM (" + ROUND(long_sql("grp"), "performance") + ") a UNION ALL SELECT 'short', grp, metric, performance FROM (" + ROUND(long_sql("grp", "one"), "performance") + ") b")
+def _(t):
+    """Result files of two runs, written apart with their tags in the path and collated."""
+    path = f"{shared_folder(t.spark)}/results-{uuid.uuid4().hex}"
+    for run, weight in (("long", "weights"), ("short", None)):
+        found = R(E.evaluate(t.predictions, ["grp"], weight), "performance").withColumnRenamed("grp", "model")
+        found.write.partitionBy("model").option("header", True).csv(f"{path}/run={run}")
+    return M.collate(t.spark, path, "metric string, performance double, run string, model string").select("run", "model", "metric", "performance")

@@ -205,6 +205,38 @@ def _(t):
     return X.preset_features(t, cohort(t), "drug_group_era")
 
 
+# ---- all presets -----------------------------------------------------------------
+
+ERAS = {"condition_group_era": ("condition_occurrence", "condition_concept_id", "condition_start_date"), "drug_group_era": ("drug_exposure", "drug_concept_id", "drug_exposure_start_date")}
+
+
+def preset_sql(name: str) -> str:
+    parts = []
+    for analysis, windows in X.PRESETS[name].items():
+        bins = "(VALUES " + ", ".join(f"({X.PRESET_WINDOWS[w][0]}, {X.PRESET_WINDOWS[w][1]})" for w in windows) + ") rb(l, r)"
+        if analysis == "age_group":
+            parts += [AGE_SQL, static_sql("year(admit_date)", "index_year"), static_sql("month(admit_date)", "index_month")]
+        elif not windows:
+            parts.append(static_sql(f"{analysis}_concept_id", analysis))
+        elif analysis == "visit_count":
+            parts.append(vis_sql("'visit'", analysis))
+        elif analysis == "visit_concept_count":
+            parts.append(vis_sql("CAST(visit_concept_id AS VARCHAR)", analysis))
+        elif analysis == "measurement_range":
+            parts.append(day_sql(RANGE_SQL, analysis, bins))
+        elif analysis in ERAS:
+            table, concept, day = ERAS[analysis]
+            parts.append(day_sql(f"SELECT person_id, CAST(ancestor_concept_id AS VARCHAR) AS concept_id, {day} AS dt FROM {table} JOIN (SELECT DISTINCT * FROM concept_ancestor) a ON {concept} = descendant_concept_id WHERE {concept} IN (SELECT concept_id FROM std)", analysis, bins))
+        else:
+            parts.append(day_sql(source_sql(analysis), analysis, bins))
+    return " UNION ALL ".join(parts)
+
+
+for _preset in X.PRESETS:
+    if _preset != "drug_group_era":  # above
+        query(f"ftq_16_preset_{_preset}", preset_sql(_preset))(lambda t, p=_preset: X.preset_features(t, cohort(t), p))
+
+
 cte("row_groups", "SELECT features_row_id, CASE WHEN age_in_years >= 18 THEN 1 ELSE 0 END AS adult FROM rowmap JOIN samp USING (row_id)")
 cte("usage", """SELECT v.feature_id, v.col_id, CASE WHEN a = 1 AND c = 1 THEN 'both' WHEN a = 1 THEN 'adult_only' WHEN c = 1 THEN 'pediatric_only' ELSE 'neither' END AS usage
   FROM vocab v LEFT JOIN (SELECT col_id, max(adult) AS a, max(1 - adult) AS c FROM trip JOIN row_groups USING (features_row_id) GROUP BY 1) q USING (col_id)""")

@@ -7,24 +7,44 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.segments import shared_folder
-from ..operators import labelers as B, models as L, ontology as G, splits as P, timeline as T, timeline_features as S
-from ..sources import readers, writers
+from ..functions.hashing import sha256_mod
+from ..functions.segments import attach, durable, literal_rows, shared_folder, union_all
+from ..operators import evaluation as E, features as X, models as L, splits as P, timeline as T, timeline_features as S
+from ..sources import readers, store, writers
 from .cohort_queries import adm
-from .feature_queries import HEAD, cohort, day_sql, one, source_sql
+from .feature_queries import chosen, cohort, day_sql, one, source_sql
 from .labeler_queries import ed, lab_a
 from .registry import cte, query
+from .timeline_feature_queries import setup
 
 
 def place(t, name: str) -> str:
     return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("src_01_clinical_tables", "SELECT person_id, gender_concept_id, year_of_birth FROM person")
+#: Identifying columns of every clinical relation.
+IDENTITY = {
+    "person": ["person_id", "gender_concept_id", "year_of_birth"], "visit_occurrence": ["visit_occurrence_id", "person_id", "visit_start_date"],
+    "visit_detail": ["visit_detail_id", "person_id"], "condition_occurrence": ["person_id", "condition_concept_id", "condition_start_date"],
+    "procedure_occurrence": ["person_id", "procedure_concept_id", "procedure_date"], "drug_exposure": ["person_id", "drug_concept_id", "drug_exposure_start_date"],
+    "device_exposure": ["person_id", "device_concept_id", "device_exposure_start_date"], "measurement": ["person_id", "measurement_concept_id", "measurement_date"],
+    "observation": ["observation_id", "person_id", "observation_date"], "note": ["note_id", "person_id", "note_date"], "note_nlp": ["note_nlp_id", "note_id", "term_exists"],
+    "death": ["person_id", "death_date"], "observation_period": ["person_id", "observation_period_start_date"], "concept": ["concept_id", "vocabulary_id"],
+    "concept_ancestor": ["ancestor_concept_id", "descendant_concept_id"], "concept_relationship": ["concept_id_1", "concept_id_2", "relationship_id"],
+}
+identity_sql = lambda n, cols: f"SELECT '{n}' AS relation, concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in cols)}) AS identity, count(*) AS n FROM {n} GROUP BY 1, 2"
+
+
+@query("src_01_clinical_tables", " UNION ALL ".join(identity_sql(n, cols) for n, cols in IDENTITY.items()))
 def _(t):
-    folder = place(t, "tables")
-    writers.write_parquet(t.person, f"{folder}/person.parquet")
-    return readers.clinical_tables(t.spark, folder, names=["person"])["person"].select("person_id", "gender_concept_id", "year_of_birth")
+    """All relations, stored in the catalogue and read back from it."""
+    prefix = f"clinical_{uuid.uuid4().hex}"
+    for n in IDENTITY:
+        store.replace_table(getattr(t, n), f"{prefix}_{n}", dates=[c for c in IDENTITY[n] if c.endswith("_date")])
+    found = readers.clinical_tables(t.spark, names=[f"{prefix}_{n}" for n in IDENTITY])
+    key = lambda cols: F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    frames = [found[f"{prefix}_{n}"].groupBy(F.lit(n).alias("relation"), key(cols).alias("identity")).agg(F.count(F.lit(1)).alias("n")) for n, cols in IDENTITY.items()]
+    return union_all(frames)
 
 
 @query("src_02_delimited_files", "SELECT visit_occurrence_id, person_id, visit_concept_id FROM visit_occurrence")
@@ -73,6 +93,25 @@ def _(t):
     return t.spark.table("wardflow_death_view")
 
 
+@query("snk_02_stored_table", "SELECT person_id, death_date FROM death")
+def _(t):
+    """A stored table that replaces one of another shape under the same name."""
+    name = f"deaths_{uuid.uuid4().hex}"
+    store.replace_table(t.person.select("person_id"), name)
+    store.replace_table(t.death, name)
+    return t.spark.table(name).select("person_id", "death_date")
+
+
+@query("snk_04_dated_table", "SELECT observation_period_start_date AS start_date, observation_period_end_date AS end_date, person_id FROM observation_period")
+def _(t):
+    """Dates that arrive as text become DATE columns of the stored table."""
+    name = f"periods_{uuid.uuid4().hex}"
+    text = lambda c: F.col(c).cast("string")
+    rows = t.observation_period.select("person_id", text("observation_period_start_date").alias("start_date"), text("observation_period_end_date").alias("end_date"))
+    store.replace_table(rows, name, dates=["start_date", "end_date"])
+    return t.spark.table(name)
+
+
 @query("snk_03_csv_features", day_sql(source_sql("drug_exposure"), "drug_exposure"))
 def _(t):
     source, target = place(t, "csv"), place(t, "parquet")
@@ -104,51 +143,117 @@ def _(t):
     return rows.select("person_id", "day", F.greatest(F.size(F.from_json("record", shape)["observations"]), F.lit(0)).alias("n_codes"))
 
 
-@query("snk_07_split_lists", "SELECT part AS split, count(*) AS n FROM (SELECT CASE WHEN rk < floor(n * 0.7) THEN 'train' ELSE 'test' END AS part FROM (SELECT person_id, row_number() OVER (ORDER BY md5('0|' || CAST(person_id AS VARCHAR))) - 1 AS rk, count(*) OVER () AS n FROM person) q) z GROUP BY 1")
+@query("snk_07_split_lists", "SELECT person_id, CASE WHEN rk < floor(n * 0.7) THEN 'train' ELSE 'test' END AS split FROM (SELECT person_id, row_number() OVER (ORDER BY md5('0|' || CAST(person_id AS VARCHAR))) - 1 AS rk, count(*) OVER () AS n FROM person) q")
 def _(t):
     path = place(t, "lists")
     writers.write_split_lists(P.repeated_splits(t.person, seeds=(0,)).select("person_id", F.col("part").alias("split")), path)
-    return t.spark.read.option("header", True).csv(path).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return t.spark.read.option("header", True).schema("person_id bigint, split string").csv(path)
+
+
+# ---- rows and columns by split --------------------------------------------------
+
+YEARS = {"train": (1992, 1996), "val": (1997, 1997), "test": (1998, 1999)}
+cte("split_rows", f"""SELECT split, row_number() OVER (PARTITION BY split ORDER BY row_id) - 1 AS row_idx, row_id AS prediction_id FROM (SELECT row_id, year(admit_date) AS y, CASE WHEN fold_id IN ('test', 'val') THEN fold_id ELSE 'train' END AS split
+  FROM samp JOIN fold2 USING (person_id)) q WHERE """ + " OR ".join(f"(split = '{n}' AND y BETWEEN {a} AND {b})" for n, (a, b) in YEARS.items()))
+
+
+def row_numbers(t):
+    """Row numbers of the sampled admissions by the folds of their persons and the year of admission."""
+    people = cohort(t).withColumnRenamed("row_id", "prediction_id").withColumnRenamed("index_date", "admit_date")
+    folds = P.patient_split(adm(t), test_frac=0.15, nfold=5, seed=1, eval_frac=0.15).select("person_id", F.regexp_replace("fold_id", "eval", "val").alias("fold_id")).distinct()
+    return P.split_rows(people.join(folds, "person_id"), YEARS)
+
+
+@query("snk_07_row_maps", "SELECT * FROM split_rows")
+def _(t):
+    """Row maps by split, written as CSV and read back."""
+    path = place(t, "rowmaps")
+    writers.write_row_maps(row_numbers(t), path)
+    return union_all([writers.read_row_map(t.spark, path, n) for n in YEARS])
+
+
+@query("ftq_18_split_matrix", "SELECT split, row_idx, col_id, value FROM trip JOIN rowmap USING (features_row_id) JOIN split_rows ON prediction_id = row_id")
+def _(t):
+    """The sparse matrix by split, with the row numbers of the row maps."""
+    triples, rows, _ = X.sparse_matrix(X.merge_features(chosen(t)))
+    return P.split_matrix(triples, rows, row_numbers(t))
 
 
 # ---- model jobs: long admissions from the age and code counts before them --------
 
+ROUNDS = 3  # boosting rounds of the queries; the operator's default is that of the published settings
+cte("mdl_part", """SELECT person_id, CASE WHEN d < 7 THEN 'train' WHEN d < 9 THEN 'val' ELSE 'test' END AS part FROM (SELECT person_id, CAST(list_reduce(list_transform(range(0, 32), lambda i: CAST('0x' || substr(dg, CAST(i * 2 + 1 AS BIGINT), 2) AS BIGINT)), lambda a, b: (a * 256 + b) % 10) % 10 AS INT) AS d
+  FROM (SELECT person_id, sha256('44|' || CAST(person_id AS VARCHAR)) AS dg FROM person) q) z""")
+cte("mdl_cells", "SELECT person_id, day_index, code, count(*) AS n FROM (SELECT p.person_id, p.day_index, c.code FROM pts p JOIN cnt c ON c.person_id = p.person_id AND c.day <= p.day) q GROUP BY 1, 2, 3")
+
 
 def model_rows(t):
-    """Label rows with a few dense columns, split by hashed person."""
-    events, days = ed(t)
-    points = S.label_days(B.long_admission(days, events), days)
-    labels = B.long_admission(days, events)
-    counted = S.counted_codes(events, G.recorded_date_codes(events.select("code"), ["LOINC", "Gender"] + [f"Brand#{i}" for i in range(1, 26)]))
-    # One column per vocabulary: small, and its number does not grow with the codes.
-    vocabulary = counted.select("concept_id").distinct().withColumn("code_column", F.abs(F.xxhash64(F.split("concept_id", "/")[0])) % 16)
-    counts = S.count_features(points, counted, vocabulary).groupBy("person_id", "day_index", "column").agg(F.sum("value").alias("value"))
+    """(train, val, test, triples, columns): sparse rows over age and every counted code, split by hashed person."""
+    events, days, labels, points, recorded = setup(t)
+    counted = durable(S.counted_codes(events, recorded))
+    vocabulary = durable(S.count_vocabulary(counted))
     age = S.age_feature(points, S.age_statistics(points))
-    triples = S.combine([(age, 1), (counts, 16)])
-    rows = L.assemble(triples, 17, ["person_id", "day_index"]).join(labels.withColumnRenamed("label", "labels"), ["person_id", "day_index"])
-    return t_split(rows)
+    size = vocabulary.count()
+    triples = durable(S.combine([(age, 1), (S.count_features(points, counted, vocabulary), size)]))
+    keys = ["person_id", "day_index"]
+    digit = sha256_mod(F.concat_ws("|", F.lit("44"), F.col("person_id").cast("string")).cast("binary"), 10, little=False)
+    rows = durable(L.assemble(triples, size + 1, keys).join(labels.withColumnRenamed("label", "labels"), keys).withColumn("_d", digit))
+    part = lambda cond: rows.where(cond).drop("_d")
+    return part("_d < 7"), part("_d >= 7 AND _d < 9"), part("_d = 9"), triples, size + 1
+
+
+MATRIX_SQL = """SELECT part, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive, (SELECT count(*) + 1 FROM cvoc) AS n_columns FROM pts JOIN mdl_part USING (person_id) GROUP BY 1"""
+
+
+def matrix_facts(parts: dict, size: int):
+    frames = [rows.agg(F.lit(n).alias("part"), F.count(F.lit(1)).alias("n_rows"), F.sum("labels").cast("bigint").alias("n_positive"), F.lit(size).cast("bigint").alias("n_columns")) for n, rows in parts.items()]
+    return union_all(frames)
 
 
-def t_split(rows):
-    bucket = F.abs(F.xxhash64("person_id")) % 10
-    return rows.where(bucket < 7), rows.where((bucket >= 7) & (bucket < 9)), rows.where(bucket == 9)
+@query("mdl_01_design_matrix", "SELECT person_id, day_index, 1 + code_column AS \"column\", n AS value FROM mdl_cells JOIN cvoc USING (code)")
+def _(t):
+    """The code cells of the sparse design matrix, read back out of its vectors."""
+    train, val, test, _, size = model_rows(t)
+    rows = train.unionByName(val).unionByName(test)
+    cells = rows.select("person_id", "day_index", F.inline(L.cells("features")))
+    return cells.where("column > 0").select("person_id", "day_index", F.col("column").cast("bigint").alias("column"), F.col("value").cast("bigint").alias("value"))
+
+
+POINTS_SQL = lambda n: f"SELECT point, (SELECT n_rows FROM ({MATRIX_SQL}) m WHERE part = 'val') AS n_val, TRUE AS finite_loss, TRUE AS settled FROM range(0, {n}) r(point)"
+
+
+@query("mdl_01_logistic_grid", POINTS_SQL(len(L.LOGISTIC_C)))
+def _(t):
+    """Every regularisation point: whether its validation loss is a number and its gradient 0."""
+    train, val, _, triples, _ = model_rows(t)
+    return grid_report(t, L.logistic_grid(train, val), val, lambda s, m: L.gradient(m, train, triples, ["person_id", "day_index"], s["regParam"]) < 1e-5)
 
 
-@query("mdl_01_logistic_grid")
+@query("mdl_02_boosted_trees", POINTS_SQL(8))
 def _(t):
-    train, val, test = model_rows(t)
-    loss, settings, model = L.logistic_grid(train, val, grid={"regParam": [0.01, 0.1]})
-    return L.score(model, test)
+    """Every boosting point: whether its validation loss is a number and it has all its trees."""
+    train, val, _, _, _ = model_rows(t)
+    return grid_report(t, L.boosting_grid(train, val, rounds=ROUNDS), val, lambda s, m: m.getNumTrees == ROUNDS)
+
+
+def grid_report(t, scored, val, settled):
+    n = val.count()
+    rows = [(i, n, str(bool(0 < loss < 100)), str(bool(settled(s, m)))) for i, (loss, s, m) in enumerate(scored)]
+    return literal_rows(t.spark, rows, "point bigint, n_val bigint, finite_loss boolean, settled boolean")
 
 
-@query("mdl_02_boosted_trees")
+@query("mdl_03_scored_test_set", "SELECT person_id, day_index, label AS labels, TRUE AS is_probability FROM pts JOIN mdl_part USING (person_id) WHERE part = 'test'")
 def _(t):
-    train, val, test = model_rows(t)
-    loss, settings, model = L.boosting_grid(train, val, grid={"maxDepth": [3], "maxIter": [5]})
-    return L.score(model, test)
+    """The test rows scored by the best point of the whole logistic grid."""
+    train, val, test, _, _ = model_rows(t)
+    scored = L.score(L.best(L.logistic_grid(train, val))[2], test)
+    return scored.select("person_id", "day_index", "labels", F.col("pred_probs").between(0, 1).alias("is_probability"))
 
 
-@query("mdl_03_scored_test_set")
+@query("mdl_03_test_metrics", f"SELECT n_rows, n_positive, n_columns, TRUE AS all_metrics FROM ({MATRIX_SQL}) m WHERE part = 'test'")
 def _(t):
-    train, val, test = model_rows(t)
-    return L.evaluate_test(L.logistic_grid(train, val, grid={"regParam": [0.01]})[2], test)
+    """All metrics of the chosen model on the test rows."""
+    train, val, test, _, size = model_rows(t)
+    found = L.evaluate_test(L.best(L.logistic_grid(train, val))[2], test).agg(F.count("performance").alias("_n"))
+    facts = matrix_facts({"test": test}, size).drop("part")
+    return attach(facts, found).select("n_rows", "n_positive", "n_columns", (F.col("_n") == len(E.METRICS)).alias("all_metrics"))

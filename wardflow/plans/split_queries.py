@@ -117,6 +117,13 @@ def _(t):
     return P.split_summary(long_tasks(t).join(ages, ["person_id", "admit_date"]), ["age_group"])
 
 
+@query("spl_11_group_quartiles", """SELECT fold_id, age_group, variable, count(v) AS n, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.75) AS q75 FROM (SELECT fold_id, age_group, unnest(['age_in_years', 'stay_days']) AS variable,
+  unnest([CAST(age_in_years AS DOUBLE), CAST(date_diff('day', CAST(admit_date AS DATE), CAST(discharge_date AS DATE)) AS DOUBLE)]) AS v FROM (SELECT *, """ + CUT_SQL.format(d="admit_date") + """ AS fold_id FROM adm_band) q) z WHERE v IS NOT NULL AND fold_id IS NOT NULL GROUP BY 1, 2, 3""")
+def _(t):
+    rows = P.time_split(O.age_groups(adm(t), t.person), "admit_date", CUTS).withColumn("stay_days", F.datediff("discharge_date", "admit_date"))
+    return P.group_quartiles(rows, ["fold_id", "age_group"], ["age_in_years", "stay_days"])
+
+
 @query("spl_12_incidence_tables", """SELECT age_group, race_eth, gender_concept_name, avg(ascvd_binary) AS incidence, count(*) AS n, 3 - grouping(age_group) - grouping(race_eth) - grouping(gender_concept_name) AS ways,
   grouping(age_group, race_eth, gender_concept_name) AS combination FROM cvd_demo GROUP BY CUBE (age_group, race_eth, gender_concept_name) HAVING grouping(age_group, race_eth, gender_concept_name) < 7""")
 def _(t):

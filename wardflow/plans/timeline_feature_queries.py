@@ -1,8 +1,11 @@
 """Queries of the timeline features and sequence summaries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators import labelers as B, ontology as G, timeline as T, timeline_features as S
+from ..functions.segments import shared_folder
+from ..operators import fitted as I, labelers as B, ontology as G, timeline_features as S
 from .labeler_queries import code_set, ed
 from .registry import cte, query
 
@@ -84,9 +87,13 @@ def _(t):
 
 
 cte("nv", "SELECT person_id, code, day, numeric_value AS v FROM tl WHERE numeric_value IS NOT NULL AND code IN (SELECT code FROM rec)")
-cte("nedge", """SELECT code, list_prepend(-1e300, list(v ORDER BY i)) AS e FROM (SELECT s.code, i, s.v FROM (SELECT code, v, row_number() OVER (PARTITION BY code ORDER BY v) - 1 AS rk, count(*) OVER (PARTITION BY code) AS n FROM nv) s
+# State is learnt from training patients only.
+cte("trainp", """SELECT person_id FROM (SELECT person_id, CAST(list_reduce(list_transform(range(0, 32), lambda i: CAST('0x' || substr(dg, CAST(i * 2 + 1 AS BIGINT), 2) AS BIGINT)), lambda a, b: (a * 256 + b) % 10) % 10 AS INT) AS d
+  FROM (SELECT person_id, sha256('97|' || CAST(person_id AS VARCHAR)) AS dg FROM person) q) z WHERE d <> 9""")
+cte("nvt", "SELECT * FROM nv WHERE person_id IN (SELECT person_id FROM trainp)")
+cte("nedge", """SELECT code, list_prepend(-1e300, list(v ORDER BY i)) AS e FROM (SELECT s.code, i, s.v FROM (SELECT code, v, row_number() OVER (PARTITION BY code ORDER BY v) - 1 AS rk, count(*) OVER (PARTITION BY code) AS n FROM nvt) s
   JOIN range(1, 5) x(i) ON rk = CAST(round_even((n - 1) * i / 5, 0) AS BIGINT)) q GROUP BY 1""")
-cte("nslot", "SELECT code, e, len(list_filter(e, lambda x: x <= v)) AS slot, count(*) AS n FROM nv JOIN nedge USING (code) GROUP BY 1, 2, 3")
+cte("nslot", "SELECT code, e, len(list_filter(e, lambda x: x <= v)) AS slot, count(*) AS n FROM nvt JOIN nedge USING (code) GROUP BY 1, 2, 3")
 cte("nfold", """SELECT code, e, 1 AS i, CASE WHEN c >= 60 THEN 0 ELSE c END AS carry, CASE WHEN c >= 60 THEN NULL ELSE e[1] END AS low, CASE WHEN c >= 60 THEN [e[1]] ELSE []::DOUBLE[] END AS o
   FROM (SELECT x.code, x.e, coalesce(s.n, 0) AS c FROM nedge x LEFT JOIN nslot s ON s.code = x.code AND s.slot = 1) q""")
 
@@ -97,16 +104,29 @@ cte("nfold", """SELECT code, e, 1 AS i, CASE WHEN c >= 60 THEN 0 ELSE c END AS c
   c AS (SELECT *, row_number() OVER (ORDER BY code, j) - 1 AS col FROM b)
   SELECT p.person_id, p.day_index, c.col AS "column", CAST(count(*) AS DOUBLE) AS value FROM pts p JOIN nv ON nv.person_id = p.person_id AND nv.day <= p.day JOIN c ON c.code = nv.code AND v >= low AND (high IS NULL OR v < high) GROUP BY 1, 2, 3""")
 def _(t):
-    events, _, _, points, recorded = setup(t)
-    bins = S.numeric_bins(events, recorded, num_bins=5, min_per_bin=60)
-    return S.numeric_bin_features(points, events, bins)
+    events, _, _, points, _ = setup(t)
+    return reloaded(t).value_counts(points, events)
+
+
+def reloaded(t):
+    """State learnt from the training patients, saved and read back."""
+    def build(t):
+        events, _, _, points, recorded = setup(t)
+        path = f"{shared_folder(t.spark)}/state-{uuid.uuid4().hex}"
+        I.fit(events, points, recorded, t.person.where(S.is_train(F.col("person_id"), 97)), num_bins=5, min_per_bin=60).save(path)
+        return t.spark.createDataFrame([(path,)], "path string")
+    return I.load(t.spark, t.stored("fitted_state", build).first().path)
+
+
+@query("tft_09_encode_decode", """WITH k AS (SELECT code, row_number() OVER (ORDER BY count(*) DESC, code) - 1 AS code_id FROM tl WHERE code IN (SELECT code FROM rec) AND person_id IN (SELECT person_id FROM trainp) GROUP BY 1)
+  SELECT person_id, day, code_id FROM tl JOIN k USING (code)""")
+def _(t):
+    return reloaded(t).encode(ed(t)[0].select("person_id", "day", "code"))
 
 
-@query("tft_09_encode_decode", "SELECT person_id, day, code FROM tl WHERE code IN (SELECT code FROM rec)")
+@query("tft_09_reloaded_statistics", """SELECT p.person_id, p.day_index, round((age - m) / s, 6) AS value FROM pts p, (SELECT avg(age) AS m, stddev_samp(age) AS s FROM pts WHERE person_id IN (SELECT person_id FROM trainp)) q""")
 def _(t):
-    events, _, _, _, recorded = setup(t)
-    dictionary = T.code_dictionary(events.join(recorded, "code", "left_semi"))
-    return S.decode(S.encode(events.select("person_id", "day", "code"), dictionary, "code", "code_id"), dictionary, "code", "code_id")
+    return reloaded(t).ages(setup(t)[3]).select("person_id", "day_index", F.round("value", 6).alias("value"))
 
 
 @query("tft_10_online_statistics", "SELECT round(avg(age), 6) AS mean, round(var_samp(age), 4) AS variance, round(stddev_samp(age), 6) AS deviation FROM pts")

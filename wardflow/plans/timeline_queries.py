@@ -1,8 +1,11 @@
 """Queries of the timeline, code-mapping and ontology operators."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import ontology as G, timeline as T
+from ..sources.store import TimelineStore
 from .registry import cte, query
 
 cte("cc", "SELECT concept_id, vocabulary_id || '/' || concept_code AS code FROM concept")
@@ -177,6 +180,50 @@ def _(t):
     return records.select("person_id", "year", F.size("days").alias("n_days"), F.col("days")[0]["age"].alias("first_age"), F.element_at("days", -1)["age"].alias("last_age"))
 
 
+def store(t):
+    """The timeline as a stored set, written once per session and reopened by name."""
+    def build(t):
+        name = f"timeline_{uuid.uuid4().hex}"
+        TimelineStore.create(name, timeline(t), t.code_edges)
+        return t.spark.createDataFrame([(name,)], "name string")
+    return TimelineStore.open(t.spark, t.stored("timeline_store", build).first().name)
+
+
+KEPT_SQL = "SELECT * FROM tl WHERE person_id IN (SELECT person_id FROM death)"
+
+
+@query("tml_18_timeline_store", f"""WITH d AS (SELECT code, row_number() OVER (ORDER BY count(*) DESC, code) - 1 AS code_id FROM tl GROUP BY 1)
+  SELECT person_id, day, age, code, code_id, numeric_value, text_value FROM ({KEPT_SQL}) k JOIN d USING (code)""")
+def _(t):
+    """A set of given patients that keeps the dictionary of the set it was taken from, reopened."""
+    kept = store(t).subset(f"kept_{uuid.uuid4().hex}", t.death)
+    again = TimelineStore.open(t.spark, kept.name)
+    return again.part("events").join(again.part("dictionary").select("code", "code_id"), "code").select("person_id", "day", "age", "code", "code_id", "numeric_value", "text_value")
+
+
+@query("tml_12_stored_read", "SELECT * FROM tl WHERE day >= DATE '1996-01-01' AND day < DATE '1999-07-01' AND person_id IN (7, 14, 70)")
+def _(t):
+    return store(t).patients([7, 14, 70], "1996-01-01", "1999-07-01")
+
+
+@query("tml_13_stored_patients", "SELECT DISTINCT person_id FROM tl WHERE code IN ('LOINC/2823-3', 'LOINC/777-3')")
+def _(t):
+    return store(t).patients_with(["LOINC/2823-3", "LOINC/777-3"])
+
+
+@query("tml_17_stored_patient", "SELECT tl.*, i.patient_id FROM tl JOIN (SELECT person_id, row_number() OVER (ORDER BY person_id) - 1 AS patient_id FROM (SELECT DISTINCT person_id FROM tl) q) i USING (person_id) WHERE patient_id = 7")
+def _(t):
+    return store(t).inspect(patient_id=7)
+
+
+@query("tml_16_required_day_index", """SELECT v.person_id, v.day AS date, max(d.day_index) AS day_index FROM (SELECT DISTINCT person_id, visit_end_date AS day FROM visit_occurrence) v
+  JOIN tld d ON d.person_id = v.person_id AND d.day <= v.day GROUP BY 1, 2""")
+def _(t):
+    days = T.day_table(timeline(t))
+    asked = t.visit_occurrence.select("person_id", F.col("visit_end_date").alias("date")).join(days.groupBy("person_id").agg(F.min("day").alias("_first")), "person_id").where("_first <= date")
+    return T.day_index_of(days, asked.select("person_id", "date"), required=True)
+
+
 # ---- ontology --------------------------------------------------------------
 
 cte("clos", """SELECT DISTINCT code, ancestor FROM (WITH RECURSIVE w AS (SELECT code, code AS ancestor FROM (SELECT code FROM code_edges UNION SELECT parent FROM code_edges) n
