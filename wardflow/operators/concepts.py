@@ -62,17 +62,20 @@ def expand_sets(concept: DataFrame, ancestors: DataFrame, sets: dict[str, list[i
     return given.unionByName(below).distinct()
 
 
+def source_rollups(concept: DataFrame, relationships: DataFrame, ancestors: DataFrame, predicates: dict[str, Column]) -> DataFrame:
+    """(set_name, concept_id): source codes -> mapped standard concepts -> those and their descendants, all sets in one pass."""
+    names = F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in predicates.items()]))
+    source = concept.select(F.explode(names).alias("set_name"), F.col("concept_id").alias("concept_id_1"))
+    maps = relationships.where(F.col("relationship_id") == "Maps to").select("concept_id_1", F.col("concept_id_2").alias("concept_id"))
+    standard = maps.join(source, "concept_id_1").select("set_name", "concept_id").distinct()
+    pairs = ancestors.select(F.col("ancestor_concept_id").alias("concept_id"), "descendant_concept_id")
+    below = pairs.join(standard, "concept_id").select("set_name", F.col("descendant_concept_id").alias("concept_id"))
+    return standard.union(below).distinct()
+
+
 def source_rollup(concept: DataFrame, relationships: DataFrame, ancestors: DataFrame, predicate: Column) -> DataFrame:
-    """Source codes -> mapped standard concepts -> those and their descendants."""
-    source = concept.where(predicate).select(F.col("concept_id").alias("concept_id_1"))
-    standard = (
-        relationships.where(F.col("relationship_id") == "Maps to")
-        .join(source, "concept_id_1", "left_semi")
-        .select(F.col("concept_id_2").alias("concept_id"))
-        .distinct()
-    )
-    below = ancestors.join(standard.withColumnRenamed("concept_id", "ancestor_concept_id"), "ancestor_concept_id", "left_semi")
-    return standard.union(below.select("descendant_concept_id")).distinct()
+    """``source_rollups`` of one set: (concept_id)."""
+    return source_rollups(concept, relationships, ancestors, {"one": predicate}).select("concept_id")
 
 
 #: Vocabulary whose codes may list several parents; the one with the longest code counts.

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.segments import window_join
+from ..functions.segments import durable, window_join
 from ..functions.timeunits import diff_days
 from . import outcomes
-from .concepts import expand_sets, source_predicates, source_rollup
+from .concepts import expand_sets, source_predicates, source_rollups
 
 WINDOW = ["person_id", "admit_date", "discharge_date"]
 # Fixed condition concept sets of the diagnosis labels.
@@ -77,7 +77,10 @@ def _around(index: DataFrame, days: DataFrame, keys: list[str]) -> DataFrame:
 def coronary_death_days(conditions: DataFrame, concepts: DataFrame, death: DataFrame) -> DataFrame:
     """Coronary condition days followed by death within 1 to 365 days."""
     deaths = death.groupBy("person_id").agg(F.min("death_date").alias("death_date"))
-    days = _days(conditions, concepts, "condition_concept_id", "condition_start_date")
+    return _before_death(_days(conditions, concepts, "condition_concept_id", "condition_start_date"), deaths)
+
+
+def _before_death(days: DataFrame, deaths: DataFrame) -> DataFrame:
     return days.join(deaths, "person_id").where(diff_days("death_date", "day").between(1, 365)).select("person_id", "day")
 
 
@@ -91,12 +94,15 @@ def cardiovascular_outcome(
     binary outcome is NULL when follow-up ends early.  ``legacy_flags`` keeps
     the censor flags at 0, as a comparison of a column with itself gives.
     """
-    roll = {n: source_rollup(concept, relationships, ancestors, p) for n, p in source_predicates().items()}
-    condition_days = lambda n: _days(conditions, roll[n], "condition_concept_id", "condition_start_date")
-    coronary = coronary_death_days(conditions, roll["coronary"], death)
-    outcome = condition_days("mi_stroke").union(coronary).distinct()
-    statin = _days(drugs, roll["statin"], "drug_concept_id", "drug_exposure_start_date")
+    # All sets in one pass, and one scan of the conditions for the days of all of them.
+    roll = durable(source_rollups(concept, relationships, ancestors, source_predicates()))
+    named = roll.select("set_name", F.col("concept_id").alias("condition_concept_id"))
+    marked = durable(conditions.join(named, "condition_concept_id").select("set_name", "person_id", F.col("condition_start_date").alias("day")).distinct())
+    condition_days = lambda n: marked.where(F.col("set_name") == n).select("person_id", "day")
     deaths = death.groupBy("person_id").agg(F.min("death_date").alias("death_date"))
+    coronary = _before_death(condition_days("coronary"), deaths)
+    outcome = condition_days("mi_stroke").union(coronary).distinct()
+    statin = _days(drugs, roll.where("set_name = 'statin'").select("concept_id"), "drug_concept_id", "drug_exposure_start_date")
     keys = ["person_id", "visit_start_date"]
     day, horizon = F.col("visit_start_date"), F.lit(event_followup_days)
 

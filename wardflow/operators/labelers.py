@@ -240,37 +240,33 @@ def high_hba1c(days: DataFrame, events: DataFrame, tests: DataFrame, diabetes: D
                limit: float = HBA1C_LIMIT, gap: int = HBA1C_GAP_DAYS) -> DataFrame:
     """Test result after an earlier negative test, at most one per gap, until the first evidence of diabetes.
 
-    The order matters, so each person's test and diagnosis days (a few values
-    per day, bounded by the calendar) are folded by the ``aggregate`` function.
+    The first evidence and the first negative test are minima per person.  Of the tests
+    after the latter only the first of each day can count, so what is folded in order is
+    at most one row per day of a life, whatever the number of tests.
     """
     values = events.where(F.col("numeric_value").isNotNull()).join(tests.select("code"), "code", "left_semi").select(
         "person_id", "age", "code", F.col("numeric_value").alias("value"))
     marks = code_days(events, diabetes).select("person_id", "age", F.lit("").alias("code"), F.lit(None).cast("double").alias("value"))
-    steps = (
-        values.unionByName(marks).join(days, ["person_id", "age"]).where("day_index > 0")
-        .groupBy("person_id").agg(F.sort_array(F.collect_list(F.struct("age", "code", "value", "day_index"))).alias("steps"))
-    )
-    start = F.struct(
-        F.lit(None).cast("int").alias("last"), F.lit(False).alias("negative"), F.lit(None).cast("int").alias("stop"),
-        F.array().cast("array<struct<day_index:int,label:int>>").alias("out"),
-    )
+    steps = values.unionByName(marks).join(days, ["person_id", "age"]).where("day_index > 0").groupBy("person_id", "age", "code", "value", "day_index").agg(
+        F.count(F.lit(1)).alias("copies"))
+    high, step = F.col("value") > limit, F.struct("age", "code", "value")
+    ends = steps.groupBy("person_id").agg(
+        F.min(F.when(F.col("value").isNull() | high, F.col("age"))).alias("stop"), F.min(F.when(~high, step)).alias("negative"))
+    # A second equal test on the day of the first negative one comes after it.
+    after = (step > F.col("negative")) | ((step == F.col("negative")) & (F.col("copies") > 1))
+    open_ = F.col("stop").isNull() | (F.col("age") <= F.col("stop"))
+    first = steps.where("value IS NOT NULL").join(ends.where("negative IS NOT NULL"), "person_id").where(after & open_).groupBy("person_id", "age").agg(
+        F.min(F.struct("code", "value", "day_index")).alias("t"))
+    listed = first.groupBy("person_id").agg(F.sort_array(F.collect_list(F.struct(
+        "age", (F.col("t.day_index") - 1).cast("int").alias("day_index"), (F.col("t.value") > limit).cast("int").alias("label")))).alias("tests"))
+    start = F.struct(F.lit(None).cast("int").alias("last"), F.array().cast("array<struct<day_index:int,label:int>>").alias("out"))
 
     def fold(s, x):
-        live = s["stop"].isNull() | (x["age"] <= s["stop"])
-        test = live & x["value"].isNotNull()
-        high = x["value"] > limit
-        fires = test & s["negative"] & (s["last"].isNull() | (x["age"] - s["last"] > gap))
-        ends = live & (x["value"].isNull() | high)
-        label = F.struct((x["day_index"] - 1).cast("int").alias("day_index"), high.cast("int").alias("label"))
-        return F.struct(
-            F.when(fires, x["age"]).otherwise(s["last"]).alias("last"),
-            (s["negative"] | (test & ~high)).alias("negative"),
-            F.when(s["stop"].isNull() & ends, x["age"]).otherwise(s["stop"]).alias("stop"),
-            F.when(fires, F.concat(s["out"], F.array(label))).otherwise(s["out"]).alias("out"),
-        )
+        fires = s["last"].isNull() | (x["age"] - s["last"] > gap)
+        label = F.struct(x["day_index"].alias("day_index"), x["label"].alias("label"))
+        return F.struct(F.when(fires, x["age"]).otherwise(s["last"]).cast("int").alias("last"), F.when(fires, F.concat(s["out"], F.array(label))).otherwise(s["out"]).alias("out"))
 
-    folded = steps.select("person_id", F.aggregate("steps", start, fold).alias("s"))
-    return folded.select("person_id", F.inline("s.out"))
+    return listed.select("person_id", F.inline(F.aggregate("tests", start, fold)["out"]))
 
 
 def treatment_choice(days: DataFrame, events: DataFrame, diagnoses: DataFrame, drug_a: DataFrame, drug_b: DataFrame) -> DataFrame:

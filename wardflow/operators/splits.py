@@ -38,11 +38,13 @@ def patient_split(df: DataFrame, test_frac: float = 0.1, nfold: int = 10, seed:
 
 def repeated_splits(df: DataFrame, train_frac: float = 0.7, seeds=SPLIT_SEEDS) -> DataFrame:
     """(split, seed, person_id, part): several train/test splits with their seeds kept."""
-    frames = []
-    for i, seed in enumerate(seeds):
-        part = F.when(F.col("rank") < F.floor(F.col("total") * train_frac), "train").otherwise("test")
-        frames.append(person_ranks(df, seed).select(F.lit(i).alias("split"), F.lit(seed).alias("seed"), "person_id", part.alias("part")))
-    return union_all(frames)
+    numbered = F.array(*[F.struct(F.lit(i).alias("split"), F.lit(seed).alias("seed")) for i, seed in enumerate(seeds)])
+    people = df.select("person_id").distinct()
+    total = people.agg(F.count(F.lit(1)).alias("total"))
+    # One pass: a person is ranked once per split, the seed leading its hashed text.
+    ranked = attach(hash_rank(people.select("person_id", F.inline(numbered)), ["split"], key_hash("seed", "person_id")), total)
+    part = F.when(F.col("rank") < F.floor(F.col("total") * train_frac), "train").otherwise("test")
+    return ranked.select("split", "seed", "person_id", part.alias("part"))
 
 
 def read_split(splits: DataFrame, split: int | None = None, part: str = "train") -> DataFrame:

@@ -162,10 +162,9 @@ def chosen(t):
     return list(featurizer(t).featurize(CHOSEN).values())
 
 
-@query("ftq_12_subset_of_analyses", "SELECT analysis_id, count(*) AS n_rows, sum(concept_count) AS total FROM feat WHERE analysis_id <> 'gender' GROUP BY 1")
+@query("ftq_12_subset_of_analyses", f"SELECT {HEAD} FROM feat WHERE analysis_id <> 'gender'".replace("concept_id || '_' || time_bin || '_' || analysis_id AS feature_id", "feature_id"))
 def _(t):
-    found = featurizer(t).featurize(CHOSEN, exclude=("gender",))
-    return X.union_all(list(found.values())).groupBy("analysis_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("concept_count").alias("total"))
+    return X.union_all(list(featurizer(t).featurize(CHOSEN, exclude=("gender",)).values()))
 
 
 @query("ftq_13_merged_binary", "SELECT row_id, person_id, feature_id, CAST(concept_count > 0 AS BIGINT) AS concept_count FROM feat")

@@ -177,9 +177,7 @@ for _name, _where in SOURCE_SQL.items():
 
 @query("con_02_source_rollup", " UNION ALL ".join(f"SELECT '{n}' AS set_name, concept_id FROM roll_{n}" for n in SOURCE_SQL))
 def _(t):
-    frames = [K.source_rollup(t.concept, t.concept_relationship, t.concept_ancestor, p).select(F.lit(n).alias("set_name"), "concept_id")
-              for n, p in K.source_predicates().items()]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+    return K.source_rollups(t.concept, t.concept_relationship, t.concept_ancestor, K.source_predicates())
 
 
 # Parent edges over parts: p -> p/3 and p -> p/7; codes divisible by 11 are mapped.

@@ -311,13 +311,27 @@ class Tables:
         return found
 
 
+def input_files(spark: SparkSession, folder: str) -> str:
+    """Paths, sizes and times of the raw tables' files, as one text."""
+    jvm = spark._jvm
+    found = []
+    for name in RAW:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(path):
+            for f in files.listStatus(path):
+                found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
 def tables(spark: SparkSession, folder: str) -> Tables:
-    """One ``Tables`` per session and folder, so a relation is analysed once."""
+    """One ``Tables`` per session, folder and state of its files, so a relation is analysed once and never outlives them."""
     folder = str(folder).rstrip("/")
+    files = input_files(spark, folder)
     known = _TABLES.get(folder)
-    if known is None or known.spark is not spark:
-        known = _TABLES[folder] = Tables(spark, folder)
-    return known
+    if known is None or known[0].spark is not spark or known[1] != files:
+        known = _TABLES[folder] = (Tables(spark, folder), files)
+    return known[0]
 
 
-_TABLES: dict[str, Tables] = {}
+_TABLES: dict[str, tuple[Tables, str]] = {}
