@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.segments import carry_last, durable, overlap_join, window_join
+from ..functions.segments import carry_last, durable, overlap_join, union_all, window_join
 from ..functions.timeunits import diff_days, diff_minutes, diff_months
 from .concepts import expand_sets
 
@@ -307,23 +307,61 @@ def differences(scored: DataFrame) -> DataFrame:
     return out
 
 
+def oxygen_ratios(values: DataFrame, sheets: DataFrame, tolerance_minutes: int = 1440) -> DataFrame:
+    """(person_id, day, kind, value, since): both oxygen / FiO2 ratios of every instant, against the latest FiO2 at or before it.
+
+    Both oxygen series and FiO2 share one row per person and instant, and FiO2 is
+    carried forward per person, split by day.  ``since`` is the day of that FiO2: in a
+    period it counts if it lies inside, as the latest one of the period does.
+    """
+    series = {"fio2": inspired_oxygen(sheets), "pao2": values.where("component = 'pao2'"), "spo2": oxygen_saturation(sheets)}
+    rows = union_all([df.select("person_id", "at", *[(F.col("value") if n == k else F.lit(None).cast("double")).alias(k) for k in series]) for n, df in series.items()])
+    instants = rows.groupBy("person_id", "at").agg(F.max("fio2").alias("fio2"), F.min("pao2").alias("pao2"), F.min("spo2").alias("spo2"))
+    held = instants.withColumn("_f", F.when(F.col("fio2").isNotNull(), F.struct(F.col("at").alias("t"), F.col("fio2").alias("v"))))
+    asof = carry_last(held, ["person_id"], ["at"], "at", "_f", "_last").where(diff_minutes("at", F.col("_last.t")) <= tolerance_minutes)
+    pairs = F.array(*[F.when(F.col(o).isNotNull(), F.struct(F.lit(k).alias("kind"), (F.col(o) / F.col("_last.v")).alias("value"))) for k, o in (("pf", "pao2"), ("sf", "spo2"))])
+    return asof.select("person_id", F.col("at").cast("date").alias("day"), F.col("_last.t").cast("date").alias("since"), F.inline(F.array_compact(pairs)))
+
+
+def component_stream(values: DataFrame, sheets: DataFrame) -> DataFrame:
+    """(person_id, day, kind, value, since, first_hour, last_hour): everything that a period is scored by, in one table."""
+    at = F.col("observation_datetime")
+    labs = values.where(~F.col("component").isin("pao2", "urine")).select("person_id", "day", F.col("component").alias("kind"), "value")
+    modes = F.upper("display_name").isin("VENT MODE", "VENTILATION MODE") & ~F.col("meas_value").isin("STANDBY", "MONITOR")
+    vents = sheets.where(modes).select("person_id", at.cast("date").alias("day"), F.lit("vent").alias("kind"), F.lit(1.0).alias("value"))
+    # Urine volumes and charted hours of a day meet in one aggregation; days without urine go out.
+    volumes = values.where("component = 'urine'").select("person_id", "day", "value")
+    charted = sheets.where(at != F.date_trunc("day", at)).select("person_id", at.cast("date").alias("day"), at.alias("_at"))
+    daily = volumes.unionByName(charted, allowMissingColumns=True).groupBy("person_id", "day").agg(
+        F.sum("value").alias("value"), F.hour(F.min("_at")).alias("first_hour"), F.hour(F.max("_at")).alias("last_hour"))
+    urine = daily.where("value IS NOT NULL").withColumn("kind", F.lit("urine"))
+    return union_all([labs, vents, urine, oxygen_ratios(values, sheets)])
+
+
 def components(t, infection: DataFrame, sheets: DataFrame, rules: str = "default") -> DataFrame:
     """Every component of both periods, one row per stay and period.
 
-    The component values and the charted FiO2 are read by several components,
-    so each is written once.
+    All but the drug spans come as one stream of (person, day) events that meets the
+    periods in one bucketed join and one aggregation; the values are written once, since
+    several parts of the stream read them.
     """
     values = durable(component_values(t.measurement, t.concept, t.concept_ancestor, rules))
-    inspired = durable(inspired_oxygen(sheets))
-    base = periods(infection).select(*STAY, "period").join(
-        infection.select(*STAY, "age_in_months", "admit_date", "sepsis_index_date"), STAY)
-    for part in (
-        component_extremes(infection, values), ventilation(infection, sheets), vasopressor_days(infection, t.drug_exposure, t.concept_ancestor),
-        oxygen_ratio(infection, values.where("component = 'pao2'"), inspired, "min_pao2fio2_ratio"),
-        oxygen_ratio(infection, oxygen_saturation(sheets), inspired, "min_spo2fio2_ratio"), urine_output(infection, values, sheets),
-    ):
-        base = base.join(part, [*STAY, "period"], "left")
-    return base
+    kept = infection.select(*STAY, "age_in_months", "admit_date", "sepsis_index_date")
+    base = periods(infection).select(*STAY, "period").join(kept, STAY)
+    rows = in_periods(infection, component_stream(values, sheets))
+    value, day = F.col("value"), F.col("day")
+    pick = lambda fn, n: fn(F.when(F.col("kind") == n, value))
+    admits, leaves = day == F.col("admit_datetime").cast("date"), day == F.col("discharge_datetime").cast("date")
+    by_admit = F.when(admits, value * 24 / (24 - F.col("first_hour")))
+    by_leave = F.when(leaves, value * 24 / F.when(F.col("last_hour") == 0, 1).otherwise(F.col("last_hour")))
+    scaled = F.when(~admits & ~leaves, value).otherwise(F.least(by_admit, by_leave))
+    ratio = lambda n: F.min(F.when((F.col("kind") == n) & (F.col("since") >= F.col("lo")), value))
+    found = rows.groupBy(*STAY, "period").agg(
+        pick(F.min, "platelet").alias("min_platelet"), pick(F.max, "creatinine").alias("max_creatinine"), pick(F.min, "gcs").alias("min_gcs"),
+        pick(F.max, "bilirubin").alias("max_bilirubin"), pick(F.max, "lactate").alias("max_lactate"), pick(F.min, "map").alias("min_map"),
+        F.sum(F.when(F.col("kind") == "vent", 1)).alias("count_vent_mode"), ratio("pf").alias("min_pao2fio2_ratio"), ratio("sf").alias("min_spo2fio2_ratio"),
+        F.min(F.when(F.col("kind") == "urine", scaled)).alias("min_urine_daily"))
+    return base.join(found, [*STAY, "period"], "left").join(vasopressor_days(infection, t.drug_exposure, t.concept_ancestor), [*STAY, "period"], "left")
 
 
 def sepsis_label(admissions: DataFrame, difference: DataFrame) -> DataFrame:
