@@ -231,28 +231,30 @@ def value_order(df: DataFrame, keys: list[str], value: str, sums: dict[str, str]
     return bucket_prefix(cut, keys, "_vb", [value], sums).drop("_vb")
 
 
-def values_at_ranks(df: DataFrame, key: str, value: str, ranks) -> DataFrame:
+def values_at_ranks(df: DataFrame, key: str | list[str], value: str, ranks, copies: str | None = None) -> DataFrame:
     """(key, value, ranks, total): the values at wanted 0-based ranks of each key's rows, exact and over all of them.
 
-    ``ranks`` turns the column of a key's number of rows into an array.  Counted distinct
-    values are cut into ordered buckets by approximate quantiles; bucket counts say which
-    buckets hold a wanted rank, and only those are put in order.
+    ``ranks`` turns the column of a key's number of rows into an array; ``copies`` names a
+    column that says how often a row counts.  Counted distinct values are cut into
+    ordered buckets by approximate quantiles; bucket counts say which buckets hold a
+    wanted rank, and only those are put in order.
     """
-    distinct = durable(df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
+    keys = [key] if isinstance(key, str) else list(key)
+    distinct = durable(df.groupBy(*keys, value).agg((F.sum(copies) if copies else F.count(F.lit(1))).alias("_n")))
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, distinct.count() // BUCKET_VALUES))
-    cuts = distinct.groupBy(key).agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("_cuts"))
-    cut = durable(distinct.join(cuts, key).withColumn("_vb", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts"))
-    order = Window.partitionBy(key).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows a key
-    sizes = cut.groupBy(key, "_vb").agg(F.sum("_n").alias("_size")).withColumn("_before", F.coalesce(F.sum("_size").over(order), F.lit(0)))
+    cuts = distinct.groupBy(*keys).agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("_cuts"))
+    cut = durable(distinct.join(cuts, keys).withColumn("_vb", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts"))
+    order = Window.partitionBy(*keys).orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows a key
+    sizes = cut.groupBy(*keys, "_vb").agg(F.sum("_n").alias("_size")).withColumn("_before", F.coalesce(F.sum("_size").over(order), F.lit(0)))
     sizes = durable(sizes)
-    totals = sizes.groupBy(key).agg(F.sum("_size").alias("total"))
+    totals = sizes.groupBy(*keys).agg(F.sum("_size").alias("total"))
     within = lambda lo, hi: (lambda r: (r >= lo) & (r < hi))
-    wanted = sizes.join(totals, key).withColumn("_r", F.filter(ranks(F.col("total")), within(F.col("_before"), F.col("_before") + F.col("_size")))).where(F.size("_r") > 0)
-    inner = Window.partitionBy(key, "_vb").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    wanted = sizes.join(totals, keys).withColumn("_r", F.filter(ranks(F.col("total")), within(F.col("_before"), F.col("_before") + F.col("_size")))).where(F.size("_r") > 0)
+    inner = Window.partitionBy(*keys, "_vb").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("_before") + F.sum("_n").over(inner)
-    held = cut.join(wanted.select(key, "_vb", "_before", "_r", "total"), [key, "_vb"]).withColumn("_upto", upto)
+    held = cut.join(wanted.select(*keys, "_vb", "_before", "_r", "total"), [*keys, "_vb"]).withColumn("_upto", upto)
     found = held.withColumn("ranks", F.filter("_r", within(F.col("_upto") - F.col("_n"), F.col("_upto"))))
-    return found.where(F.size("ranks") > 0).select(key, value, "ranks", "total")
+    return found.where(F.size("ranks") > 0).select(*keys, value, "ranks", "total")
 
 
 def hash_rank(df: DataFrame, keys: list[str], hashed: Column, out: str = "rank") -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.segments import dense_index, durable, union_all
+from ..functions.segments import dense_index, durable, union_all, values_at_ranks
 from ..functions.timeunits import diff_years, epoch_day
 
 FINE_DAYS, COARSE_DAYS = 32, 1024
@@ -154,9 +154,10 @@ def value_bin_features(
 ) -> DataFrame:
     """Counts of measurement values in per-concept quantile bins.
 
-    Quantiles are taken over the values inside each time bin; a value on an
-    inner edge falls into both neighbours.  The edge table has at most
-    ``num_bins`` rows per concept and bin and joins on both.
+    Quantiles are taken over the values inside each time bin, exact and by counted
+    values; a value on an inner edge falls into both neighbours.  The edge table has at
+    most ``num_bins`` rows per concept and bin and joins on both.  The values in bins
+    are written once for edges and counts.
     """
     m = t.measurement.where(F.col("value_as_number").isNotNull())
     if hourly:
@@ -167,16 +168,17 @@ def value_bin_features(
         .groupBy("person_id", "measurement_concept_id", F.col("value_as_number").alias("value"), when.alias("at"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    hits = in_bins(cohort, events, bins, hourly)
-    # The quantile aggregate has no weights: repeat each counted value inside the map side.
-    repeated = hits.select("measurement_concept_id", "time_bin", F.explode(F.array_repeat("value", F.col("n").cast("int"))).alias("value"))
-    steps = [i / num_bins for i in range(num_bins + 1)]
-    edges = repeated.groupBy("measurement_concept_id", "time_bin").agg(
-        F.percentile_approx("value", steps, 10000).alias("_q")
-    )
-    edges = edges.select("measurement_concept_id", "time_bin", F.posexplode("_q").alias("_i", "lo"), "_q").where(
-        F.col("_i") < num_bins
-    ).withColumn("hi", F.col("_q")[F.col("_i") + 1]).drop("_q")
+    hits = durable(in_bins(cohort, events, bins, hourly))
+    keys = ["measurement_concept_id", "time_bin"]
+    # Edge i is the value at rank ceil(n * i / num_bins), counted from 1, over all values.
+    rank = lambda total, i: F.greatest(F.floor((total * i + num_bins - 1) / num_bins) - 1, F.lit(0)).cast("bigint")
+    points = values_at_ranks(hits, keys, "value", lambda total: F.array_distinct(F.array(*[rank(total, i) for i in range(num_bins + 1)])), "n")
+    # At most num_bins + 1 entries per concept and bin.
+    placed = points.select(*keys, "value", "total", F.explode("ranks").alias("rank")).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_m"), F.max("total").alias("total"))
+    edge = lambda i: F.col("_m")[rank(F.col("total"), i)]
+    spans = F.array(*[F.struct(F.lit(i).alias("_i"), edge(i).alias("lo"), edge(i + 1).alias("hi")) for i in range(num_bins)])
+    edges = placed.select(*keys, F.inline(spans))
     text = lambda c: F.round(c, 4).cast("string")
     name = F.concat_ws("_", F.col("measurement_concept_id").cast("string"), F.lit("bin"), (F.col("_i") + 1).cast("string"), text("lo"), text("hi"))
     binned = (
