@@ -21,7 +21,10 @@ next 4, 16, 64, ... leaders, until a bucket is one class or all its nodes have
 led.  Before that, runs that only one of the texts still open holds bound its
 similarity to all others: a text whose bound misses the threshold leaves the
 search, and so does a pair.  So no link between classes is lost within a bucket,
-and a group of copies costs a few comparisons a node.
+and a group of copies costs a few comparisons a node.  Two nodes with several equal
+bands meet as leader and other only in the bucket of the first of them, and only while
+the earlier one in its order leads (or a node of the first leader's class), so a pair is
+formed once, not for each band and each of the two.
 
 Cases: null and empty texts and those of white space only have an empty
 multiset and form one class; rows with equal ids are one document and share a
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.segments import durable
 from . import textscan as ts
@@ -148,6 +151,11 @@ def signed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return rows.mapInArrow(scan, SIGNED)
 
 
+def first_common(a: Column, b: Column) -> Column:
+    """Key of the first band that two nodes share."""
+    return F.get(F.filter(F.zip_with(a, b, lambda x, y: F.when(x == y, x)), lambda k: k.isNotNull()), F.lit(0))
+
+
 def buckets(nodes: DataFrame) -> DataFrame:
     """(key, node) of every band key that two nodes or more share."""
     keys = nodes.select(F.explode("bands").alias("key"), "node")
@@ -269,19 +277,26 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     alone = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select("key")
     rest = durable(open_buckets(held.join(alone, "key", "left_anti"), labels).select("key", "node"))
     held = durable(linkable(rest, nodes, docs, threshold))
+    # An id with several texts has the bands of each; its pairs are formed in every bucket.
+    bands = nodes.groupBy("node").agg(F.first("bands").alias("bands"), F.count(F.lit(1)).alias("texts")).select("node", F.when(F.col("texts") == 1, F.col("bands")).alias("bands"))
+    held = durable(held.join(bands, "node"))
     fits = (F.col("a_size") + F.col("b_size")) * threshold <= F.least("a_common", "b_common") * (1 + threshold) + 1e-9
+    once = F.coalesce(first_common(F.col("a_bands"), F.col("b_bands")) == F.col("b_key"), F.lit(True))
     led, more = 0, 4
     while True:
-        left = durable(open_buckets(held, labels).join(held.select("key", "node", "size", "common", "turn"), ["key", "node"]))
+        left = durable(open_buckets(held, labels).join(held.select("key", "node", "size", "common", "turn", "bands"), ["key", "node"]))
         rank = F.row_number().over(Window.partitionBy("key").orderBy("turn", "node"))
         leaders = left.withColumn("rank", rank).where((F.col("rank") > led) & (F.col("rank") <= led + more)).select(
-            "key", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("size").alias("a_size"), F.col("common").alias("a_common"))
+            "key", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("size").alias("a_size"), F.col("common").alias("a_common"), F.col("bands").alias("a_bands"),
+            F.struct("turn", "node").alias("a_turn"), (F.col("class") == F.col("first")).alias("a_first"))
         if leaders.isEmpty():
             break
         # The first leader's class only grows; a pair of it and another class is met once its node of that class leads.
         others = left.where("class <> first").select(
-            "key", F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("size").alias("b_size"), F.col("common").alias("b_common"))
-        met = leaders.join(others, (leaders.key == others.key) & (F.col("a_class") != F.col("b_class")) & fits)
+            F.col("key").alias("b_key"), F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("size").alias("b_size"), F.col("common").alias("b_common"), F.col("bands").alias("b_bands"),
+            F.struct("turn", "node").alias("b_turn"))
+        later = F.col("a_first") | (F.col("b_turn") > F.col("a_turn"))
+        met = leaders.join(others, (F.col("key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class")) & later & fits & once)
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         edges = durable(edges.union(verified(agreeing(pairs, nodes), docs, threshold)))
         labels = components(edges)
