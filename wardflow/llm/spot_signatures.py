@@ -7,9 +7,12 @@ A text's fingerprint stands for its set of signatures; likeness is the Jaccard
 similarity of two sets.
 
 The edited text and the next document need the neighbour in falling order of
-ids.  Ids are cut into buckets at quantiles, neighbours are found by a window
-within each bucket, and only the first document of each bucket crosses over to
-the bucket before it; texts are shuffled once.  All steps are SQL expressions.
+ids.  Ids are cut into buckets at quantiles, which are ids of the table, so the
+documents that open a bucket are known by their id and go to the bucket before it as
+well; neighbours are then found by a window within each bucket.  Texts are shuffled
+once, sets are computed after that.  There are at most ``MOST_BUCKETS`` cuts, found in
+two steps of ``STRIDE``; larger tables have larger buckets, which are sorted on disk.
+All steps are SQL expressions.
 
 Cases: a null text is empty; an empty text, and one with fewer words than a
 chain, has an empty set; two empty sets have likeness 1, an empty and another 0;
@@ -23,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CHAIN = 2
-BUCKET_ROWS = 2000
+BUCKET_ROWS, MOST_BUCKETS, STRIDE = 2000, 4096, 64
 
 #: Common words of English, French, German and Spanish.
 ANCHORS = (
@@ -58,28 +61,36 @@ def fingerprint(sigs: Column) -> Column:
     return F.concat_ws(":", F.size(sigs).cast("string"), F.sha2(F.array_join(F.transform(sigs, lambda x: x.cast("string")), ",").cast("binary"), 256))
 
 
+def place(key: Column, cuts: list[int]) -> Column:
+    """Number of the sorted ``cuts`` below a key: first over every ``STRIDE``-th of them, then within one stride."""
+    below = lambda xs: F.size(F.filter(xs, lambda c: c < key))
+    coarse = below(F.lit(cuts[STRIDE - 1::STRIDE]).cast("array<bigint>")) * STRIDE
+    return coarse + F.transform(F.array(coarse), lambda at: below(F.slice(F.lit(cuts).cast("array<bigint>"), at + 1, F.lit(STRIDE))))[0]
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, sigs, next_text, next_sigs): every row with the row of the next lower id, the last with the first."""
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), value.alias("text"))
     key = F.coalesce("doc_id", F.lit(-(1 << 62)))
-    n = rows.count()
-    parts = max(1, -(-n // BUCKET_ROWS))
-    bucket = F.lit(0)
-    if parts > 1:
-        cuts = rows.select(key.alias("k")).agg(F.percentile_approx("k", [i / parts for i in range(1, parts)], 20 * parts).alias("c")).first().c
-        # Number of cuts below the id, found by halving: buckets rise as ids fall.
-        bucket = F.lit(parts) - F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: c < key))
-    rows = rows.withColumn("sigs", signatures(F.col("text"))).withColumn("bucket", bucket.cast("int"))
-    order = [key.desc(), F.col("text")]
-    w = Window.partitionBy("bucket").orderBy(*order)
-    own = rows.withColumn("_next", F.lead(F.struct("text", "sigs")).over(w))
-    head = rows.groupBy("bucket").agg(F.max(F.struct(key.alias("k"))).alias("m")).select("bucket", "m.k")
-    turn = Window.orderBy("bucket")  # one row per bucket: the count of documents over BUCKET_ROWS
-    follow = head.withColumn("to", F.coalesce(F.lag("bucket").over(turn), F.max("bucket").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    first = rows.join(head.withColumnRenamed("bucket", "hb"), (F.col("bucket") == F.col("hb")) & (key == F.col("k"))).groupBy("bucket").agg(F.min(F.struct("text", "sigs")).alias("_over"))
-    linked = follow.join(first, "bucket").select(F.col("to").alias("bucket"), "_over")
-    both = own.join(linked, "bucket", "left").withColumn("_next", F.coalesce("_next", "_over"))
+    ids = rows.select(key.alias("k"))
+    n = ids.count()
+    parts = min(MOST_BUCKETS, max(1, -(-n // BUCKET_ROWS)))
+    found = ids.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)] or [1.0], 20 * parts).alias("c"), F.max("k").alias("top")).first()
+    # A cut is an id of the table and the greatest of its bucket; buckets fall with their number.
+    cuts = sorted({c for c in found.c if c < found.top}) if n and parts > 1 else []
+    last = len(cuts)
+    at = place(key, cuts) if cuts else F.lit(0)
+    bucket = F.lit(last) - at
+    opens = F.coalesce(F.get(F.lit(cuts).cast("array<bigint>"), at) == key, key == F.lit(found.top if n else 0))
+    own = F.struct(bucket.alias("bucket"), F.lit(0).alias("guest"))
+    # The rows that open a bucket are guests at the end of the one before, those of the first bucket at the end of the last.
+    guest = F.struct(F.when(bucket == 0, last).otherwise(bucket - 1).alias("bucket"), F.lit(1).alias("guest"))
+    placed = rows.select("*", F.inline(F.when(opens, F.array(own, guest)).otherwise(F.array(own))))
+    # Without a number of partitions adaptive execution may join small ones.
+    read = placed.repartition("bucket").withColumn("sigs", signatures(F.col("text")))
+    order = Window.partitionBy("bucket").orderBy("guest", key.desc(), F.col("text"))
+    both = read.withColumn("_next", F.lead(F.struct("text", "sigs")).over(order)).where("guest = 0")
     return both.select("doc_id", "text", "sigs", F.col("_next.text").alias("next_text"), F.col("_next.sigs").alias("next_sigs"))
 
 
