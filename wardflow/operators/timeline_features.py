@@ -16,7 +16,7 @@ from . import timeline as T
 
 #: Values in a range of a code, the number of values from which it gets no more ranges, and the least frequency of a text result.
 LAB_SPLIT_SIZE, LAB_VALUES, TEXT_MIN = 500, 10000, 100
-# Text results read as negative or positive, and those read as no result.
+# Text results read as negative or positive, and those read as no result.
 NEGATIVE_TEXTS = ["n", "neg", "neg.", "not detected", "none", "none seen", "nosee", "nr", "non reactive", "non-reactive"]
 POSITIVE_TEXTS = ["p", "pos", "pos.", "reactive"]
 NO_RESULT_TEXTS = [
