@@ -55,7 +55,7 @@ _LENGTHS = np.arange(256, dtype=np.uint64) * _K[2]
 class Model(NamedTuple):
     """Pieces as arrays.
 
-    ``slot`` is a hash table of the beginnings of pieces: the upper bits of a hash
+    ``letters`` says of every code point whether a piece holds it.  ``slot`` is a hash table of the beginnings of pieces: the upper bits of a hash
     lead to its entry in ``hashes``, others with equal upper bits follow by
     ``chain``; ``ids`` has the piece, -1 for a beginning that is none itself.
     """
@@ -117,7 +117,8 @@ def load(path: str = MODEL, smoothing: float = SMOOTHING) -> Model:
     slot, chain = np.full(1 << _SLOT_BITS, -1, np.int32), np.full(len(entry), -1, np.int32)
     for k, place in enumerate((hashes >> np.uint64(64 - _SLOT_BITS)).tolist()):
         chain[k], slot[place] = slot[place], k
-    letters = np.unique(np.frombuffer("".join(pieces[i] for i in normal).encode("utf-32-le"), np.uint32)).astype(np.int64)
+    letters = np.zeros(_LITERAL_GAP + 1, bool)
+    letters[np.frombuffer("".join(pieces[i] for i in normal).encode("utf-32-le"), np.uint32)] = True
     start = np.concatenate([[0], np.cumsum([len(x) for x in text])])
     return Model(weight, hashes, np.array(list(entry.values())), slot, chain, int(length.max()), letters, byte_id, np.frombuffer(b"".join(text), np.uint8), start, float(weight[normal].min()) - _BACK)
 
@@ -161,7 +162,7 @@ def lattice(texts: list[str | None], model: Model) -> Lattice:
         none = np.zeros(0, np.int64)
         return Lattice(np.zeros(1, np.int64), none, none, np.zeros(0), np.zeros(0), none, none)
     gap = code == _GAP
-    spelt = model.letters[np.minimum(np.searchsorted(model.letters, code), len(model.letters) - 1)] == code
+    spelt = model.letters[code]
     head = np.ones(n, bool)
     head[1:] = (gap[1:] & ~gap[:-1]) | ~spelt[1:] | ~spelt[:-1] | (row[1:] != row[:-1])
     start = np.flatnonzero(head)
@@ -223,7 +224,7 @@ def lattice(texts: list[str | None], model: Model) -> Lattice:
         lo, hi = firsts[a], firsts[b] if b < len(firsts) else len(at)
         beta[by_at[firsts[a:b]]] = np.logaddexp.reduceat(by_weight[lo:hi] + beta[by_to[lo:hi]], firsts[a:b] - lo)
     logp = np.minimum(weight + beta[to] - beta[at], 0.0)
-    arc = np.searchsorted(at, np.arange(m + 1))
+    arc = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=m))])
     p = np.exp(logp)
     run = np.cumsum(p)
     cum = run - np.append(0.0, run)[arc[at]]
@@ -314,41 +315,50 @@ def sample(texts: list[str | None], seeds: np.ndarray, model: Model, k: int = SA
         searches[i].add(arcs[a:b], owner[a:b], run[a:b + 1] - run[a], keys[a:b], top[i], 0)
     for s in range(1, k):
         # Every text takes its best node; the walks of all texts then go on in step.
-        todo, nodes, rows, chunks = [], [], [], []
+        found = []
         for i, x in enumerate(searches):
             t = int(np.argmax(x.tops))
             if len(x.paths) < s or x.tops[t] == -np.inf:
                 continue
             j = int(np.argmax(x.keys[t]))
-            key, step = x.keys[t][j], x.keyed[t] + j
-            arc, chunk = int(x.paths[t][step]), int(x.chunks[t][step])
-            place = int(np.searchsorted(lat.arc, arc, "right")) - 1
-            gone = x.gone.setdefault((t, step), [arc])
-            left = [e for e in range(lat.arc[place], lat.arc[place + 1]) if e not in gone]
-            h = ts.mix(ts.mix(row_seed[i:i + 1] ^ _K[1]) + np.uint64(s * 2**40 + step))
+            found.append((i, t, j, x.keyed[t] + j, x.keys[t][j]))
+        if not found:
+            break
+        who, steps, limits = (np.array([f[c] for f in found]) for c in (0, 3, 4))
+        arc = np.array([searches[i].paths[t][step] for i, t, _, step, _ in found])
+        chunk = np.array([searches[i].chunks[t][step] for i, t, _, step, _ in found])
+        place = np.searchsorted(lat.arc, arc, "right") - 1
+        h = ts.mix(ts.mix(row_seed[who] ^ _K[1]) + np.uint64(s * 2**40) + steps.astype(np.uint64))
+        u, taken, rest, nodes = _unit(h), np.empty(len(found), np.int64), np.zeros(len(found)), []
+        for f, (i, t, j, step, _) in enumerate(found):
+            gone = searches[i].gone.setdefault((t, step), [int(arc[f])])
+            left = [e for e in range(lat.arc[place[f]], lat.arc[place[f] + 1]) if e not in gone]
             p = np.exp(lat.logp[left])
-            taken = left[min(int(np.searchsorted(np.cumsum(p), _unit(h)[0] * p.sum())), len(left) - 1)]
-            gone.append(taken)
-            rest = p.sum() - np.exp(lat.logp[taken]) if len(left) > 1 else 0.0
-            with np.errstate(divide="ignore"):
-                x.keys[t][j] = below(x.phi[t][step:step + 1] + np.log(np.maximum(rest, 0.0)), key, ts.mix(h + _K[2]))[0]
+            taken[f] = left[min(int(np.searchsorted(np.cumsum(p), u[f] * p.sum())), len(left) - 1)]
+            gone.append(int(taken[f]))
+            rest[f] = p.sum() - np.exp(lat.logp[taken[f]]) if len(left) > 1 else 0.0
+            nodes.append(lat.chunk[chunk[f]:edge[i + 1]])
+        ends = np.cumsum([len(x) for x in nodes])
+        firsts = ends - [len(x) for x in nodes]
+        nodes = np.concatenate(nodes)
+        nodes[firsts] = lat.to[taken]
+        many = np.diff(np.append(firsts, len(nodes)))
+        rows, chunks = np.repeat(who, many), np.arange(len(nodes)) + np.repeat(chunk - firsts, many)
+        owner, arcs, draws = walk(lat, nodes, place_seed(rows, number[chunks], s))
+        cut = np.searchsorted(owner, np.append(0, ends))
+        before = np.array([searches[i].phi[t][step] for i, t, _, step, _ in found])
+        with np.errstate(divide="ignore"):
+            kept = below(before + np.log(np.maximum(rest, 0.0)), limits, ts.mix(h + _K[2]))
+        logp, begun = lat.logp[arcs], before + lat.logp[taken]
+        phis = [np.cumsum(np.append(begun[f], logp[a:b])) for f, (a, b) in enumerate(zip(cut, cut[1:]))]
+        fresh = below(np.concatenate([x[:-1] for x in phis]) + others[arcs], np.repeat(limits, np.diff(cut)), draws)
+        owners = chunks[owner]
+        for f, (i, t, j, step, key) in enumerate(found):
+            x, a, b = searches[i], cut[f], cut[f + 1]
+            x.keys[t][j] = kept[f]
             x.tops[t] = x.keys[t].max()
-            last = edge[i + 1]
-            todo.append((i, t, step, taken, key, chunk))
-            nodes.append(np.concatenate([[lat.to[taken]], lat.chunk[chunk + 1:last]]))
-            rows.append(np.full(last - chunk, i))
-            chunks.append(np.arange(chunk, last))
-        if not todo:
-            break
-        rows, chunks = np.concatenate(rows), np.concatenate(chunks)
-        owner, arcs, draws = walk(lat, np.concatenate(nodes), place_seed(rows, number[chunks], s))
-        cut = np.searchsorted(owner, np.concatenate([[0], np.cumsum([len(x) for x in nodes])]))
-        for (i, t, step, taken, key, chunk), a, b in zip(todo, cut, cut[1:]):
-            x = searches[i]
-            path = np.concatenate([x.paths[t][:step], [taken], arcs[a:b]])
-            phi = np.concatenate([[0.0], np.cumsum(lat.logp[path])])
-            new = below(phi[step + 1:-1] + others[arcs[a:b]], key, draws[a:b])
-            x.add(path, np.concatenate([x.chunks[t][:step], [chunk], chunks[owner[a:b]]]), phi, new, key, step + 1)
+            x.add(np.concatenate([x.paths[t][:step], [taken[f]], arcs[a:b]]), np.concatenate([x.chunks[t][:step], [chunk[f]], owners[a:b]]),
+                  np.concatenate([x.phi[t][:step + 1], phis[f]]), fresh[a:b], key, step + 1)
     flat, ends = _ids(lat.piece, [p for x in searches for p in x.paths], model)
     out, at = [], 0
     for x in searches:
