@@ -70,3 +70,29 @@ def test_rows_columns_and_masking(spark):
     assert got[0].text is None and got[4].text == "<assign>" and got[4].n_chars == 8
     assert got[9].text == "é漢😀 <assign>\" é" and got[2].text == "token"
     assert got[17].text == "x" * 60000 + "<hex>"
+
+
+def test_all_rules_match_leftmost_longest_regexes():
+    def wanted(data):
+        out = []
+        for i, r in enumerate(secrets.RULES):
+            for m in re.finditer(r.pattern.encode(), data):
+                lead = re.match(r.lead.encode(), data[m.start():])
+                if m.end() - m.start() - lead.end() >= r.least:
+                    out.append((m.start(), i, m.end()))
+        return sorted(out)
+
+    rng, scan = random.Random(8), secrets.scanner(secrets.RULES).find
+    parts = ["token", "api_key", "AKIA", "=", ":", " ", '"', "abcdef0123", "ABCDEFGHIJ", "é", "\n", "eyJ", "eyJab", ".", "ghp_", "gh", "xoxb-", "-", "sk_live_",
+             "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "A" * 20, "a1" * 20]
+    texts = [x for x in HARD if x] + ["".join(rng.choices(parts, k=rng.randint(1, 16))) for _ in range(6000)]
+    assert {r for x in texts for _, r, _ in scan(x.encode())} == set(range(len(secrets.RULES)))
+    for x in texts:
+        assert scan(x.encode()) == wanted(x.encode()), x
+
+
+def test_runs_without_a_match_do_not_add_up():
+    run = "eyJ" * 100_000  # every third place begins a run to the end of the text
+    scan = secrets.scanner(secrets.RULES).find
+    assert scan(run.encode()) == []
+    assert scan((run + ".eyJx.y").encode()) == [(0, 4, 300_007)]

@@ -3,10 +3,12 @@
 The rule regexes are turned into one nondeterministic automaton over UTF-8
 bytes, made deterministic by subset construction and minimised by partition
 refinement.  The result is one flat transition array: a text is read byte by
-byte once, whatever the number of rules, and each accepting state tells which rules
-have begun there.  Extents and non-overlap are then settled by exact matching,
-in the texts with a hit and for the rules hit only; a span counts if the
-automaton has reported its head.
+byte once, whatever the number of rules.  That pass runs from the end of the
+text to its beginning, over the reversed heads of the rules, so an accepting state
+names the rules whose head begins at this place.  From such a place the rule's
+own table, built and minimised likewise, runs to the end of the longest match; places
+inside an earlier match of the rule are passed over.  So spans are the leftmost,
+longest and non-overlapping ones of each rule.
 
 Cases: a null or empty text has no spans; repeated rows and equal ids each give
 their own row; extra columns are not read; an empty table gives an empty result.
@@ -16,7 +18,6 @@ Offsets count code points, ends are exclusive.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 from re import _constants as rc, _parser as rp
 from typing import NamedTuple
@@ -29,34 +30,34 @@ from . import textscan as ts
 
 
 class Rule(NamedTuple):
-    """A rule as two regexes over ASCII.
+    """A rule as regexes over ASCII.
 
-    ``head`` goes into the automaton: the beginning that every match has, cut
-    where an open-ended run starts.  (Open runs of several rules in one
+    ``head`` goes into the automaton of all rules: the beginning that every match has,
+    cut where an open-ended run starts.  (Open runs of several rules in one
     automaton would multiply its states.)  ``pattern`` is the whole rule; a
-    match uses up its text and is dropped if ``group`` (0: all of it) has under
-    ``least`` characters.
+    match uses up its text and is dropped if it has under ``least`` characters
+    behind ``lead``, the part that does not count.
     """
 
     kind: str
     head: str
     pattern: str
-    group: int = 0
     least: int = 1
+    lead: str = ""
 
 
 _ASSIGN = r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?"
 #: The base rules, in their listed order.
 BASE = (
-    Rule("assign", _ASSIGN + "[A-Za-z0-9+/_.=-]", _ASSIGN + "([A-Za-z0-9+/_.=-]+)", 2, 12),
-    Rule("access", "AKIA[A-Z0-9]", "AKIA[A-Z0-9]+", 0, 18),
-    Rule("hex", "[0-9a-f]{16}", "[0-9a-f]+", 0, 16),
+    Rule("assign", _ASSIGN + "[A-Za-z0-9+/_.=-]", _ASSIGN + "([A-Za-z0-9+/_.=-]+)", 12, _ASSIGN),
+    Rule("access", "AKIA[A-Z0-9]", "AKIA[A-Z0-9]+", 18),
+    Rule("hex", "[0-9a-f]{16}", "[0-9a-f]+", 16),
 )
 MORE = (
-    Rule("github", "gh[pousr]_[A-Za-z0-9]", "gh[pousr]_[A-Za-z0-9]+", 0, 36),
-    Rule("webtoken", "eyJ[A-Za-z0-9_-]", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    Rule("chat", "xox[abprs]-[A-Za-z0-9-]", "xox[abprs]-[A-Za-z0-9-]+", 0, 20),
-    Rule("payment", "[rs]k_(live|test)_[A-Za-z0-9]", "[rs]k_(live|test)_[A-Za-z0-9]+", 0, 24),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]", "gh[pousr]_[A-Za-z0-9]+", 36),
+    Rule("webtoken", "eyJ[A-Za-z0-9_-]", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
+    Rule("chat", "xox[abprs]-[A-Za-z0-9-]", "xox[abprs]-[A-Za-z0-9-]+", 20),
+    Rule("payment", "[rs]k_(live|test)_[A-Za-z0-9]", "[rs]k_(live|test)_[A-Za-z0-9]+", 24),
     Rule("private_key", "-----BEGIN [A-Z]", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
 )
 RULES = BASE + MORE
@@ -70,9 +71,10 @@ class Automaton(NamedTuple):
 
 
 class _Graph:
-    """Nondeterministic automaton: byte arcs and empty arcs between numbered states."""
+    """Nondeterministic automaton: byte arcs and empty arcs between numbered states; ``backward`` ones read reversed texts."""
 
-    def __init__(self) -> None:
+    def __init__(self, backward: bool = False) -> None:
+        self.backward = backward
         self.arcs: list[list[tuple[np.ndarray, int]]] = []
         self.free: list[list[int]] = []
 
@@ -102,7 +104,7 @@ class _Graph:
 
     def add(self, items, at: int, fold: bool) -> int:
         """Append parsed items behind state ``at``; the state behind them."""
-        for op, value in items:
+        for op, value in reversed(items) if self.backward else items:
             if op is rc.SUBPATTERN:
                 at = self.add(value[3], at, fold or bool(value[1] & re.IGNORECASE))
             elif op is rc.BRANCH:
@@ -133,14 +135,15 @@ class _Graph:
         return at
 
 
-def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
-    """Subset construction and minimisation of all rules, matching from any place in a text."""
-    g = _Graph()
+def compile_patterns(patterns: list[str], backward: bool = False, anywhere: bool = False) -> Automaton:
+    """Subset construction and minimisation; state 0 is the start, matches begin there or, if ``anywhere``, at any place."""
+    g = _Graph(backward)
     root, ends = g.state(), {}
-    for i, rule in enumerate(rules):
+    for i, pattern in enumerate(patterns):
         first = g.state()
         g.free[root].append(first)
-        ends[g.add(rp.parse(rule.head), first, False)] = i
+        ends[g.add(rp.parse(pattern), first, False)] = i
+    again = {root} if anywhere else set()
 
     def closure(states) -> frozenset[int]:
         seen, todo = set(states), list(states)
@@ -151,7 +154,8 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
                     todo.append(nxt)
         return frozenset(seen)
 
-    masks = np.array([m for arcs in g.arcs for m, _ in arcs])  # bytes that no arc tells apart form one class
+    # Bytes that no arc tells apart form one class; the first row serves patterns without an arc.
+    masks = np.array([np.zeros(256, bool), *(m for arcs in g.arcs for m, _ in arcs)])
     _, kind = np.unique(masks, axis=1, return_inverse=True)
     sample = [int(np.flatnonzero(kind == k)[0]) for k in range(kind.max() + 1)]
     goes = [[[t for m, t in arcs if m[byte]] for byte in sample] for arcs in g.arcs]
@@ -160,7 +164,7 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
     for now in order:
         row = []
         for k in range(len(sample)):
-            to = closure({root, *(t for s in now for t in goes[s][k])})
+            to = closure({*again, *(t for s in now for t in goes[s][k])})
             if to not in number:
                 number[to] = len(order)
                 order.append(to)
@@ -182,23 +186,70 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
     return Automaton(place[block[step[heads]]][:, kind].astype(np.int32), tuple(found[s] for s in heads))
 
 
+class Tables(NamedTuple):
+    """The automaton of all heads, read backward, and per rule the tables of its whole pattern and of its lead."""
+
+    heads: Automaton
+    wholes: tuple[Automaton, ...]
+    leads: tuple[Automaton, ...]
+
+
+def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
+    """One automaton of all heads; it reads a text backward and accepts where a head begins."""
+    return compile_patterns([r.head for r in rules], backward=True, anywhere=True)
+
+
+def compile_tables(rules: tuple[Rule, ...] = RULES) -> Tables:
+    return Tables(compile_rules(rules), tuple(compile_patterns([r.pattern]) for r in rules), tuple(compile_patterns([r.lead]) for r in rules))
+
+
+def _linked(automaton: Automaton) -> list:
+    """The start row of a transition array as linked rows: byte to next row, None where no match is left; entry 256: the rules complete there."""
+    rows = [[] for _ in automaton.rules]
+    table = automaton.table.tolist()
+    dead = [not done and all(x == i for x in to) for i, (to, done) in enumerate(zip(table, automaton.rules))]
+    for row, to, complete in zip(rows, table, automaton.rules):
+        row += [None if dead[x] else rows[x] for x in to]
+        row.append(complete)
+    return rows[0]
+
+
+def _longest(row: list, data: bytes, start: int, failed: dict[int, list]) -> int:
+    """End of the longest match from ``start``, -1 if there is none.
+
+    ``failed`` keeps the row at each place of the last run without a match: a run that
+    comes to the same row there has no more to find, so failing runs do not add up.
+    """
+    end = start if row[256] else -1
+    seen = {}
+    for i in range(start, len(data)):
+        row = row[data[i]]
+        if row is None or failed.get(i) is row:
+            break
+        if row[256]:
+            end = i + 1
+        elif end < 0:
+            seen[i] = row
+    if end < 0:
+        failed.update(seen)
+    return end
+
+
 class Scanner:
-    """The transition array as linked rows (byte to next row; entry 256: the rules complete there)."""
+    """The tables as linked rows."""
 
-    def __init__(self, automaton: Automaton, rules: tuple[Rule, ...]) -> None:
-        rows = [[] for _ in automaton.rules]
-        for row, to, complete in zip(rows, automaton.table.tolist(), automaton.rules):
-            row += [rows[x] for x in to]
-            row.append(complete)
-        self.start, self.rules = rows[0], rules
-        self.exact = [re.compile(r.pattern.encode()) for r in rules]
+    def __init__(self, tables: Tables, rules: tuple[Rule, ...]) -> None:
+        self.start, self.rules = _linked(tables.heads), rules
+        self.wholes = [_linked(a) for a in tables.wholes]
+        self.leads = [_linked(a) for a in tables.leads]
 
     def heads(self, data: bytes) -> dict[int, list[int]]:
-        """Places behind the heads found, by rule: the one pass over the text."""
+        """Places where a head begins, falling, by rule: the one pass over the text."""
         out: dict[int, list[int]] = {}
-        row = self.start
-        for i, byte in enumerate(data, 1):
+        row, i = self.start, len(data)
+        for byte in reversed(data):
             row = row[byte]
+            i -= 1
             if row[256]:
                 for r in row[256]:
                     out.setdefault(r, []).append(i)
@@ -208,12 +259,16 @@ class Scanner:
         """Spans (start, rule, end) in bytes, leftmost and non-overlapping within each rule, ordered."""
         out = []
         for r, places in self.heads(data).items():
-            rule = self.rules[r]
-            for m in self.exact[r].finditer(data):
-                k = bisect_right(places, m.start())
-                headed = k < len(places) and places[k] <= m.end()
-                if headed and m.end(rule.group) - m.start(rule.group) >= rule.least:
-                    out.append((m.start(), r, m.end()))
+            done, failed = 0, {}
+            for start in reversed(places):
+                if start < done:
+                    continue
+                end = _longest(self.wholes[r], data, start, failed)
+                if end < 0:
+                    continue
+                done = end
+                if end - _longest(self.leads[r], data, start, {}) >= self.rules[r].least:
+                    out.append((start, r, end))
         return sorted(out)
 
     def masked(self, data: bytes) -> bytes:
@@ -229,10 +284,10 @@ class Scanner:
 _scanners: dict[tuple[Rule, ...], Scanner] = {}
 
 
-def scanner(rules: tuple[Rule, ...], automaton: Automaton | None = None) -> Scanner:
+def scanner(rules: tuple[Rule, ...], tables: Tables | None = None) -> Scanner:
     """Scanner of these rules, kept for the life of the process."""
     if rules not in _scanners:
-        _scanners[rules] = Scanner(automaton or compile_rules(rules), rules)
+        _scanners[rules] = Scanner(tables or compile_tables(rules), rules)
     return _scanners[rules]
 
 
@@ -249,11 +304,11 @@ SPANS = "doc_id long, spans array<struct<start: int, kind: string, end: int>>"
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per row of ``docs`` with its spans, by start and then by rule."""
-    automaton = docs.sparkSession.sparkContext.broadcast(compile_rules(rules))
+    tables = docs.sparkSession.sparkContext.broadcast(compile_tables(rules))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = scanner(rules, automaton.value).find
+        find = scanner(rules, tables.value).find
         for b in ts.sliced(batches, "text"):
             t = ts.texts(b.column("text"))
             rows = []
@@ -267,10 +322,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tup
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All rows with spans masked in the text; texts without a span, nulls too, stay as they are."""
-    automaton = docs.sparkSession.sparkContext.broadcast(compile_rules(rules))
+    tables = docs.sparkSession.sparkContext.broadcast(compile_tables(rules))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masked = scanner(rules, automaton.value).masked
+        masked = scanner(rules, tables.value).masked
         for b in ts.sliced(batches, text):
             column, t = b.column(text), ts.texts(b.column(text))
             new, changed = [], False
