@@ -12,7 +12,7 @@ columns of the input are not read; an empty table gives an empty ledger.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +30,16 @@ MEASURES = (
 )
 LEDGER = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES) + ", failed long"
 
-#: Rule name to SQL condition of failure over the measurements; the place in the list is its bit.
-RULES: dict[str, str] = {
-    "few_words": "n_words < 20",
-    "repeated_windows": "100 * n_repeat_words > 30 * n_words",
-    "long_words": "word_chars > 25 * n_words",
-    "symbol_words": "4 * n_symbols > n_words and n_symbols > 10",
-    "repeated_lines": "2 * n_dup_lines > n_lines and n_dup_lines >= 3",
-    "few_letters": "2 * n_letters < word_chars",
-    "shouting": "2 * n_shouted > n_words",
-    "stutters": "10 * n_stutters > 3 * n_words",
+#: Rule name to the condition of failure over the measurements (arrays by name); the place in the list is its bit.
+RULES: dict[str, Callable[[dict[str, np.ndarray]], np.ndarray]] = {
+    "few_words": lambda m: m["n_words"] < 20,
+    "repeated_windows": lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"],
+    "long_words": lambda m: m["word_chars"] > 25 * m["n_words"],
+    "symbol_words": lambda m: (4 * m["n_symbols"] > m["n_words"]) & (m["n_symbols"] > 10),
+    "repeated_lines": lambda m: (2 * m["n_dup_lines"] > m["n_lines"]) & (m["n_dup_lines"] >= 3),
+    "few_letters": lambda m: 2 * m["n_letters"] < m["word_chars"],
+    "shouting": lambda m: 2 * m["n_shouted"] > m["n_words"],
+    "stutters": lambda m: 10 * m["n_stutters"] > 3 * m["n_words"],
 }
 BITS = {name: i for i, name in enumerate(RULES)}
 
@@ -92,30 +92,25 @@ def measure(t: ts.Texts) -> dict[str, np.ndarray]:
     return out
 
 
-def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of measurements per row of ``docs``."""
-    schema = LEDGER.rsplit(",", 1)[0]
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in ts.sliced(batches, "text"):
-            got = measure(ts.texts(b.column("text")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(got[m]) for m in MEASURES]], ["doc_id", *MEASURES])
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(scan, schema)
-
-
-def failed_bits() -> Column:
-    """Bitmask of the failed rules from the measurement columns."""
-    bits = [F.when(F.expr(rule), F.lit(1 << BITS[name])).otherwise(F.lit(0)) for name, rule in RULES.items()]
-    total = bits[0]
-    for b in bits[1:]:
-        total = total.bitwiseOR(b)
-    return total.cast("long")
+def entries(t: ts.Texts) -> dict[str, np.ndarray]:
+    """Ledger entries of each row: the measurements and ``failed``, the bits of the failed rules."""
+    out = measure(t)
+    failed = np.zeros(len(t.offsets) - 1, np.int64)
+    for name, rule in RULES.items():
+        failed |= rule(out).astype(np.int64) << BITS[name]
+    return out | {"failed": failed}
 
 
 def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Measurements and failure bits, one row per row of ``docs``."""
-    return measured(docs, doc_id, text).withColumn("failed", failed_bits())
+    names = [*MEASURES, "failed"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in ts.sliced(batches, "text"):
+            got = entries(ts.texts(b.column("text")))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(got[m]) for m in names]], ["doc_id", *names])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(scan, LEDGER)
 
 
 def mask(policy: str) -> int:
@@ -150,16 +145,11 @@ def ablations(rows: DataFrame, policy: str = POLICY) -> DataFrame:
 
 
 def keep(docs: DataFrame, policy: str = POLICY, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, all columns as they were; texts move through no shuffle."""
-    # The conditions are comparisons joined by "and": alike in SQL and in numpy.
-    rules = [RULES[name].split(" and ") for name in POLICIES[policy]]
+    """The rows of ``docs`` whose ledger bits pass, all columns as they were; texts move through no shuffle."""
+    wanted = mask(policy)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in ts.sliced(batches, text):
-            got = measure(ts.texts(b.column(text)))
-            bad = np.zeros(b.num_rows, bool)
-            for parts in rules:
-                bad |= np.logical_and.reduce([eval(part, {}, got) for part in parts])
-            yield b.filter(pa.array(~bad))
+            yield b.filter(pa.array(entries(ts.texts(b.column(text)))["failed"] & wanted == 0))
 
     return docs.mapInArrow(scan, docs.schema)
