@@ -97,3 +97,16 @@ def test_rows_that_share_an_id_keep_their_payloads(spark):
     assert sorted((r.page_id, digest[r.payload_digest], r.record_type, r.refers_to) for r in got) == [
         (5, "A", "revisit", 9), (5, "B", "revisit", 8), (8, "B", "response", None), (9, "A", "response", None)]
     assert urlfilter.judge(pages.limit(0), pages.select("url")).count() == 0
+
+
+def test_query_finds_other_spellings_of_listed_addresses(spark, tmp_path):
+    from wardflow.llm import queries
+
+    raw = [f"http://www.site.net/{i}" for i in range(400)]
+    pages = [(i, u) for i, u in enumerate(raw)] + [(1000 + i, f"HTTPS://site.net:443/{i}/index.html?utm_source=x#t") for i in range(400)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.listed for r in queries.QUERIES["op4_url_filter"](spark, str(tmp_path)).collect()}
+    wanted = {u for _, u in pages if hashlib.md5(u.encode()).hexdigest()[0] in queries.LISTED_DIGITS}
+    both = [u in wanted or v in wanted for (_, u), (_, v) in zip(pages[:400], pages[400:])]
+    assert [got[i] for i in range(400)] == both == [got[1000 + i] for i in range(400)]
+    assert 0 < len(wanted) < sum(got.values())

@@ -37,8 +37,9 @@ def op2(spark, folder):
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
 
 
-#: Sites whose pages form the list of the URL query: words joined by a hyphen in front of the domain.
-LISTED_SITES = r"^([a-z0-9-]+\.)*[a-z0-9]+-[a-z0-9]+\.[a-z0-9-]+\.[a-z]+$"
+#: The list of the URL query: addresses, as they stand, whose MD5 begins with one of these digits.  Other
+#: spellings of a listed address (scheme, port, tracking, index page) are for the filter and the join to find.
+LISTED_DIGITS = "01"
 
 
 @query("op4_url_filter", r"""
@@ -47,9 +48,9 @@ WITH p AS (SELECT page_id, url,
  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 t AS (SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'),
  lambda x: NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)') AND x <> '')), '&') AS tail FROM p),
-c AS (SELECT page_id, host, path, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
+c AS (SELECT page_id, url, host, path, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '')
  || regexp_replace(path, '(/index\.html?|/)$', '') || CASE WHEN coalesce(tail, '') <> '' THEN '?' || tail ELSE '' END END AS key FROM t),
-l AS (SELECT DISTINCT key FROM c WHERE regexp_matches(host, '^([a-z0-9-]+\.)*[a-z0-9]+-[a-z0-9]+\.[a-z0-9-]+\.[a-z]+$')),
+l AS (SELECT DISTINCT key FROM c WHERE regexp_matches(md5(url), '^[01]')),
 r(rule, rhost, rpath, verdict) AS (VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
 b AS (SELECT c.*, r.rule, r.verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(r.rule) DESC NULLS LAST) AS k
@@ -60,7 +61,7 @@ FROM b LEFT JOIN l USING (key) WHERE k = 1
 def op4(spark, folder):
     pages = table(spark, folder, "pages")
     url = F.col("url")
-    listed = pages.where(urlfilter.host(url).rlike(LISTED_SITES)).select(urlfilter.canonical(url).alias("url"))
+    listed = pages.where(F.md5(url.cast("binary")).rlike(f"^[{LISTED_DIGITS}]")).select(urlfilter.canonical(url).alias("url"))
     return urlfilter.judge(pages, listed)
 
 
