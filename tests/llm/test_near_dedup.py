@@ -91,3 +91,24 @@ def test_one_of_each_with_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (2, "a b c d e f", 1, 2, 3), (None, "x", 1, 2, 3)], "doc_id long, text string, _name int, `class name` int, class_id int")
     got = nd.one_of_each(docs)
     assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 1]
+
+
+def test_copies_around_the_threshold(spark):
+    rng = random.Random(21)
+    words = [f"v{i}" for i in range(2000)]
+    base, rows = rng.choices(words, k=150), []
+    for i in range(160):  # each copy is near the original, two copies are seldom near each other
+        w = list(base)
+        for k in rng.sample(range(150), rng.choice((1, 2, 3, 4, 6))):
+            w[k] = rng.choice(words)
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame([*rows, *[(i, t) for i, t in rows[:3]], (7, "another text of one id")], "doc_id long, text string")
+    bags = {i: bag(t) for i, t in rows}
+    got = {r.doc_id: r.class_id for r in nd.classes(df).collect()}
+    want = plain_classes(rows)
+    assert len(set(want.values())) > 10 and {i: got[i] for i in want if i != 7} == {i: want[i] for i in want if i != 7}
+    # The bound by parts is never under what two texts share, and close to it.
+    signed = {r.doc_id: r.parts for r in nd.signed_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for a, b in [rng.sample(range(160), 2) for _ in range(300)]:
+        most = sum(min(x, y) for x, y in zip(signed[a], signed[b]))
+        assert sum(signed[a]) == sum(bags[a].values()) and most >= sum((bags[a] & bags[b]).values())

@@ -20,7 +20,9 @@ that still hold several classes, the nodes outside the first leader's against th
 next 4, 16, 64, ... leaders, until a bucket is one class or all its nodes have
 led.  Before that, runs that only one of the texts still open holds bound its
 similarity to all others: a text whose bound misses the threshold leaves the
-search, and so does a pair.  So no link between classes is lost within a bucket,
+search, and so does a pair.  The bound of a pair is taken part by part of the runs:
+copies that each lack other runs of a common original lack them in other parts, so
+what both hold is known almost exactly without comparing texts.  So no link between classes is lost within a bucket,
 and a group of copies costs a few comparisons a node.  Two nodes with several equal
 bands meet as leader and other only in the bucket of the first of them, and only while
 the earlier one in its order leads (or a node of the first leader's class), so a pair is
@@ -49,6 +51,8 @@ ROWS, BANDS = 5, 24
 REGISTERS = ROWS * BANDS
 #: Pairs whose registers agree on fewer than this share are not verified: 6 standard errors under the threshold.
 LEAST_AGREEMENT = 0.58
+#: Runs are dealt by hash to so many parts; two texts share at most the sum of the smaller counts of each part.
+PARTS = 64
 _ONE = np.uint64(1)
 
 
@@ -122,11 +126,11 @@ def signatures(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
     return out
 
 
-SIGNED = "doc_id long, bag long, bag2 long, n_runs long, bands array<long>, marks binary"
+SIGNED = "doc_id long, bag long, bag2 long, n_runs long, bands array<long>, marks binary, parts array<int>"
 
 
 def signed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: its multiset's 128-bit digest, size, band keys and one byte of each register."""
+    """Per row: its multiset's 128-bit digest, size, band keys, one byte of each register and size by part."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in ts.sliced(batches, "text"):
@@ -144,8 +148,12 @@ def signed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             keys = ts.mix(keys + np.arange(BANDS, dtype=np.uint64))
             bands = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1).view(np.int64)))
             marks = pa.array([x.tobytes() for x in (sig & np.uint64(255)).astype(np.uint8)], pa.binary())
+            slot = row * PARTS + (element & np.uint64(PARTS - 1)).astype(np.int64)
+            held = np.bincount(slot, weights=weight, minlength=n * PARTS).astype(np.int32)
+            parts = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * PARTS), pa.array(held))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *[pa.array(d.view(np.int64)) for d in digest], pa.array(size), bands, marks], ["doc_id", "bag", "bag2", "n_runs", "bands", "marks"])
+                [b.column("doc_id"), *[pa.array(d.view(np.int64)) for d in digest], pa.array(size), bands, marks, parts],
+                ["doc_id", "bag", "bag2", "n_runs", "bands", "marks", "parts"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(scan, SIGNED)
@@ -229,14 +237,15 @@ def open_buckets(held: DataFrame, labels: DataFrame) -> DataFrame:
     return now.join(spread, "key").select("key", "node", "class", "first")
 
 
-def linkable(rest: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, node, turn, size, common): the rows of ``rest`` (key, node) whose node may be similar to another of its bucket.
+def linkable(rest: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(key, node, turn, size, common) and (node, parts): the rows of ``rest`` (key, node) whose node may be similar to another of its bucket.
 
     Runs that no other of these texts holds are outside every overlap.  With s
     runs, c of them held elsewhere, the similarity to a text of t runs is at
     most c / (s + t - c); a node for which that misses the threshold even with
     the smallest text of its bucket has no link there.  Nothing else is left
-    out, so no link is lost.
+    out, so no link is lost.  ``common`` and ``parts`` count the runs held elsewhere, in
+    all and by part; ``parts`` is null for an id with several texts.
     """
     named = rest.select(F.col("node").alias("doc_id")).distinct()
 
@@ -247,16 +256,20 @@ def linkable(rest: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: floa
 
     runs = docs.select("doc_id", "text").join(named, "doc_id").mapInArrow(scan, "node long, run long, weight long")
     single = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight")).where("n = 1")
-    own = single.groupBy("node").agg(F.sum("weight").alias("own"))
-    size = nodes.join(named.withColumnRenamed("doc_id", "node"), "node").groupBy("node").agg(F.min("n_runs").alias("size"), F.count(F.lit(1)).alias("rows"))
+    by_part = single.groupBy("node", F.col("run").bitwiseAND(F.lit(PARTS - 1)).cast("int").alias("part")).agg(F.sum("weight").alias("own"))
+    own = by_part.groupBy("node").agg(F.sum("own").alias("own"), F.map_from_entries(F.collect_list(F.struct("part", "own"))).alias("own_parts"))
+    size = nodes.join(named.withColumnRenamed("doc_id", "node"), "node").groupBy("node").agg(
+        F.min("n_runs").alias("size"), F.count(F.lit(1)).alias("rows"), F.first("parts").alias("parts"))
+    elsewhere = F.transform("parts", lambda n, i: (n - F.coalesce(F.try_element_at("own_parts", i), F.lit(0))).cast("int"))
     # A node of several rows (one id, several texts) counts as wholly shared.
-    known = size.join(own, "node", "left").select(
-        "node", "size", F.when(F.col("rows") == 1, F.col("size") - F.coalesce("own", F.lit(0))).alias("common"))
+    alone = F.col("rows") == 1
+    known = durable(size.join(own, "node", "left").select(
+        "node", "size", F.when(alone, F.col("size") - F.coalesce("own", F.lit(0))).alias("common"), F.when(alone, elsewhere).alias("parts")))
     most = F.lit(1 << 40)
-    rows = durable(rest.join(known, "node").select("key", "node", F.when(F.col("common").isNull(), 0).otherwise(F.col("size")).alias("size"), F.coalesce("common", most).alias("common")))
+    rows = durable(rest.join(known.drop("parts"), "node").select("key", "node", F.when(F.col("common").isNull(), 0).otherwise(F.col("size")).alias("size"), F.coalesce("common", most).alias("common")))
     least = rows.groupBy("key").agg(F.min("size").alias("least"))
     may = (F.col("size") + F.col("least")) * threshold <= F.col("common") * (1 + threshold) + 1e-9
-    return rows.join(least, "key").where(may).select("key", "node", F.xxhash64("key", "node").alias("turn"), "size", "common")
+    return rows.join(least, "key").where(may).select("key", "node", F.xxhash64("key", "node").alias("turn"), "size", "common"), known.select("node", "parts")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -266,7 +279,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     bag = ["bag", "bag2", "n_runs"]
     names = signed.groupBy(*bag).agg(F.min("doc_id").alias("node"))
     member = signed.select("doc_id", *bag).join(names, bag).select("doc_id", "node", "n_runs")
-    nodes = signed.join(names.where("n_runs > 0").select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "bands", "marks", "n_runs")
+    nodes = signed.join(names.where("n_runs > 0").select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "bands", "marks", "n_runs", "parts")
     held = durable(buckets(nodes).withColumn("turn", F.xxhash64("key", "node")))  # every bucket has an order of its own, so a node meets other leaders in other buckets
 
     first = held.groupBy("key").agg(F.min(F.struct("turn", F.col("node").alias("a"))).alias("lead")).select("key", F.col("lead.a").alias("a"))
@@ -276,27 +289,30 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     # Buckets that hold several classes after their first leader, without the nodes that can have no link in them.
     alone = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select("key")
     rest = durable(open_buckets(held.join(alone, "key", "left_anti"), labels).select("key", "node"))
-    held = durable(linkable(rest, nodes, docs, threshold))
+    able, parts = linkable(rest, nodes, docs, threshold)
+    held = durable(able)
     # An id with several texts has the bands of each; its pairs are formed in every bucket.
     bands = nodes.groupBy("node").agg(F.first("bands").alias("bands"), F.count(F.lit(1)).alias("texts")).select("node", F.when(F.col("texts") == 1, F.col("bands")).alias("bands"))
-    held = durable(held.join(bands, "node"))
-    fits = (F.col("a_size") + F.col("b_size")) * threshold <= F.least("a_common", "b_common") * (1 + threshold) + 1e-9
+    held = durable(held.join(bands.join(parts, "node"), "node"))
+    reaches = lambda most: (F.col("a_size") + F.col("b_size")) * threshold <= most * (1 + threshold) + 1e-9
+    shared = F.aggregate(F.zip_with("a_parts", "b_parts", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda s, n: s + n)
+    fits = reaches(F.least("a_common", "b_common")) & F.coalesce(reaches(shared), F.lit(True))
     once = F.coalesce(first_common(F.col("a_bands"), F.col("b_bands")) == F.col("b_key"), F.lit(True))
     led, more = 0, 4
     while True:
-        left = durable(open_buckets(held, labels).join(held.select("key", "node", "size", "common", "turn", "bands"), ["key", "node"]))
+        left = durable(open_buckets(held, labels).join(held.select("key", "node", "size", "common", "turn", "bands", "parts"), ["key", "node"]))
         rank = F.row_number().over(Window.partitionBy("key").orderBy("turn", "node"))
         leaders = left.withColumn("rank", rank).where((F.col("rank") > led) & (F.col("rank") <= led + more)).select(
             "key", F.col("node").alias("a"), F.col("class").alias("a_class"), F.col("size").alias("a_size"), F.col("common").alias("a_common"), F.col("bands").alias("a_bands"),
-            F.struct("turn", "node").alias("a_turn"), (F.col("class") == F.col("first")).alias("a_first"))
+            F.col("parts").alias("a_parts"), F.struct("turn", "node").alias("a_turn"), (F.col("class") == F.col("first")).alias("a_first"))
         if leaders.isEmpty():
             break
         # The first leader's class only grows; a pair of it and another class is met once its node of that class leads.
         others = left.where("class <> first").select(
             F.col("key").alias("b_key"), F.col("node").alias("b"), F.col("class").alias("b_class"), F.col("size").alias("b_size"), F.col("common").alias("b_common"), F.col("bands").alias("b_bands"),
-            F.struct("turn", "node").alias("b_turn"))
+            F.col("parts").alias("b_parts"), F.struct("turn", "node").alias("b_turn"))
         later = F.col("a_first") | (F.col("b_turn") > F.col("a_turn"))
-        met = leaders.join(others, (F.col("key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class")) & later & fits & once)
+        met = leaders.join(others, (F.col("key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class")) & later & once & fits)
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         edges = durable(edges.union(verified(agreeing(pairs, nodes), docs, threshold)))
         labels = components(edges)
