@@ -76,3 +76,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(got.columns) == sorted(names)
     assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows(names, want)
     assert want
+
+
+def test_every_unmapped_code_of_con_03_is_recovered(spark, small):
+    # All parent edges of the parts count, so every chain ends at a mapped code.
+    got = registry.run("con_03_recover_unmapped", spark, SMALL)
+    assert got.count() == small.part.where("p_partkey % 11 <> 0").count()
