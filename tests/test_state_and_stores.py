@@ -133,6 +133,15 @@ def test_unique_edges(spark):
     assert got == {0: 1, 1: 2, 2: 2, 3: 1, 4: 0, 5: 2}  # edges 0, 3, 5
 
 
+def test_cells_of_sparse_and_dense_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+
+    wide = 2_000_000_000  # an array of as many columns cannot be formed
+    rows = [(0, Vectors.sparse(wide, [(3, 1.5), (wide - 1, -2.0), (7, 0.0)])), (1, Vectors.dense([0.0, 4.0, 0.0])), (2, Vectors.sparse(5, []))]
+    got = spark.createDataFrame(rows, ["k", "v"]).select("k", F.inline(L.cells("v"))).collect()
+    assert sorted(map(tuple, got)) == [(0, 3, 1.5), (0, wide - 1, -2.0), (1, 1, 4.0)]
+
+
 def test_sparse_models(spark):
     rng = np.random.default_rng(3)
     cells = [(i, int(c), float(rng.integers(1, 3))) for i in range(300) for c in rng.choice(400, 4, replace=False)]
