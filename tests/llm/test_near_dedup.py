@@ -112,3 +112,23 @@ def test_copies_around_the_threshold(spark):
     for a, b in [rng.sample(range(160), 2) for _ in range(300)]:
         most = sum(min(x, y) for x, y in zip(signed[a], signed[b]))
         assert sum(signed[a]) == sum(bags[a].values()) and most >= sum((bags[a] & bags[b]).values())
+
+
+def test_classes_grow_by_new_edges_only(spark):
+    rng = random.Random(4)
+    ids = [rng.randrange(10**9) for _ in range(60)]
+    edge = lambda n: [(rng.choice(ids), rng.choice(ids)) for _ in range(n)]
+    frame = lambda e: spark.createDataFrame(e, "a long, b long")
+    old, more = edge(25), edge(12)
+    grown = nd.joined(nd.components(frame(old)), frame(more))
+    want = {r.node: r.label for r in nd.components(frame(old + more)).collect()}
+    got = {r.node: r.label for r in grown.collect()}
+    # Only links of a node to itself are left out: it names its class without a row.
+    assert {k: got.get(k, k) for k in want} == want and all(want[k] == v for k, v in got.items())
+    assert {r.node: r.label for r in nd.joined(grown, frame([])).collect()} == got
+
+
+def test_pairs_meet_only_rows_they_name(spark):
+    pairs = spark.createDataFrame([(1, 2), (2, 5)], "a long, b long")
+    rows = spark.createDataFrame([(i, f"t{i}") for i in (1, 2, 2, 3, None)], "node long, text string")
+    assert sorted(map(tuple, nd.named_in(rows, "node", pairs).collect())) == [(1, "t1"), (2, "t2"), (2, "t2")]

@@ -15,10 +15,10 @@ empty go on to twice the limit.
 Texts with equal multisets form one node.  Nodes meet in buckets of equal bands
 of registers; pairs are verified by the multiset overlap of their texts.  A
 bucket is searched by leaders, not by pairs: first every node against the first
-leader of its buckets, in an order of each bucket's own, then, only in buckets
+leader of its buckets, in one order of all nodes, then, only in buckets
 that still hold several classes, the nodes outside the first leader's against the
-next 4, 16, 64, ... leaders, until a bucket is one class or all its nodes have
-led.  Before that, runs that only one of the texts still open holds bound its
+next 4, 16, 64, ... leaders, in an order of each bucket's own, until a bucket is one
+class or all its nodes have led.  Before that, runs that only one of the texts still open holds bound its
 similarity to all others: a text whose bound misses the threshold leaves the
 search, and so does a pair.  The bound of a pair is taken part by part of the runs:
 copies that each lack other runs of a common original lack them in other parts, so
@@ -171,8 +171,20 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return keys.join(shared, "key")
 
 
+def named_in(rows: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is in a pair (a, b); only these are sent to a join with the pairs."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias(key)).distinct()
+    return rows.join(ends, key, "left_semi")
+
+
 def agreeing(pairs: DataFrame, nodes: DataFrame, least: float = LEAST_AGREEMENT) -> DataFrame:
-    """The pairs whose registers agree often enough to be worth a comparison of texts."""
+    """The pairs whose registers agree often enough to be worth a comparison of texts.
+
+    The pairs are written first: their size is known then, and few are sent to the
+    rows they name instead of all rows to them.
+    """
+    pairs = durable(pairs)
+    nodes = named_in(nodes, "node", pairs)
     marks = lambda c: nodes.select(F.col("node").alias(c), F.col("marks").alias(f"{c}_marks"))
     rows = pairs.join(marks("a"), "a").join(marks("b"), "b").select("a", "b", "a_marks", "b_marks")
 
@@ -199,6 +211,8 @@ def overlap(a: ts.Texts, b: ts.Texts) -> np.ndarray:
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs of documents (a, b) whose texts are similar enough; ``docs`` has (doc_id, text)."""
+    pairs = durable(pairs)
+    docs = named_in(docs.select("doc_id", "text"), "doc_id", pairs)
     text = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias(f"{c}_text"))
     rows = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text")
 
@@ -229,6 +243,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, label) after more edges: only the labels that they link are looked through again.
+
+    A label is the smallest node of its class, so the components of the labels that the
+    new edges link rename whole classes.
+    """
+    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    ends = edges.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
+        F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")).where("a <> b").distinct()
+    moved = components(ends).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    # A node without an edge before is its own class.
+    new = moved.select(F.col("label").alias("node")).join(labels.select("node"), "node", "left_anti").select("node", F.col("node").alias("label"))
+    return durable(labels.unionByName(new).join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+
+
 def open_buckets(held: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, node, class, first) of the buckets with nodes of several classes; ``first`` is the class of the first in order."""
     now = held.join(labels, "node", "left").select("key", "node", "turn", F.coalesce("label", "node").alias("class"))
@@ -280,7 +309,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     names = signed.groupBy(*bag).agg(F.min("doc_id").alias("node"))
     member = signed.select("doc_id", *bag).join(names, bag).select("doc_id", "node", "n_runs")
     nodes = signed.join(names.where("n_runs > 0").select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "bands", "marks", "n_runs", "parts")
-    held = durable(buckets(nodes).withColumn("turn", F.xxhash64("key", "node")))  # every bucket has an order of its own, so a node meets other leaders in other buckets
+    held = durable(buckets(nodes).withColumn("turn", F.xxhash64("node")))  # one order, so the buckets of a group of near copies have few first leaders between them
 
     first = held.groupBy("key").agg(F.min(F.struct("turn", F.col("node").alias("a"))).alias("lead")).select("key", F.col("lead.a").alias("a"))
     pairs = held.join(first, "key").where("a <> node").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
@@ -314,8 +343,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
         later = F.col("a_first") | (F.col("b_turn") > F.col("a_turn"))
         met = leaders.join(others, (F.col("key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class")) & later & once & fits)
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        edges = durable(edges.union(verified(agreeing(pairs, nodes), docs, threshold)))
-        labels = components(edges)
+        labels = joined(labels, durable(verified(agreeing(pairs, nodes), docs, threshold)))
         led, more = led + more, more * 4
     return member.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"), "n_runs")
 
