@@ -53,6 +53,8 @@ REGISTERS = ROWS * BANDS
 LEAST_AGREEMENT = 0.58
 #: Runs are dealt by hash to so many parts; two texts share at most the sum of the smaller counts of each part.
 PARTS = 64
+#: Bytes of text taken at once: the points of a slice's runs are many times its size.
+SLICE = ts.SLICE_BYTES // 2
 _ONE = np.uint64(1)
 
 
@@ -133,7 +135,7 @@ def signed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """Per row: its multiset's 128-bit digest, size, band keys, one byte of each register and size by part."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in ts.sliced(batches, "text"):
+        for b in ts.sliced(batches, "text", SLICE):
             n = b.num_rows
             row, element, weight = elements(ts.texts(b.column("text")))
             pair = ts.mix(element + ts.mix(weight.astype(np.uint64)))
@@ -217,7 +219,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
     rows = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in ts.sliced(batches, "a_text"):
+        for b in ts.sliced(batches, "a_text", SLICE):
             like = overlap(ts.texts(b.column("a_text")), ts.texts(b.column("b_text")))
             yield b.select(["a", "b"]).filter(pa.array(like >= threshold - 1e-12))
 
@@ -279,7 +281,7 @@ def linkable(rest: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: floa
     named = rest.select(F.col("node").alias("doc_id")).distinct()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in ts.sliced(batches, "text"):
+        for b in ts.sliced(batches, "text", SLICE):
             row, run, weight = elements(ts.texts(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(run.view(np.int64)), pa.array(weight.astype(np.int64))], ["node", "run", "weight"])
 
