@@ -93,6 +93,29 @@ def test_one_of_each_with_clashing_names(spark):
     assert got.columns == docs.columns and sorted(r.doc_id or 0 for r in got.collect()) == [0, 1]
 
 
+def test_removal_deals_rows_alike_at_every_size(spark):
+    docs = spark.createDataFrame([(i, "a b c d e f" if i < 3 else f"text {i}") for i in range(8)], "doc_id long, text string")
+    kept = nd.one_of_each(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 5, 6, 7]
+
+
+def test_search_of_leaders_takes_few_rounds(spark, monkeypatch):
+    rng = random.Random(21)
+    words = [f"v{i}" for i in range(2000)]
+    base, rows = rng.choices(words, k=150), []
+    for i in range(160):
+        w = list(base)
+        for k in rng.sample(range(150), rng.choice((1, 2, 3, 4, 6))):
+            w[k] = rng.choice(words)
+        rows.append((i, " ".join(w)))
+    rounds, plain = [], nd.joined
+    monkeypatch.setattr(nd, "joined", lambda labels, edges: rounds.append(1) or plain(labels, edges))
+    got = {r.doc_id: r.class_id for r in nd.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_classes(rows) and 0 < len(rounds) <= 2
+
+
 def test_copies_around_the_threshold(spark):
     rng = random.Random(21)
     words = [f"v{i}" for i in range(2000)]

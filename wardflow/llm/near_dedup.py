@@ -17,7 +17,7 @@ of registers; pairs are verified by the multiset overlap of their texts.  A
 bucket is searched by leaders, not by pairs: first every node against the first
 leader of its buckets, in one order of all nodes, then, only in buckets
 that still hold several classes, the nodes outside the first leader's against the
-next 4, 16, 64, ... leaders, in an order of each bucket's own, until a bucket is one
+next 4, 64, 1024, ... leaders, in an order of each bucket's own, until a bucket is one
 class or all its nodes have led.  Before that, runs that only one of the texts still open holds bound its
 similarity to all others: a text whose bound misses the threshold leaves the
 search, and so does a pair.  The bound of a pair is taken part by part of the runs:
@@ -54,7 +54,7 @@ LEAST_AGREEMENT = 0.58
 #: Runs are dealt by hash to so many parts; two texts share at most the sum of the smaller counts of each part.
 PARTS = 64
 #: Bytes of text taken at once: the points of a slice's runs are many times its size.
-SLICE = ts.SLICE_BYTES // 2
+SLICE = ts.SLICE_BYTES
 _ONE = np.uint64(1)
 
 
@@ -345,8 +345,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
         later = F.col("a_first") | (F.col("b_turn") > F.col("a_turn"))
         met = leaders.join(others, (F.col("key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class")) & later & once & fits)
         pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        labels = joined(labels, durable(verified(agreeing(pairs, nodes), docs, threshold)))
-        led, more = led + more, more * 4
+        # These pairs have met the bound part by part, which is closer than the registers.
+        labels = joined(labels, durable(verified(pairs, docs, threshold)))
+        led, more = led + more, more * 16
     return member.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"), "n_runs")
 
 
@@ -356,11 +357,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Of rows with one id one stays; rows without an id stay.
     """
     found = durable(classes(docs, doc_id, text))
-    names = found.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    lost = found.where("doc_id <> class_id").select("doc_id").distinct()
+    again = found.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     name = "class name"
     while name in map(str.lower, docs.columns):
         name += " "
-    keyed = lambda rows: docs.join(rows.select(F.col("doc_id").alias(name)), F.col(doc_id).cast("long") == F.col(name), "left_semi")
-    out = docs.where(F.col(doc_id).isNull()).unionByName(keyed(names.where("n = 1")))
-    again = names.where("n > 1")
-    return out if again.isEmpty() else out.unionByName(keyed(again).dropDuplicates([doc_id]))
+    # The ids that go are fewer than those that stay; a null id is never among them.  They grow with the table, so they are not broadcast.
+    keyed = lambda rows, how: docs.join(rows.select(F.col("doc_id").alias(name)).hint("merge"), F.col(doc_id).cast("long") == F.col(name), how)
+    if again.isEmpty():
+        return keyed(lost, "left_anti")
+    return keyed(lost.unionByName(again), "left_anti").unionByName(keyed(again, "left_semi").dropDuplicates([doc_id]))
