@@ -52,14 +52,18 @@ def flowsheets(observation: DataFrame, concept: DataFrame, visits: DataFrame | N
     nested = F.col("observation_concept_id") == FLOWSHEET
     parsed, origin = F.from_json("value_as_string", shape), F.from_json("observation_source_value", shape)
     names = concept.select(F.col("concept_id").alias("observation_source_concept_id"), F.col("concept_name").alias("_name"))
-    out = observation.join(names, "observation_source_concept_id", "left").select(
-        "observation_id", "person_id", "observation_datetime",
+    # The nested texts are read before the rows are dealt, so that only what is picked from them moves.
+    read = observation.select(
+        "observation_id", "person_id", "observation_datetime", "observation_source_concept_id", nested.alias("_nested"),
         F.when(nested, pick(origin, "ip_flt_data.display_name")).otherwise(F.col("observation_source_value")).alias("source_display_name"),
-        F.when(nested, pick(parsed, "ip_flo_gp_data.disp_name")).otherwise(F.col("_name")).alias("display_name"),
+        F.when(nested, pick(parsed, "ip_flo_gp_data.disp_name")).alias("_own"),
         F.when(nested, pick(parsed, "ip_flwsht_meas.meas_value"))
         .otherwise(F.coalesce("value_as_string", F.col("value_as_number").cast("string"))).alias("meas_value"),
         F.when(nested, pick(parsed, "ip_flo_gp_data.units")).otherwise(F.col("unit_source_value")).alias("unit_value"),
     )
+    out = read.join(names, "observation_source_concept_id", "left").select(
+        "observation_id", "person_id", "observation_datetime", "source_display_name",
+        F.when(F.col("_nested"), F.col("_own")).otherwise(F.col("_name")).alias("display_name"), "meas_value", "unit_value")
     if visits is None:
         return out
     stays = visits.select("person_id", F.col("visit_occurrence_id"), "visit_start_datetime", "visit_end_datetime")
@@ -75,32 +79,30 @@ def suspected_infection(
 
     A culture day counts when an antibiotic day lies from one day before to
     three days after it; each culture day is expanded to those five days and
-    met by equality, so culture and antibiotic pairs are never formed.
+    met by equality, so culture and antibiotic pairs are never formed.  Days of
+    both kinds meet the stays in one join.  The concept sets are written first, so
+    that events of few concepts are not dealt by concept where the set is small.
     """
-    below = lambda a, c: ancestors.where(F.col("ancestor_concept_id") == a).select(F.col("descendant_concept_id").alias(c)).distinct()
-    cultures = measurement.select("person_id", "measurement_concept_id", F.col("measurement_datetime").alias("at")).join(
-        below(CULTURES, "measurement_concept_id"), "measurement_concept_id", "left_semi")
-    abx = drugs.select("person_id", "drug_concept_id", F.col("drug_exposure_start_datetime").alias("at")).join(
-        below(ANTIBIOTICS, "drug_concept_id"), "drug_concept_id", "left_semi")
+    below = lambda a, c: durable(ancestors.where(F.col("ancestor_concept_id") == a).select(F.col("descendant_concept_id").alias(c)).distinct())
+    cultures = measurement.select("person_id", "measurement_concept_id", F.col("measurement_datetime").alias("_bc")).join(
+        below(CULTURES, "measurement_concept_id"), "measurement_concept_id", "left_semi").drop("measurement_concept_id")
+    abx = drugs.select("person_id", "drug_concept_id", F.col("drug_exposure_start_datetime").alias("_abx")).join(
+        below(ANTIBIOTICS, "drug_concept_id"), "drug_concept_id", "left_semi").drop("drug_concept_id")
     stays = admissions.select(
         "person_id", F.col("admit_date").alias("admit_datetime"), F.col("discharge_date").alias("discharge_datetime"),
         (F.col("admit_date") - F.expr("interval 1 day")).alias("_from"))
-
-    def inside(events):
-        # The day of the event, at midnight, lies in the stay with one day of slack before it.
-        firsts = events.withColumn("_day", F.col("at").cast("date")).groupBy("person_id", "_day").agg(F.min("at").alias("at")).withColumn(
-            "_midnight", F.col("_day").cast("timestamp_ntz"))
-        return window_join(stays, firsts, ["person_id"], "_from", "discharge_datetime", "_midnight").select(*STAY, "discharge_datetime", "_day", "at")
-
-    c, a = inside(cultures), inside(abx)
-    near = c.select(*STAY, F.col("_day").alias("_c"), F.explode(F.sequence(F.date_sub("_day", 1), F.date_add("_day", 3))).alias("_a"))
-    matched = near.join(a.select(*STAY, F.col("_day").alias("_a")), [*STAY, "_a"], "left_semi")
-    good_c = c.join(matched.select(*STAY, F.col("_c").alias("_day")).distinct(), [*STAY, "_day"], "left_semi").withColumn("kind", F.lit("c"))
-    good_a = a.join(matched.select(*STAY, F.col("_a").alias("_day")).distinct(), [*STAY, "_day"], "left_semi").withColumn("kind", F.lit("a"))
-    first = lambda k: F.min(F.when(F.col("kind") == k, F.col("at")))
+    # The day of the event, at midnight, lies in the stay with one day of slack before it.
+    firsts = cultures.unionByName(abx, allowMissingColumns=True).groupBy("person_id", F.coalesce("_bc", "_abx").cast("date").alias("_day")).agg(
+        F.min("_bc").alias("_bc"), F.min("_abx").alias("_abx")).withColumn("_midnight", F.col("_day").cast("timestamp_ntz"))
+    inside = window_join(stays, firsts, ["person_id"], "_from", "discharge_datetime", "_midnight")
+    offsets = F.when(F.col("_bc").isNotNull(), F.sequence(F.lit(-1), F.lit(3))).otherwise(F.array(F.lit(0)))
+    days = inside.select(*STAY, "discharge_datetime", "_day", "_bc", "_abx", F.explode(offsets).alias("_off")).groupBy(
+        *STAY, "discharge_datetime", F.date_add("_day", F.col("_off")).alias("_at")).agg(
+        F.min("_bc").alias("_bc"), F.min(F.when(F.col("_off") == 0, F.col("_abx"))).alias("_abx"))
+    good = days.where(F.col("_bc").isNotNull() & F.col("_abx").isNotNull())
     births = person.select("person_id", "birth_datetime")
     return (
-        good_c.unionByName(good_a).groupBy(*STAY, "discharge_datetime").agg(first("c").alias("min_bc"), first("a").alias("min_systemic_abx"))
+        good.groupBy(*STAY, "discharge_datetime").agg(F.min("_bc").alias("min_bc"), F.min("_abx").alias("min_systemic_abx"))
         .join(births, "person_id", "left")
         .select(
             "person_id", diff_months("admit_datetime", "birth_datetime").alias("age_in_months"),
@@ -120,7 +122,8 @@ def periods(infection: DataFrame, offsets=None) -> DataFrame:
 
 def component_values(measurement: DataFrame, concept: DataFrame, ancestors: DataFrame, rules: str = "default") -> DataFrame:
     """(person_id, day, at, component, value) of the laboratory components, unit rules applied."""
-    members = expand_sets(concept, ancestors, SETS).select(F.col("set_name").alias("component"), F.col("concept_id").alias("measurement_concept_id"))
+    # Written first: where they are few, measurements are not dealt by their concept, of which there may be few as well.
+    members = durable(expand_sets(concept, ancestors, SETS).select(F.col("set_name").alias("component"), F.col("concept_id").alias("measurement_concept_id")))
     value, code = F.col("value_as_number"), F.col("measurement_concept_id")
     rule = value
     for component, units in UNIT_RULES[rules].items():
