@@ -157,3 +157,26 @@ def test_sparse_models(spark):
     assert [L.gradient(m, train, own, ["k"], s["regParam"]) < 1e-5 for _, s, m in scored] == [True, True]
     assert L.best(scored)[1]["regParam"] == pytest.approx(1 / (0.1 * 200)) and L.best(scored)[0] < 0.69
     assert len(L.LOGISTIC_C) == 7 and len(L.BOOSTING_GRID["stepSize"]) * len(L.BOOSTING_GRID["maxDepth"]) == 8
+
+
+def test_gradients_of_all_points_in_one_pass(spark, monkeypatch):
+    """Against the dense formula; no row per column comes to the driver."""
+    rng = np.random.default_rng(4)
+    dense = rng.integers(0, 3, (60, 90)) * (rng.random((60, 90)) < 0.1)
+    dense[:, 88:] = 0  # columns without a cell
+    y = rng.integers(0, 2, 60)
+    triples = spark.createDataFrame([(int(i), int(c), float(dense[i, c])) for i, c in zip(*np.nonzero(dense))] + [(99, 89, 5.0)], "k bigint, column bigint, value double")
+    rows = L.assemble(triples, 90, ["k"]).join(spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "k bigint, labels int"), "k")
+    held = [r.k for r in rows.select("k").collect()]
+    models = [L.LogisticRegression(labelCol="labels", regParam=reg, maxIter=steps).fit(rows) for reg, steps in ((0.3, 2), (0.01, 50))]
+    sizes, collect = [], type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: sizes.append(len(out := collect(df))) or out)
+    found = L.gradients(models, rows, triples, ["k"], [0.3, 0.01])
+    own = [L.gradient(m, rows, triples, ["k"], reg) for m, reg in zip(models, (0.3, 0.01))]
+    assert max(sizes, default=0) <= 1
+    x, y = dense[held], y[held]
+    for got, alone, model, reg in zip(found, own, models, (0.3, 0.01)):
+        w = model.coefficients.toArray()
+        r = 1 / (1 + np.exp(-(x @ w + model.intercept))) - y
+        wanted = max(abs(r.mean()), np.abs(x.T @ r / len(y) + reg * w).max())
+        assert got == pytest.approx(wanted, abs=1e-9) and alone == pytest.approx(wanted, abs=1e-9)
